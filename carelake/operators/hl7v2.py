@@ -61,33 +61,71 @@ _HIDDEN = "\ue001\ue002\ue003"
 
 # -- text to segments ---------------------------------------------------------------------------
 
-def _canonical(text: Column) -> Column:
-    """Text with CR line ends and the standard delimiters. Other delimiters are read from the
-    header; standard ones occurring as data in such a message are hidden meanwhile."""
-    unix = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\r")), F.lit("\n"), F.lit("\r"))
-    clean = F.replace(unix, F.lit('"'), F.lit("-"))
-    own = F.substring(clean, 4, 3)
-    swapped = F.call_function("translate", clean, F.concat(own, F.lit("|^~")), F.lit("|^~" + _HIDDEN))
-    return F.when(~F.startswith(clean, F.lit("MSH")) | (own == "|^~"), clean).otherwise(swapped)
+def _with_canonical(df: DataFrame, text: str) -> DataFrame:
+    """Adds ``_text``: CR line ends and the standard delimiters. Other delimiters are read from
+    the header (``_swapped``); standard ones occurring as data in such a message are hidden until
+    ``_table`` restores them.
+
+    Each step is its own column, so the text is rewritten once and not once per use."""
+    raw = F.col(text)
+    lines = F.replace(F.replace(raw, F.lit("\n"), F.lit("\r")), F.lit('"'), F.lit("-"))
+    cleaned = df.withColumns(
+        {"_c": lines, "has_header": F.startswith(raw, F.lit("MSH")), "_own": F.substring(raw, 4, 3)}
+    )
+    own, c = F.col("_own"), F.col("_c")
+    swap = F.col("has_header") & (own != "|^~")
+    swapped = F.call_function("translate", c, F.concat(own, F.lit("|^~")), F.lit("|^~" + _HIDDEN))
+    return cleaned.withColumns({"_swapped": swap, "_text": F.when(swap, swapped).otherwise(c)}).drop("_c", "_own")
 
 
 def _plain(value: Column) -> Column:
     return F.translate(value, _HIDDEN, "|^~")
 
 
+def _keep(df: DataFrame, condition: Column) -> DataFrame:
+    """A filter on a parsed value. It goes through ``_rows``, because a plain filter would be pushed
+    below the parsing steps and repeat them."""
+    return _rows(df, F.when(condition, F.array(F.lit(True))), "_kept").drop("_kept")
+
+
+def _rows(df: DataFrame, items: Column, name: str, position: str | None = None) -> DataFrame:
+    """One row per array element. The outer form with a filter on its output is used because the
+    plain form adds a size test of the array, which is pushed down and parses the text again."""
+    if position is None:
+        made = df.select("*", F.explode_outer(items).alias(name))
+    else:
+        made = df.select("*", F.posexplode_outer(items).alias(position, name))
+    return made.filter(F.col(name).isNotNull())
+
+
+def _headed(messages: DataFrame) -> DataFrame:
+    return _keep(messages, F.col("has_header"))
+
+
+def _table(rows: DataFrame, *cols) -> DataFrame:
+    """Selects ``cols`` and puts hidden delimiters back in the texts of messages that had any."""
+    flat = rows.select(*cols, "_swapped")
+    restored = {
+        name: F.when(F.col("_swapped"), _plain(F.col(f"`{name}`"))).otherwise(F.col(f"`{name}`"))
+        for name, kind in flat.dtypes
+        if kind == "string"
+    }
+    return flat.withColumns(restored).drop("_swapped")
+
+
 def _fields(segment: Column) -> Column:
     return F.split(segment, "\\|")
 
 
 def field(fields: Column, n: int) -> Column:
     """Whole field ``n`` of a split segment (not the header segment)."""
-    return _plain(F.try_element_at(fields, F.lit(n + 1)))
+    return F.try_element_at(fields, F.lit(n + 1))
 
 
 def comp(fields: Column, n: int, c: int = 1) -> Column:
     """Component ``c`` of the first repetition of field ``n``."""
     first = F.substring_index(F.try_element_at(fields, F.lit(n + 1)), "~", 1)
-    return _plain(F.try_element_at(F.split(first, "\\^"), F.lit(c)))
+    return F.try_element_at(F.split(first, "\\^"), F.lit(c))
 
 
 def head(fields: Column, n: int, c: int = 1) -> Column:
@@ -113,9 +151,9 @@ def hl7_filename(df: DataFrame, file: str = "file") -> DataFrame:
 def hl7_messages(df: DataFrame, text: str = "value", file: str = "file") -> DataFrame:
     """One row per message: file-name fields, canonical text, segments, and the split header and
     patient-level segments (the last of a kind). ``accid_ref`` is the visit key."""
-    named = hl7_filename(df, file).withColumn("_text", _canonical(F.col(text)))
+    named = _with_canonical(hl7_filename(df, file), text)
     segments = F.filter(F.split("_text", "\r"), lambda s: F.length(s) > 0)
-    cut = named.withColumns({"_segments": segments, "has_header": F.startswith("_text", F.lit("MSH"))})
+    cut = named.withColumn("_segments", segments)
 
     def last(name: str) -> Column:
         found = F.filter("_segments", lambda s: F.startswith(s, F.lit(name + "|")))
@@ -142,35 +180,37 @@ def hl7_messages(df: DataFrame, text: str = "value", file: str = "file") -> Data
 
 
 def hl7_segments(df: DataFrame, text: str = "value", file: str = "file") -> DataFrame:
-    """Long table of segments: file, number in the message, name, fields."""
-    messages = hl7_messages(df, text, file).filter("has_header")
-    return messages.select(file, F.posexplode("_segments").alias("seg_no", "_s")).select(
-        file, (F.col("seg_no") + 1).alias("seg_no"), F.left("_s", F.lit(3)).alias("seg"), _fields(F.col("_s")).alias("fields")
+    """Long table of segments: file, number in the message, name, fields (delimiters in the data
+    of messages with other delimiters are still hidden; ``hl7_fields`` restores them)."""
+    messages = _headed(_with_canonical(df, text))
+    segments = F.filter(F.split("_text", "\r"), lambda s: F.length(s) > 0)
+    lines = _rows(messages.select(file, "_swapped", "_text"), segments, "_s", "_i")
+    return lines.select(
+        file, (F.col("_i") + 1).alias("seg_no"), F.left("_s", F.lit(3)).alias("seg"), _fields(F.col("_s")).alias("fields"),
+        "_swapped",
     )
 
 
 def hl7_fields(df: DataFrame, text: str = "value", file: str = "file") -> DataFrame:
     """Long table of component values with field, repetition and component numbers."""
-    rows = hl7_segments(df, text, file).select(file, "seg_no", "seg", F.posexplode("fields").alias("_i", "_f"))
+    rows = _rows(hl7_segments(df, text, file), F.col("fields"), "_f", "_i").drop("fields")
     numbered = rows.filter("_i > 0").withColumn(
         "field_no", F.when(F.col("seg") == "MSH", F.col("_i") + 1).otherwise(F.col("_i"))
     )
     header = (F.col("seg") == "MSH") & (F.col("field_no") == 2)
-    reps = numbered.select(
-        file, "seg_no", "seg", "field_no",
-        F.posexplode(F.when(header, F.array("_f")).otherwise(F.split("_f", "~"))).alias("_r", "_rep"),
-    )
+    reps = _rows(numbered, F.when(header, F.array("_f")).otherwise(F.split("_f", "~")), "_rep", "_r")
     header = (F.col("seg") == "MSH") & (F.col("field_no") == 2)
-    return reps.select(
-        file, "seg_no", "seg", "field_no", (F.col("_r") + 1).alias("repetition"),
-        F.posexplode(F.when(header, F.array("_rep")).otherwise(F.split("_rep", "\\^"))).alias("_c", "_v"),
-    ).select(file, "seg_no", "seg", "field_no", "repetition", (F.col("_c") + 1).alias("component"), _plain(F.col("_v")).alias("value"))
+    parts = _rows(reps, F.when(header, F.array("_rep")).otherwise(F.split("_rep", "\\^")), "value", "_c")
+    return _table(
+        parts,
+        file, "seg_no", "seg", "field_no", (F.col("_r") + 1).alias("repetition"), (F.col("_c") + 1).alias("component"), "value",
+    )
 
 
 def _repeating(messages: DataFrame, name: str) -> DataFrame:
     """One row per segment of a kind, with its split fields in ``_f``."""
     wanted = F.filter("_segments", lambda s: F.startswith(s, F.lit(name + "|")))
-    return messages.withColumn("_s", F.explode(wanted)).withColumn("_f", _fields(F.col("_s")))
+    return _rows(messages, wanted, "_s").withColumn("_f", _fields(F.col("_s")))
 
 
 def _after(messages: DataFrame, carrier: str, least_fields: int, name: str) -> DataFrame:
@@ -178,14 +218,13 @@ def _after(messages: DataFrame, carrier: str, least_fields: int, name: str) -> D
     segment as ``_carried`` and the number of the segment since then as ``_since``. Carriers too
     short to hold the inherited field do not replace an earlier one."""
     mark = "(?=\r" + carrier + r"(?:\|[^|\r]*){" + str(least_fields) + "})"
-    pieces = messages.withColumn("_piece", F.explode(F.split(F.concat(F.lit("\r"), F.col("_text")), mark)))
+    pieces = _rows(messages, F.split(F.concat(F.lit("\r"), F.col("_text")), mark), "_piece")
     lines = F.filter(F.split("_piece", "\r"), lambda s: F.length(s) > 0)
     cut = pieces.withColumn("_lines", lines)
     first = F.try_element_at("_lines", F.lit(1))
     carried = F.when(F.startswith(first, F.lit(carrier + "|")), _fields(first))
     wanted = F.filter("_lines", lambda s: F.startswith(s, F.lit(name + "|")))
-    rows = cut.withColumn("_carried", carried).select("*", F.posexplode(wanted).alias("_since", "_s"))
-    return rows.withColumn("_f", _fields(F.col("_s")))
+    return _rows(cut.withColumn("_carried", carried), wanted, "_s", "_since").withColumn("_f", _fields(F.col("_s")))
 
 
 def _number(value: Column) -> Column:
@@ -198,7 +237,8 @@ def _number(value: Column) -> Column:
 def hl7_identity(messages: DataFrame, file: str = "file") -> DataFrame:
     """Keys for identity resolution."""
     pid = F.col("_pid")
-    return messages.filter("has_header").select(
+    return _table(
+        _headed(messages),
         F.col(file), comp(pid, 5, 1).alias("lastname"), comp(pid, 5, 2).alias("firstname"),
         F.left(comp(pid, 8), F.lit(1)).alias("sex"), hl7_date(comp(pid, 7)).alias("dob"), comp(pid, 19).alias("ssn"),
     )
@@ -207,7 +247,8 @@ def hl7_identity(messages: DataFrame, file: str = "file") -> DataFrame:
 def hl7_person(messages: DataFrame) -> DataFrame:
     """Person registration rows. The birth date is null when PID-7 is no date."""
     pid = F.col("_pid")
-    return messages.filter("has_header").select(
+    return _table(
+        _headed(messages),
         F.col("f_facility").alias("source"),
         F.lit(SOURCE_TYPE).alias("source_type"),
         hl7_date(comp(pid, 7)).alias("dob"),
@@ -238,7 +279,8 @@ def hl7_account(messages: DataFrame) -> DataFrame:
     pv1, pv2 = F.col("_pv1"), F.col("_pv2")
     complaint = F.concat_ws(" : ", *[F.coalesce(comp(pv2, 3, i), F.lit("")) for i in range(1, 5)])
     provider = {r: provider_key(messages, r, pv1, n) for r, s, n in PROVIDER_ROLES if s == "PV1"}
-    return messages.filter("has_header and has_visit").select(
+    return _table(
+        _keep(_headed(messages), F.col("has_visit")),
         F.col("event_time").alias("index_update_dt_tm"),
         F.col("f_facility").alias("source"),
         F.lit(SOURCE_TYPE).alias("source_type"),
@@ -270,7 +312,8 @@ def hl7_account(messages: DataFrame) -> DataFrame:
 def hl7_contacts(messages: DataFrame) -> DataFrame:
     """Contact rows. The second street line is PID-11.2."""
     pid = F.col("_pid")
-    return messages.filter("has_header").select(
+    return _table(
+        _headed(messages),
         F.col("f_facility").alias("source"),
         F.lit(SOURCE_TYPE).alias("source_type"),
         F.col("accid_ref").alias("patient_id"),
@@ -291,7 +334,8 @@ def hl7_locations(messages: DataFrame) -> DataFrame:
     """Service-area rows; ``unitcode`` is also the key of the unit row."""
     pv1 = F.col("_pv1")
     parts = ("point_of_care", "room", "bed", "facility", "location_status", "person_location_type", "building", "floor", "description")
-    return messages.filter("has_header").select(
+    return _table(
+        _headed(messages),
         F.col("f_facility").alias("source"),
         F.col("accid_ref").alias("patient_account_id"),
         comp(pv1, 10).alias("code"),
@@ -311,9 +355,10 @@ def hl7_units(locations: DataFrame) -> DataFrame:
 
 def hl7_procedures(messages: DataFrame) -> DataFrame:
     f = F.col("_f")
-    rows = _repeating(messages.filter("has_header"), "PR1")
+    rows = _repeating(_headed(messages), "PR1")
     who = F.coalesce(*[provider_key(rows, r, f, n) for r, n in (("practitioner", 12), ("surgeon", 11), ("anesthesiologist", 8))])
-    return rows.select(
+    return _table(
+        rows,
         F.col("f_facility").alias("source"), F.col("accid_ref").alias("patient_account_id"),
         _number(comp(f, 1)).alias("seq"), comp(f, 3).alias("code"), who.alias("provider_id"),
         comp(f, 2).alias("coding_method"), comp(f, 4).alias("description"),
@@ -324,8 +369,9 @@ def hl7_procedures(messages: DataFrame) -> DataFrame:
 
 def hl7_diagnoses(messages: DataFrame) -> DataFrame:
     f = F.col("_f")
-    rows = _repeating(messages.filter("has_header"), "DG1")
-    return rows.select(
+    rows = _repeating(_headed(messages), "DG1")
+    return _table(
+        rows,
         F.col("f_facility").alias("source"), F.col("accid_ref").alias("patient_account_id"),
         _number(comp(f, 1)).alias("seq"), comp(f, 3).alias("code"),
         provider_key(rows, "diagnosing", f, 16).alias("provider_id"), comp(f, 4).alias("description"),
@@ -337,8 +383,9 @@ def hl7_diagnoses(messages: DataFrame) -> DataFrame:
 def hl7_medications(messages: DataFrame) -> DataFrame:
     """The route comes from the RXO in front of the RXE, for the first RXE after it."""
     f = F.col("_f")
-    rows = _after(messages.filter("has_header"), "RXO", 10, "RXE")
-    return rows.select(
+    rows = _after(_headed(messages), "RXO", 10, "RXE")
+    return _table(
+        rows,
         F.col("f_facility").alias("source"), F.col("accid_ref").alias("patient_account_id"),
         hl7_timestamp(comp(f, 1, 4)).alias("start_date"), hl7_timestamp(comp(f, 1, 5)).alias("stop_date"),
         comp(f, 2, 1).alias("code"), comp(f, 2, 3).alias("code_system"), comp(f, 2, 2).alias("name"),
@@ -351,14 +398,15 @@ def hl7_medications(messages: DataFrame) -> DataFrame:
 def hl7_allergies(messages: DataFrame) -> DataFrame:
     """AL1 rows with a set id; empty fields fall back to the IAM segment in front."""
     f = F.col("_f")
-    rows = _after(messages.filter("has_header"), "IAM", 1, "AL1").filter(F.length(comp(f, 1)) > 0)
+    rows = _after(_headed(messages), "IAM", 1, "AL1").filter(F.length(comp(f, 1)) > 0)
     iam = F.when(F.col("_since") == 0, F.col("_carried"))
 
     def either(n: int, c: int, n2: int, c2: int) -> Column:
         return F.when(F.length(comp(f, n, c)) > 0, comp(f, n, c)).otherwise(comp(iam, n2, c2))
 
     reporter = F.concat(comp(iam, 14, 2), F.lit(", "), comp(iam, 14, 3), F.lit(" "), comp(iam, 14, 4))
-    return rows.select(
+    return _table(
+        rows,
         F.col("event_time").alias("index_update_dt_tm"), F.col("f_facility").alias("source"),
         F.lit(SOURCE_TYPE).alias("source_type"), either(3, 2, 3, 2).alias("description"),
         comp(f, 1).alias("code"), either(2, 1, 2, 1).alias("code_type"), either(2, 2, 2, 2).alias("description_type"),
@@ -375,7 +423,8 @@ def hl7_allergies(messages: DataFrame) -> DataFrame:
 
 def hl7_immunizations(messages: DataFrame) -> DataFrame:
     f = F.col("_f")
-    return _repeating(messages.filter("has_header"), "RXA").select(
+    return _table(
+        _repeating(_headed(messages), "RXA"),
         F.col("event_time").alias("index_update_dt_tm"), F.col("f_facility").alias("source"),
         F.col("accid_ref").alias("patient_account_id"), comp(f, 10).alias("performing_provider_id"),
         comp(f, 2).alias("series_number"), comp(f, 3).alias("administered_date"),
@@ -385,7 +434,8 @@ def hl7_immunizations(messages: DataFrame) -> DataFrame:
 
 def hl7_vaccinations(messages: DataFrame) -> DataFrame:
     f = F.col("_f")
-    return _repeating(messages.filter("has_header"), "RXA").select(
+    return _table(
+        _repeating(_headed(messages), "RXA"),
         F.col("event_time").alias("index_update_dt_tm"), F.col("f_facility").alias("source"),
         comp(f, 5, 4).alias("immunization_id"), comp(f, 5, 5).alias("vaccine_id"),
         comp(f, 17, 1).alias("vaccine_manufacturer_id"), comp(f, 14, 2).alias("lot_number"),
@@ -408,7 +458,8 @@ INSURANCE_FIELDS = (
 
 def hl7_insurance(messages: DataFrame) -> DataFrame:
     f, pid = F.col("_f"), F.col("_pid")
-    return _repeating(messages.filter("has_header"), "IN1").select(
+    return _table(
+        _repeating(_headed(messages), "IN1"),
         F.col("f_facility").alias("source"), F.col("accid_ref").alias("accid"), _number(comp(f, 1)).alias("seqnum"),
         *[comp(f, n, c).alias(name) for name, n, c in INSURANCE_FIELDS],
         hl7_date(comp(f, 12)).alias("eff_date"), hl7_date(comp(f, 13)).alias("exp_date"),
@@ -425,7 +476,8 @@ def _lab_id(order_time: Column) -> Column:
 def hl7_lab_tests(messages: DataFrame) -> DataFrame:
     """Orders whose OBR-4.1 has more than one character."""
     f = F.col("_f")
-    return _repeating(messages.filter("has_header"), "OBR").filter(F.length(comp(f, 4)) > 1).select(
+    return _table(
+        _repeating(_headed(messages), "OBR").filter(F.length(comp(f, 4)) > 1),
         comp(f, 7).alias("index_update_dt_tm"), F.col("f_facility").alias("source"),
         _lab_id(comp(f, 7)).alias("vault_based_id"), comp(f, 2).alias("hl7_code"), comp(f, 4).alias("name"),
         comp(f, 4, 2).alias("description"), comp(f, 4).alias("category_id"), comp(f, 1).alias("sequence"),
@@ -437,7 +489,8 @@ def hl7_lab_results(messages: DataFrame) -> DataFrame:
     """Results with the time of the order in front of them."""
     f = F.col("_f")
     order_time = comp(F.col("_carried"), 7)
-    return _after(messages.filter("has_header"), "OBR", 7, "OBX").select(
+    return _table(
+        _after(_headed(messages), "OBR", 7, "OBX"),
         order_time.alias("index_update_dt_tm"), F.col("f_facility").alias("source"),
         _lab_id(order_time).alias("lab_id"), comp(f, 2).alias("obx_2_1"), comp(f, 1).alias("accession_id"),
         comp(f, 3, 1).alias("laboratory_id"), comp(f, 3, 2).alias("obx_3_2"), comp(f, 3, 3).alias("obx_3_3"),
@@ -450,55 +503,79 @@ def hl7_lab_results(messages: DataFrame) -> DataFrame:
 
 # -- providers ----------------------------------------------------------------------------------
 
+# Parts of the digest of a new provider, in order.
+PROVIDER_KEY_PARTS = ("provcode", "lname", "fname", "mname", "unitname", "service", "prov_type", "status", "suffix")
+
+
 def _provider_fields(role: str, fields: Column, n: int) -> dict[str, Column]:
     part = lambda c: F.trim(F.coalesce(comp(fields, n, c), F.lit("")))
-    pv1 = F.col("_pv1")
-    return {
-        "provcode": part(1), "lname": part(2), "fname": part(3), "mname": part(4),
-        "unitname": F.trim(F.coalesce(comp(pv1, 1), F.lit(""))), "service": F.lit(""),
-        "prov_type": part(7), "status": F.lit(role), "suffix": part(5),
+    values = {
+        "provcode": part(1), "lname": part(2), "fname": part(3), "mname": part(4), "prov_type": part(7),
+        "suffix": part(5), "unitname": F.trim(F.coalesce(comp(F.col("_pv1"), 1), F.lit(""))),
+        "service": F.lit(""), "status": F.lit(role),
     }
+    return {name: values[name] for name in PROVIDER_KEY_PARTS}
 
 
 def provider_key(messages: DataFrame, role: str, fields: Column, n: int) -> Column:
     """Key a provider gets when not registered before; null when code and names are all empty."""
     v = _provider_fields(role, fields, n)
     named = F.length(F.concat(v["provcode"], v["lname"], v["fname"], v["mname"], v["suffix"])) > 0
-    return F.when(named, F.concat(F.sha1(F.concat(*v.values())), F.lit("-"), v["provcode"]))
+    return F.when(named, F.concat(F.sha1(_plain(F.concat(*v.values()))), F.lit("-"), v["provcode"]))
 
 
 def hl7_providers(messages: DataFrame, registry: DataFrame | None = None) -> DataFrame:
-    """Distinct providers of all roles with their key.
+    """Distinct providers of all roles with their key, from one pass over the messages: every
+    provider field of a message becomes a (role, text) pair, and the pairs are exploded.
 
     ``registry`` (source, provcode, lname, fname, mname, suffix, vault_based_id) gives the key of
     providers known before; the others keep their new key and ``is_new`` is set.
     """
-    ok = messages.filter("has_header")
-    version = head(F.col("_msh"), 12)
-    frames = []
+    def pair(role: str, value: Column) -> Column:
+        return F.struct(F.lit(role).alias("status"), value.alias("_text"))
+
+    def pairs_of(segment: str, role: str, n: int) -> Column:
+        mine = F.filter("_segments", lambda s: F.startswith(s, F.lit(segment + "|")))
+        return F.transform(mine, lambda s: pair(role, field(_fields(s), n)))
+
+    is_25 = F.coalesce(head(F.col("_msh"), 12) == "2.5", F.lit(False))
+    single, repeated = [], []
     for role, segment, n in PROVIDER_ROLES:
         if segment in ("PR1", "DG1", "RXE"):
-            rows, fields = _repeating(ok, segment), F.col("_f")
-        else:
-            rows, fields = ok, F.col(f"_{segment.lower()}")
+            repeated.append(pairs_of(segment, role, n))
+            continue
+        value = field(F.col(f"_{segment.lower()}"), n)
         if segment == "PV1":
-            rows = rows.filter("has_visit")
-        if segment == "ROL":
-            rows = rows.filter(version == "2.5")
-        if segment == "PD1":
-            rows = rows.filter(F.coalesce(version != "2.5", F.lit(True)))
-        frames.append(
-            rows.select(
-                F.trim(F.coalesce("f_facility", F.lit(""))).alias("source"),
-                F.trim(F.coalesce(comp(F.col("_pv1"), 3, 9), F.lit(""))).alias("source_type"),
-                *[v.alias(k) for k, v in _provider_fields(role, fields, n).items()],
-                provider_key(rows, role, fields, n).alias("new_key"),
-            )
-        )
-    everyone = frames[0]
-    for frame in frames[1:]:
-        everyone = everyone.unionByName(frame)
-    found = everyone.filter(F.col("new_key").isNotNull()).distinct()
+            value = F.when(F.col("has_visit"), value)
+        elif segment == "ROL":
+            value = F.when(is_25, value)
+        else:
+            value = F.when(~is_25, value)
+        single.append(pair(role, value))
+    pairs = F.filter(F.concat(F.array(*single), *repeated), lambda p: F.length(p["_text"]) > 0)
+    pv1 = F.col("_pv1")
+    rows = _headed(messages).select(
+        F.trim(F.coalesce("f_facility", F.lit(""))).alias("source"),
+        F.trim(F.coalesce(comp(pv1, 3, 9), F.lit(""))).alias("source_type"),
+        F.trim(F.coalesce(comp(pv1, 1), F.lit(""))).alias("unitname"),
+        "_swapped",
+        F.inline_outer(pairs),
+    ).filter(F.col("_text").isNotNull()).distinct()
+    parts = rows.withColumn("_p", F.split(F.substring_index("_text", "~", 1), "\\^"))
+    part = lambda c: F.trim(F.coalesce(F.try_element_at("_p", F.lit(c)), F.lit("")))
+    named = {"provcode": 1, "lname": 2, "fname": 3, "mname": 4, "prov_type": 7, "suffix": 5}
+    split = _table(
+        parts,
+        "source", "source_type", "unitname", F.lit("").alias("service"), "status",
+        *[part(c).alias(name) for name, c in named.items()],
+    )
+    nonempty = F.length(F.concat("provcode", "lname", "fname", "mname", "suffix")) > 0
+    digest = F.sha1(F.concat(*PROVIDER_KEY_PARTS))
+    found = (
+        split.filter(nonempty)
+        .withColumn("new_key", F.concat(digest, F.lit("-"), F.col("provcode")))
+        .distinct()
+    )
     keys = ["source", "provcode", "lname", "fname", "mname", "suffix"]
     if registry is None:
         return found.withColumns({"vault_based_id": F.col("new_key"), "is_new": F.lit(True)})
@@ -520,7 +597,8 @@ def hl7_pcp(messages: DataFrame) -> DataFrame:
     is_25 = F.coalesce(head(F.col("_msh"), 12) == "2.5", F.lit(False))
     code = F.when(is_25, comp(rol, 4)).otherwise(comp(pd1, 4))
     key = F.when(is_25, provider_key(messages, "pcp", rol, 4)).otherwise(provider_key(messages, "pcp", pd1, 4))
-    return messages.filter("has_header").filter(code.isNotNull()).select(
+    return _table(
+        _keep(_headed(messages), code.isNotNull()),
         F.col("f_facility").alias("source"), F.col("accid_ref").alias("patient_id"), key.alias("provider_id"),
         F.col("event_time").alias("event_timestamp"),
     )
@@ -530,7 +608,8 @@ def hl7_pcp(messages: DataFrame) -> DataFrame:
 
 def hl7_message_log(messages: DataFrame, text: str = "value", file: str = "file") -> DataFrame:
     msh = F.col("_msh")
-    return messages.select(
+    return _table(
+        messages,
         F.col(file), F.when(F.col("has_header"), PARSED).otherwise(NO_HEADER).alias("status"),
         head(msh, 12).alias("hl7_version"), head(msh, 9, 1).alias("message_type"), head(msh, 9, 2).alias("event_code"),
         "f_name", "f_state", "f_facility", "f_pointer", "f_pointer_value", "f_date",
@@ -544,7 +623,7 @@ def hl7_links(messages: DataFrame, file: str = "file") -> DataFrame:
         x for seg in dict.fromkeys(s for s, _ in LINKED_TABLES)
         for x in (F.lit(seg), F.array(*[F.lit(t) for s, t in LINKED_TABLES if s == seg]))
     ])
-    rows = messages.filter("has_header").select(F.col(file), F.explode("_segments").alias("_s"))
+    rows = _rows(_headed(messages).select(file, "_segments"), F.col("_segments"), "_s").drop("_segments")
     split = rows.withColumns({"_seg": F.left("_s", F.lit(3)), "_f": _fields(F.col("_s"))})
     first = comp(F.col("_f"), 1)
     written = F.when(F.col("_seg") == "OBR", F.length(comp(F.col("_f"), 4)) > 1).when(
@@ -574,7 +653,7 @@ def resolve_msh4_oid(messages: DataFrame, crosswalk: DataFrame, file: str = "fil
     """OID of the sending facility: MSH-4 itself when it is one, else by facility name, else by
     mnemonic. ``crosswalk`` has ``name``, ``mnemonic``, ``oid``. Unresolved rows carry an error."""
     msh4 = F.col("msh4")
-    base = messages.filter("has_header").select(F.col(file), field(F.col("_msh"), 3).alias("msh4"))
+    base = _table(_headed(messages), F.col(file), field(F.col("_msh"), 3).alias("msh4"))
     key = F.trim(F.substring_index(msh4, "^", 1))
     names = crosswalk.select(F.trim("name").alias("key"), F.col("oid").alias("value"))
     mnemonics = crosswalk.select(F.trim("mnemonic").alias("key"), F.col("oid").alias("value"))

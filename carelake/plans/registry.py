@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,3 +27,16 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def fill(template: str, **values: Column) -> Column:
+    """Text of a template whose ``{name}`` marks are replaced by column values."""
+    parts = re.split(r"\{(\w+)\}", template)
+    cells = [F.lit(p) if i % 2 == 0 else values[p].cast("string") for i, p in enumerate(parts) if i % 2 or p]
+    return F.concat(*cells)
+
+
+def handed_over(df: DataFrame) -> DataFrame:
+    """The rows through a generator, so that made-up texts reach the parser like scanned ones and
+    conditions on parsed values are not rewritten into the expressions that build the text."""
+    return df.select(F.inline_outer(F.array(F.struct(*df.columns))))

@@ -14,6 +14,7 @@ def local_session(cores: int | str = "*", memory: str = "16g", shuffle_partition
         SparkSession.builder.master(f"local[{cores}]")
         .appName("carelake")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
