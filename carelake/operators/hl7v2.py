@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .joins import lookup_with_fallback
 from ..functions.dates import epoch_seconds, hl7_date, hl7_timestamp
+from ..functions.rows import keep, rows_of
 from ..functions.text import after_last, before, bracketed
 
 SOURCE_TYPE = "hl7v2"
@@ -82,24 +83,8 @@ def _plain(value: Column) -> Column:
     return F.translate(value, _HIDDEN, "|^~")
 
 
-def _keep(df: DataFrame, condition: Column) -> DataFrame:
-    """A filter on a parsed value. It goes through ``_rows``, because a plain filter would be pushed
-    below the parsing steps and repeat them."""
-    return _rows(df, F.when(condition, F.array(F.lit(True))), "_kept").drop("_kept")
-
-
-def _rows(df: DataFrame, items: Column, name: str, position: str | None = None) -> DataFrame:
-    """One row per array element. The outer form with a filter on its output is used because the
-    plain form adds a size test of the array, which is pushed down and parses the text again."""
-    if position is None:
-        made = df.select("*", F.explode_outer(items).alias(name))
-    else:
-        made = df.select("*", F.posexplode_outer(items).alias(position, name))
-    return made.filter(F.col(name).isNotNull())
-
-
 def _headed(messages: DataFrame) -> DataFrame:
-    return _keep(messages, F.col("has_header"))
+    return keep(messages, F.col("has_header"))
 
 
 def _table(rows: DataFrame, *cols) -> DataFrame:
@@ -184,7 +169,7 @@ def hl7_segments(df: DataFrame, text: str = "value", file: str = "file") -> Data
     of messages with other delimiters are still hidden; ``hl7_fields`` restores them)."""
     messages = _headed(_with_canonical(df, text))
     segments = F.filter(F.split("_text", "\r"), lambda s: F.length(s) > 0)
-    lines = _rows(messages.select(file, "_swapped", "_text"), segments, "_s", "_i")
+    lines = rows_of(messages.select(file, "_swapped", "_text"), segments, "_s", "_i")
     return lines.select(
         file, (F.col("_i") + 1).alias("seg_no"), F.left("_s", F.lit(3)).alias("seg"), _fields(F.col("_s")).alias("fields"),
         "_swapped",
@@ -193,14 +178,14 @@ def hl7_segments(df: DataFrame, text: str = "value", file: str = "file") -> Data
 
 def hl7_fields(df: DataFrame, text: str = "value", file: str = "file") -> DataFrame:
     """Long table of component values with field, repetition and component numbers."""
-    rows = _rows(hl7_segments(df, text, file), F.col("fields"), "_f", "_i").drop("fields")
+    rows = rows_of(hl7_segments(df, text, file), F.col("fields"), "_f", "_i").drop("fields")
     numbered = rows.filter("_i > 0").withColumn(
         "field_no", F.when(F.col("seg") == "MSH", F.col("_i") + 1).otherwise(F.col("_i"))
     )
     header = (F.col("seg") == "MSH") & (F.col("field_no") == 2)
-    reps = _rows(numbered, F.when(header, F.array("_f")).otherwise(F.split("_f", "~")), "_rep", "_r")
+    reps = rows_of(numbered, F.when(header, F.array("_f")).otherwise(F.split("_f", "~")), "_rep", "_r")
     header = (F.col("seg") == "MSH") & (F.col("field_no") == 2)
-    parts = _rows(reps, F.when(header, F.array("_rep")).otherwise(F.split("_rep", "\\^")), "value", "_c")
+    parts = rows_of(reps, F.when(header, F.array("_rep")).otherwise(F.split("_rep", "\\^")), "value", "_c")
     return _table(
         parts,
         file, "seg_no", "seg", "field_no", (F.col("_r") + 1).alias("repetition"), (F.col("_c") + 1).alias("component"), "value",
@@ -210,7 +195,7 @@ def hl7_fields(df: DataFrame, text: str = "value", file: str = "file") -> DataFr
 def _repeating(messages: DataFrame, name: str) -> DataFrame:
     """One row per segment of a kind, with its split fields in ``_f``."""
     wanted = F.filter("_segments", lambda s: F.startswith(s, F.lit(name + "|")))
-    return _rows(messages, wanted, "_s").withColumn("_f", _fields(F.col("_s")))
+    return rows_of(messages, wanted, "_s").withColumn("_f", _fields(F.col("_s")))
 
 
 def _after(messages: DataFrame, carrier: str, least_fields: int, name: str) -> DataFrame:
@@ -218,13 +203,13 @@ def _after(messages: DataFrame, carrier: str, least_fields: int, name: str) -> D
     segment as ``_carried`` and the number of the segment since then as ``_since``. Carriers too
     short to hold the inherited field do not replace an earlier one."""
     mark = "(?=\r" + carrier + r"(?:\|[^|\r]*){" + str(least_fields) + "})"
-    pieces = _rows(messages, F.split(F.concat(F.lit("\r"), F.col("_text")), mark), "_piece")
+    pieces = rows_of(messages, F.split(F.concat(F.lit("\r"), F.col("_text")), mark), "_piece")
     lines = F.filter(F.split("_piece", "\r"), lambda s: F.length(s) > 0)
     cut = pieces.withColumn("_lines", lines)
     first = F.try_element_at("_lines", F.lit(1))
     carried = F.when(F.startswith(first, F.lit(carrier + "|")), _fields(first))
     wanted = F.filter("_lines", lambda s: F.startswith(s, F.lit(name + "|")))
-    return _rows(cut.withColumn("_carried", carried), wanted, "_s", "_since").withColumn("_f", _fields(F.col("_s")))
+    return rows_of(cut.withColumn("_carried", carried), wanted, "_s", "_since").withColumn("_f", _fields(F.col("_s")))
 
 
 def _number(value: Column) -> Column:
@@ -280,7 +265,7 @@ def hl7_account(messages: DataFrame) -> DataFrame:
     complaint = F.concat_ws(" : ", *[F.coalesce(comp(pv2, 3, i), F.lit("")) for i in range(1, 5)])
     provider = {r: provider_key(messages, r, pv1, n) for r, s, n in PROVIDER_ROLES if s == "PV1"}
     return _table(
-        _keep(_headed(messages), F.col("has_visit")),
+        keep(_headed(messages), F.col("has_visit")),
         F.col("event_time").alias("index_update_dt_tm"),
         F.col("f_facility").alias("source"),
         F.lit(SOURCE_TYPE).alias("source_type"),
@@ -598,7 +583,7 @@ def hl7_pcp(messages: DataFrame) -> DataFrame:
     code = F.when(is_25, comp(rol, 4)).otherwise(comp(pd1, 4))
     key = F.when(is_25, provider_key(messages, "pcp", rol, 4)).otherwise(provider_key(messages, "pcp", pd1, 4))
     return _table(
-        _keep(_headed(messages), code.isNotNull()),
+        keep(_headed(messages), code.isNotNull()),
         F.col("f_facility").alias("source"), F.col("accid_ref").alias("patient_id"), key.alias("provider_id"),
         F.col("event_time").alias("event_timestamp"),
     )
@@ -623,7 +608,7 @@ def hl7_links(messages: DataFrame, file: str = "file") -> DataFrame:
         x for seg in dict.fromkeys(s for s, _ in LINKED_TABLES)
         for x in (F.lit(seg), F.array(*[F.lit(t) for s, t in LINKED_TABLES if s == seg]))
     ])
-    rows = _rows(_headed(messages).select(file, "_segments"), F.col("_segments"), "_s").drop("_segments")
+    rows = rows_of(_headed(messages).select(file, "_segments"), F.col("_segments"), "_s").drop("_segments")
     split = rows.withColumns({"_seg": F.left("_s", F.lit(3)), "_f": _fields(F.col("_s"))})
     first = comp(F.col("_f"), 1)
     written = F.when(F.col("_seg") == "OBR", F.length(comp(F.col("_f"), 4)) > 1).when(

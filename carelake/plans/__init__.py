@@ -1,4 +1,4 @@
 """Bindings of the operators to the star-schema tables."""
 
-from . import files, hl7_messages, people, visits  # noqa: F401
+from . import documents, files, hl7_messages, people, visits  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
