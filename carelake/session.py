@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,12 @@ def local_session(cores: int | str = "*", memory: str = "16g", shuffle_partition
     )
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder, for tables written between two jobs."""
+    _ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is not None:
