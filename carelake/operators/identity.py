@@ -63,7 +63,7 @@ def resolve_identities(
     unmatched = matched.filter(F.col("mpi").isNull()).drop("mpi").join(first, list(keys))
     top = master.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_top"))
     minted = (
-        with_position(unmatched, [F.col(k) for k in keys], "_rn")
+        with_position(unmatched, [F.col(k) for k in keys], "_rn", unique=True)
         .join(F.broadcast(top))
         .withColumn("id", (F.col("_top") + F.col("_rn")).cast(master.schema["id"].dataType))
         .drop("_top", "_rn")

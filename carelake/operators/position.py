@@ -5,6 +5,10 @@ partitioned on the full order (the tie-break is part of the range key, so equal
 may be cut across partitions), numbered inside each partition, and shifted by the row counts of
 the partitions before. The numbered rows are checkpointed because range bounds are sampled: the
 counts and the rows must come from the same split.
+
+Range bounds cannot cut between equal rows. Unless the caller says that the order is unique, exact
+copies are therefore counted first (on the map side), numbered as one row, and spread out again at
+the end, so a group of copies of any size never meets in one sort.
 """
 
 from __future__ import annotations
@@ -16,11 +20,20 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import cut
 
 _PID_BITS = 33
+_BLOCK = 1 << 16
+
+
+def _partitions(df: DataFrame, partitions: int | None) -> int:
+    return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _range_numbered(df: DataFrame, order: Sequence[Column], partitions: int | None) -> DataFrame:
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+def _range_numbered(df: DataFrame, order: Sequence[Column], unique: bool, partitions: int | None) -> DataFrame:
+    """Rows with ``_copies``, the partition ``_pid`` and the place ``_idx`` among its rows."""
+    if unique:
+        counted = df.withColumn("_copies", F.lit(1).cast("bigint"))
+    else:
+        counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    ranged = counted.repartitionByRange(_partitions(df, partitions), *order).sortWithinPartitions(*order)
     return cut(ranged.withColumn("_mid", F.monotonically_increasing_id())).withColumns(
         {
             "_pid": F.shiftright("_mid", _PID_BITS),
@@ -32,47 +45,70 @@ def _range_numbered(df: DataFrame, order: Sequence[Column], partitions: int | No
 def _offsets(numbered: DataFrame) -> DataFrame:
     """Rows before each partition. One row per range partition, so the single-task window and
     the broadcast are bounded by the partition count."""
-    counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    counts = numbered.groupBy("_pid").agg(F.sum("_copies").alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     return counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
 
 
+def _with_copies(df: DataFrame, unique: bool, partitions: int | None) -> DataFrame:
+    """One row per copy with its number ``_copy`` from 0. Large groups are first cut into blocks
+    that are spread over the tasks."""
+    if unique:
+        return df.withColumn("_copy", F.lit(0).cast("bigint"))
+    few = df.filter(F.col("_copies") <= _BLOCK).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1))
+    )
+    step = F.lit(_BLOCK).cast("bigint")
+    blocks = df.filter(F.col("_copies") > _BLOCK).withColumn(
+        "_from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1, step))
+    )
+    many = blocks.repartition(_partitions(df, partitions), "_pid", "_idx", "_from").withColumn(
+        "_copy", F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + step, F.col("_copies")) - 1))
+    )
+    return few.unionByName(many.drop("_from"))
+
+
 def with_position(
-    df: DataFrame, order: Sequence[Column], name: str = "position", partitions: int | None = None
+    df: DataFrame, order: Sequence[Column], name: str = "position", unique: bool = False, partitions: int | None = None
 ) -> DataFrame:
-    """1-based position of every row in the total order given by ``order``."""
-    numbered = _range_numbered(df, order, partitions)
+    """1-based position of every row in the total order given by ``order``. Rows that are equal in
+    the order but not elsewhere are placed in no stated order, so include a tie-break."""
+    numbered = _range_numbered(df, order, unique, partitions)
+    before = Window.partitionBy("_pid").orderBy("_idx").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("_idx") if unique else F.coalesce(F.sum("_copies").over(before), F.lit(0))
+    placed = numbered.withColumn("_start", start).join(F.broadcast(_offsets(numbered)), "_pid")
     return (
-        numbered.join(F.broadcast(_offsets(numbered)), "_pid")
-        .withColumn(name, F.col("_offset") + F.col("_idx") + 1)
+        _with_copies(placed, unique, partitions)
+        .withColumn(name, F.col("_offset") + F.col("_start") + F.col("_copy") + 1)
         .select(*df.columns, name)
     )
 
 
 def with_previous(
-    df: DataFrame, order: Sequence[Column], cols: Sequence[str], partitions: int | None = None
+    df: DataFrame, order: Sequence[Column], cols: Sequence[str], unique: bool = False, partitions: int | None = None
 ) -> DataFrame:
     """Adds ``prev_<col>`` from the preceding row of the whole ordered table.
 
     Inside a range partition this is a ``lag``; the first row of a partition takes the last row
-    of the nearest non-empty partition before it, from a table with one row per partition.
+    of the nearest non-empty partition before it, from a table with one row per partition. The
+    row before a further copy is the copy itself.
     """
-    numbered = _range_numbered(df, order, partitions)
+    numbered = _range_numbered(df, order, unique, partitions)
     here = Window.partitionBy("_pid").orderBy("_idx")
     row = F.struct(*cols)
     lagged = numbered.withColumn("_prev", F.lag(row).over(here))
     last = numbered.groupBy("_pid").agg(F.max_by(row, "_idx").alias("_last"))
     edges = last.select("_pid", F.lag("_last").over(Window.orderBy("_pid")).alias("_edge"))
-    joined = lagged.join(F.broadcast(edges), "_pid")
-    prev = F.when(F.col("_idx") == 0, F.col("_edge")).otherwise(F.col("_prev"))
+    joined = _with_copies(lagged.join(F.broadcast(edges), "_pid"), unique, partitions)
+    prev = F.when(F.col("_copy") > 0, row).when(F.col("_idx") == 0, F.col("_edge")).otherwise(F.col("_prev"))
     return joined.withColumn("_p", prev).select(
         *df.columns, *[F.col(f"_p.{c}").alias(f"prev_{c}") for c in cols]
     )
 
 
-def batches(df: DataFrame, size: int, order: Sequence[Column], name: str = "batch") -> DataFrame:
+def batches(df: DataFrame, size: int, order: Sequence[Column], name: str = "batch", unique: bool = False) -> DataFrame:
     """Consecutive batches of ``size`` rows, numbered from 0."""
-    placed = with_position(df, order, "_pos")
+    placed = with_position(df, order, "_pos", unique)
     return placed.withColumn(name, F.floor((F.col("_pos") - 1) / F.lit(size))).drop("_pos")
 
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .registry import fill, handed_over, query, table
+from .registry import fill, handed_over, query, spread, table
 from ..operators import ccda
 
 # {marks} are columns of the customer.
@@ -59,7 +59,7 @@ EXTRA = """<component><section><code code="46240-8"/><title>Again</title></secti
 
 def document_text(spark, sf_dir):
     """Columns ``file`` and ``value``, one row per customer."""
-    c = table(spark, sf_dir, "customer").repartition("c_custkey")
+    c = spread(table(spark, sf_dir, "customer"), "c_custkey")
     n = F.col("c_nationkey")
     facts = c.select(
         F.col("c_custkey").alias("key"), n.alias("n"), F.lpad(((n % 12) + 1).cast("string"), 2, "0").alias("n2"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .registry import fill, handed_over, query, table
+from .registry import fill, handed_over, query, spread, table
 from ..operators import hl7v2
 
 
@@ -45,8 +45,7 @@ OBX|1|NM|HGB^Hemoglobin||{key}|g/dL|||||P
 
 def message_text(spark, sf_dir) -> DataFrame:
     """Columns ``file`` and ``value``, one row per order."""
-    # The narrow rows are spread before they grow into texts: one small file would be one task.
-    orders = table(spark, sf_dir, "orders").repartition("o_orderkey")
+    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
     o = orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     n = F.col("c_nationkey")
     low = F.col("o_orderpriority") == "5-LOW"

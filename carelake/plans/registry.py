@@ -40,3 +40,9 @@ def handed_over(df: DataFrame) -> DataFrame:
     """The rows through a generator, so that made-up texts reach the parser like scanned ones and
     conditions on parsed values are not rewritten into the expressions that build the text."""
     return df.select(F.inline_outer(F.array(F.struct(*df.columns))))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Narrow rows over all cores before they grow into texts: a small file would be one task, and
+    a partitioning without a fixed number would be merged again because the rows are still small."""
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism, key)
