@@ -61,12 +61,11 @@ def resolve_identities(
         else complete.select(*keys).distinct()
     )
     unmatched = matched.filter(F.col("mpi").isNull()).drop("mpi").join(first, list(keys))
-    top = master.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_top"))
+    top = master.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
     minted = (
         with_position(unmatched, [F.col(k) for k in keys], "_rn", unique=True)
-        .join(F.broadcast(top))
-        .withColumn("id", (F.col("_top") + F.col("_rn")).cast(master.schema["id"].dataType))
-        .drop("_top", "_rn")
+        .withColumn("id", (top + F.col("_rn")).cast(master.schema["id"].dataType))
+        .drop("_rn")
     )
     master2 = master.unionByName(minted, allowMissingColumns=True)
     ids = matched.filter(F.col("mpi").isNotNull()).select(*keys, F.col("mpi")).unionByName(
@@ -135,5 +134,5 @@ def distinct_mpi(groupings: DataFrame, mpi: str = "MPI") -> DataFrame:
 def distinct_mpi_is_stale(groupings: DataFrame, current: DataFrame, mpi: str = "MPI") -> DataFrame:
     """One row telling whether the lookup must be rebuilt (its row count no longer fits)."""
     fresh = distinct_mpi(groupings, mpi).agg(F.count(F.lit(1)).alias("n_new"))
-    old = current.agg(F.count(F.lit(1)).alias("n_current"))
-    return fresh.join(F.broadcast(old)).withColumn("stale", F.col("n_new") != F.col("n_current"))
+    old = current.agg(F.count(F.lit(1))).scalar()
+    return fresh.withColumn("n_current", old).withColumn("stale", F.col("n_new") != F.col("n_current"))

@@ -30,10 +30,9 @@ def skew_join(
     ``how`` is inner, left, left_semi or left_anti.
     """
     counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total"))
+    total = counts.agg(F.sum("_n")).scalar()
     hot = (
-        counts.join(F.broadcast(total))
-        .filter(F.col("_n") * salts > F.col("_total"))
+        counts.filter(F.col("_n") * salts > total)
         .select(*[F.col(c).alias(f"_hot_{c}") for c in on])
         .withColumn("_is_hot", F.lit(True))
     )

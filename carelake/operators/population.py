@@ -150,7 +150,7 @@ def panel_population(panel: DataFrame, master: DataFrame, least_mpi: int = 10, s
             F.col("mpi"),
             F.col("firstname").alias("first_name"),
             F.col("lastname").alias("last_name"),
-            F.date_format(F.to_date("dob"), "MM/dd/yyyy").alias("dob"),
+            F.date_format(F.try_to_date("dob", "yyyy-MM-dd"), "MM/dd/yyyy").alias("dob"),
             F.col("sex"),
             F.col("Residential Address").alias("street1"),
             "City",
@@ -179,7 +179,7 @@ def attribution_file(panel: DataFrame, organization_oid: str, organization_name:
     ready = panel.filter(F.col("Gender").isNotNull() & F.col("mpi").isNotNull()).withColumns(
         {
             "mpi": F.when(F.col("mpi") == 0, "").otherwise(F.col("mpi").cast("string")),
-            "DOB": F.date_format(F.to_date(F.col("DOB")), "MM/dd/yyyy"),
+            "DOB": F.date_format(F.try_to_date("DOB", "yyyy-MM-dd"), "MM/dd/yyyy"),
         }
     )
 

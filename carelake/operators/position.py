@@ -115,13 +115,8 @@ def batches(df: DataFrame, size: int, order: Sequence[Column], name: str = "batc
 def batches_n(df: DataFrame, n: int, order: Sequence[Column], name: str = "batch") -> DataFrame:
     """At most ``n`` batches of ``ceil(rows / n)`` rows."""
     placed = with_position(df, order, "_pos")
-    total = placed.agg(F.max("_pos").alias("_total"))
-    size = F.ceil(F.col("_total") / F.lit(n))
-    return (
-        placed.join(F.broadcast(total))
-        .withColumn(name, F.floor((F.col("_pos") - 1) / size))
-        .drop("_pos", "_total")
-    )
+    total = placed.agg(F.max("_pos")).scalar()
+    return placed.withColumn(name, F.floor((F.col("_pos") - 1) / F.ceil(total / F.lit(n)))).drop("_pos")
 
 
 def range_split(df: DataFrame, size: int, max_parts: int, order: Sequence[Column], name: str = "part") -> DataFrame:

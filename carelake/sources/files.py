@@ -90,7 +90,7 @@ def read_tsv_logs(spark: SparkSession, path: str, columns: Sequence[str], glob:
 def read_text_files(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
     """Small files as (file_path, file_content, index_update): the month of last change."""
     files = (
-        spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path)
+        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path, wholetext=True)
     )
     return files.select(
         F.col("_metadata.file_path").alias("file_path"),
@@ -116,7 +116,7 @@ def read_hl7v2(spark: SparkSession, path: str, charset: str = "ISO-8859-1", glob
 def read_ccda(spark: SparkSession, path: str) -> DataFrame:
     """XML documents of a folder tree as (file, value), whatever the case of the suffix."""
     files = (
-        spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.[xX][mM][lL]").text(path)
+        spark.read.option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.[xX][mM][lL]").text(path, wholetext=True)
     )
     return files.select(F.col("_metadata.file_name").alias("file"), "value")
