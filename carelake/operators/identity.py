@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .joins import skew_join
 from .position import with_position, with_previous
+from ..session import cut
 from ..functions.dates import hl7_date
 from ..functions.predicates import LOOKUP_MPI_SENTINELS
 
@@ -52,15 +53,13 @@ def resolve_identities(
     come from its record with the least ``record`` id.
     """
     complete = new.filter(_filled(keys))
-    matched = match_identities(complete, master, keys)
-    first = (
-        complete.groupBy(*keys)
-        .agg(F.min_by(F.struct(*extra), record).alias("_x"))
-        .select(*keys, *[F.col(f"_x.{c}").alias(c) for c in extra])
-        if extra
-        else complete.select(*keys).distinct()
+    people = complete.groupBy(*keys).agg(
+        F.min_by(F.struct(*(extra or keys)), record).alias("_x"), F.count(F.lit(1)).alias("_n")
     )
-    unmatched = matched.filter(F.col("mpi").isNull()).drop("mpi").join(first, list(keys))
+    known = master.groupBy(*keys).agg(F.max("id").alias("mpi"))
+    # Kept: the new people are numbered from it, and both the ids and the key counts come from it.
+    matched = cut(people.join(known, list(keys), "left"))
+    unmatched = matched.filter(F.col("mpi").isNull()).select(*keys, *[F.col(f"_x.{c}").alias(c) for c in extra])
     top = master.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
     minted = (
         with_position(unmatched, [F.col(k) for k in keys], "_rn", unique=True)
@@ -68,10 +67,10 @@ def resolve_identities(
         .drop("_rn")
     )
     master2 = master.unionByName(minted, allowMissingColumns=True)
-    ids = matched.filter(F.col("mpi").isNotNull()).select(*keys, F.col("mpi")).unionByName(
+    ids = matched.filter(F.col("mpi").isNotNull()).select(*keys, "mpi").unionByName(
         minted.select(*keys, F.col("id").alias("mpi"))
     )
-    found = skew_join(complete, ids, list(keys), spread=[record])
+    found = skew_join(complete, ids, list(keys), spread=[record], counts=matched.select(*keys, "_n"))
     without_key = new.filter(~_filled(keys)).withColumn("mpi", F.lit(0).cast(found.schema["mpi"].dataType))
     return found.unionByName(without_key), master2
 

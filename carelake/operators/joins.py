@@ -19,6 +19,7 @@ def skew_join(
     how: str = "inner",
     salts: int = 32,
     spread: Sequence[str] | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join whose hot left keys are spread over ``salts`` tasks.
 
@@ -27,9 +28,11 @@ def skew_join(
     once per salt; every left row meets exactly one copy, so the result is unchanged. Left rows
     with a null key match nothing and are spread as well. The salt is a hash of the row, not a
     random number, so a task that is run again sends its rows to the same place.
-    ``how`` is inner, left, left_semi or left_anti.
+    ``how`` is inner, left, left_semi or left_anti. ``counts`` (keys and ``_n``) saves the pass that
+    counts the left keys when the caller has them already.
     """
-    counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    if counts is None:
+        counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
     hot = (
         counts.filter(F.col("_n") * salts > total)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.rows import rows_of
+
 # Colour of a risk label; project id prefixes; name columns of a ticket, in order.
 RISK_COLOURS = {"Critical": "crimson", "High": "red", "Medium": "orange", "Low": "lime"}
 PROJECT_PREFIXES = ("L-", "S-", "C-")
@@ -142,17 +144,14 @@ def shape_tickets(support: DataFrame, projects: DataFrame, reasons: DataFrame, d
 def flatten_boards(boards: DataFrame, board: str = "board", swimlanes: str = "swimlanes") -> DataFrame:
     """One row per checklist of nested boards: swimlanes -> cards -> checklists. Boards, lanes and
     cards without children give no rows. Everything stays inside the row, so nothing is shuffled."""
-    return (
-        boards.select(board, F.posexplode(swimlanes).alias("lane_no", "_lane"))
-        .select(board, "lane_no", F.posexplode("_lane.cards").alias("card_no", "_card"))
-        .select(board, "lane_no", "card_no", F.col("_card.id").alias("card"),
-                F.posexplode("_card.checklists").alias("checklist_no", "checklist"))
-    )
+    lanes = rows_of(boards.select(board, swimlanes), F.col(swimlanes), "_lane", "lane_no").drop(swimlanes)
+    cards = rows_of(lanes, F.col("_lane.cards"), "_card", "card_no").drop("_lane")
+    lists = rows_of(cards, F.col("_card.checklists"), "checklist", "checklist_no")
+    return lists.select(board, "lane_no", "card_no", F.col("_card.id").alias("card"), "checklist_no", "checklist")
 
 
 def find_card(boards: DataFrame, card_id, board: str = "board", swimlanes: str = "swimlanes") -> DataFrame:
     """Board and lane of a card."""
-    lanes = boards.select(board, F.posexplode(swimlanes).alias("lane_no", "_lane"))
-    cards = lanes.select(board, "lane_no", F.explode("_lane.cards").alias("_card"))
+    lanes = rows_of(boards.select(board, swimlanes), F.col(swimlanes), "_lane", "lane_no").drop(swimlanes)
+    cards = rows_of(lanes, F.col("_lane.cards"), "_card")
     return cards.select(board, "lane_no", F.col("_card.id").alias("card")).filter(F.col("card") == card_id)
-

@@ -452,21 +452,16 @@ def _boards(spark, sf_dir):
 
 
 @query("flatten_boards", """
-SELECT board, lane_no, card_no, count(*) AS n, string_agg(word, ' ' ORDER BY w) AS words FROM (
- SELECT board, lane_no, card_no, generate_subscripts(ws, 1) AS w, unnest(ws) AS word FROM (
-  SELECT board, lane_no, card_no, list_filter(string_split(trim(card, ' '), ' '), lambda x: length(x) > 0) AS ws FROM (
-   SELECT board, lane_no, generate_subscripts(cards, 1) - 1 AS card_no, unnest(cards) AS card FROM (
-    SELECT board, lane_no, string_split(lane, '.') AS cards FROM (
-     SELECT doc_id AS board, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS lane_no, unnest(string_split(text, chr(10))) AS lane FROM documents)))))
-GROUP BY board, lane_no, card_no
+SELECT board, lane_no, card_no, generate_subscripts(ws, 1) - 1 AS checklist_no, unnest(ws) AS checklist FROM (
+ SELECT board, lane_no, card_no, list_filter(string_split(trim(card, ' '), ' '), lambda x: length(x) > 0) AS ws FROM (
+  SELECT board, lane_no, generate_subscripts(cards, 1) - 1 AS card_no, unnest(cards) AS card FROM (
+   SELECT board, lane_no, string_split(lane, '.') AS cards FROM (
+    SELECT doc_id AS board, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS lane_no, unnest(string_split(text, chr(10))) AS lane FROM documents))))
 """)
 def flatten_boards(spark, sf_dir):
-    # One list per card: a card is one sentence of one document.
     flat = tickets.flatten_boards(_boards(spark, sf_dir))
-    words = F.transform(F.array_sort(F.collect_list(F.struct("checklist_no", "checklist"))), lambda x: x["checklist"])
-    return flat.groupBy("board", "lane_no", "card_no").agg(F.count(F.lit(1)).alias("n"), F.array_join(words, " ").alias("words")).select(
-        "board", F.col("lane_no").cast("bigint").alias("lane_no"), F.col("card_no").cast("bigint").alias("card_no"), "n", "words"
-    )
+    numbers = {c: F.col(c).cast("bigint") for c in ("lane_no", "card_no", "checklist_no")}
+    return flat.withColumns(numbers).select("board", "lane_no", "card_no", "checklist_no", "checklist")
 
 
 @query("clean_logs", """
