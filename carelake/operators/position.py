@@ -17,14 +17,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import cut
+from ..session import cut, task_count
 
 _PID_BITS = 33
 _BLOCK = 1 << 16
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
-    return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return partitions or task_count(df.sparkSession)
 
 
 def _range_numbered(df: DataFrame, order: Sequence[Column], unique: bool, partitions: int | None) -> DataFrame:

@@ -25,6 +25,11 @@ def local_session(cores: int | str = "*", memory: str = "16g", shuffle_partition
     )
 
 
+def task_count(spark: SparkSession) -> int:
+    """Number of tasks a large step is cut into: the shuffle setting, at least one per core."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared checkpoint folder, for tables written between two jobs."""
     _ensure_checkpoint_dir(spark)

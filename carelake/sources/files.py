@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import base_name
+from .sinks import save_partitions
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -99,12 +100,9 @@ def read_text_files(spark: SparkSession, path: str, glob: str = "*.json") -> Dat
     )
 
 
-def compact_text_files(spark: SparkSession, path: str, out: str, glob: str = "*.json", files_per_month: int = 16) -> None:
-    """Packs small files into monthly Parquet folders; a re-run replaces the months it sees. A month
-    is written by several tasks, so a month holding most of the files is not one task."""
-    rows = read_text_files(spark, path, glob)
-    spread = rows.repartition("index_update", F.pmod(F.xxhash64("file_path"), F.lit(files_per_month)))
-    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("index_update").parquet(out)
+def compact_text_files(spark: SparkSession, path: str, out: str, glob: str = "*.json") -> None:
+    """Packs small files into monthly Parquet folders; a re-run replaces the months it sees."""
+    save_partitions(read_text_files(spark, path, glob), out, ["index_update"])
 
 
 def read_hl7v2(spark: SparkSession, path: str, charset: str = "ISO-8859-1", glob: str = "*") -> DataFrame:

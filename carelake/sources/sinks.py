@@ -33,9 +33,11 @@ def save_table(
 
 
 def save_partitions(df: DataFrame, path: str, partition: Sequence[str], fmt: str = "parquet") -> None:
-    """Files under partition folders; a re-run replaces exactly the partitions it writes."""
+    """Files under partition folders; a re-run replaces exactly the partitions it writes. Rows are
+    gathered per folder and rebalanced, so a folder holding most of the rows gets many files of the
+    advised size and a small one gets one."""
     (
-        df.repartition(*partition, F.pmod(F.xxhash64(*df.columns), F.lit(16)))
+        df.hint("rebalance", *[F.col(c) for c in partition])
         .write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -72,7 +72,7 @@ def test_skew_join_equals_join(spark, rows_of, how):
         F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id") % 50).alias("k"), F.col("id").alias("v"))
     right = spark.range(40).select((F.col("id") % 30).alias("k"), (F.col("id") * 10).alias("w"))
     expected = left.join(right, "k", how)
-    got = joins.skew_join(left, right, ["k"], how, salts=8)
+    got = joins.skew_join(left, right, ["k"], how, tasks=8)
     assert rows_of(got.select(*expected.columns)) == rows_of(expected)
 
 
