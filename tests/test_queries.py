@@ -21,6 +21,8 @@ def con():
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(name, spark, con):
     df = entry.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [step for step in ("CartesianProduct", "NestedLoop", "EvalPython", "InPandas") if step in plan]
     columns = sorted(df.columns)
     rows = sorted(tuple(normal(r[c]) for c in columns) for r in df.collect())
     cur = con.execute(entry.oracle_sql()[name])
