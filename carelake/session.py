@@ -91,5 +91,5 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     still there when an executor is lost."""
     spark = df.sparkSession
     folder = shared_folder(spark, name)
-    df.write.partitionBy(*(partition_by or [])).parquet(folder)
+    df.write.option("compression", "zstd").partitionBy(*(partition_by or [])).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
