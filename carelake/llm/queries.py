@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, packing, shards
+from . import darts, language, mixing, neighbours, packing, privacy, shards, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,6 +42,30 @@ def op1_shards(spark, sf_dir):
     )
 
 
+NEAR_SQL = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+      AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+l AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE list_inner_product(a.e, b.e) / sqrt(list_inner_product(a.e, a.e)) / sqrt(list_inner_product(b.e, b.e)) >= 0.93),
+r(id, root) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.root FROM r JOIN l ON r.id = l.a)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = vec_id) AS n_links, root AS component_id, vec_id = root AS kept, 1.0::DOUBLE AS recall
+FROM (SELECT id AS vec_id, min(root) AS root FROM r GROUP BY id)
+"""
+
+
+@query("op2_near_vectors", NEAR_SQL)
+def op2_near_vectors(spark, sf_dir):
+    return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op3_near_documents")
+def op3_near_documents(spark, sf_dir):
+    return darts.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def _mix_rounds(rounds: int) -> str:
     """SQL for the rounds of the mix: each takes the front of the ranks among what still fits."""
     steps = []
@@ -98,6 +122,39 @@ def op5_mix(spark, sf_dir):
     return mix.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@query("op6_top_k", """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS w FROM embeddings
+    WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.w) + 1), lambda i: q.w[i] * c.w[i])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+""")
+def op6_top_k(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op7_language")
+def op7_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.filter(~language.held_out("doc_id")))
+    rows = docs.select("doc_id", "text", language.held_out("doc_id").alias("held_out"))
+    return language.with_language(rows, model).drop("text")
+
+
+@query("op8_privacy")
+def op8_privacy(spark, sf_dir):
+    spans = privacy.protected(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return spans.select(
+        "doc_id",
+        *[F.size(kind).cast("bigint").alias(f"n_{kind}") for kind in privacy.KINDS],
+        F.sha2(privacy.listed(privacy.KINDS), 256).alias("base_sha256"),
+        privacy.listed((*privacy.KINDS, "term")).alias("spans"),
+    )
+
+
 @query("op9_packing")
 def op9_packing(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -105,3 +162,12 @@ def op9_packing(spark, sf_dir):
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(~language.held_out("doc_id"))
+    model = toxicity.fit(docs, labels)
+    rows = docs.select("doc_id", "text", language.held_out("doc_id").alias("held_out"))
+    return toxicity.scored(model, rows).drop("text")
