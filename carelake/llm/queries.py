@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import darts, language, mixing, neighbours, packing, privacy, shards, topk, toxicity
+from . import darts, language, lm, mixing, neighbours, packing, privacy, shards, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -66,6 +66,11 @@ def op3_near_documents(spark, sf_dir):
     return darts.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op4_lm_scores")
+def op4_lm_scores(spark, sf_dir):
+    return lm.scored(table(spark, sf_dir, "documents"))
+
+
 def _mix_rounds(rounds: int) -> str:
     """SQL for the rounds of the mix: each takes the front of the ranks among what still fits."""
     steps = []
