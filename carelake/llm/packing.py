@@ -21,55 +21,82 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..session import written
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_CONTROL = re.compile(r"[\x1c-\x1f]")  # white space to str.split, signs to a tokenizer
 _TRAIL = re.compile(r"[.,!?;:]+$")
 
 
+def _plain(word: str) -> bool:
+    """Latin letters only, which stay one run of letters whatever the normaliser does."""
+    return word.isalpha() and (word.isascii() or (max(word) < "\u0250" and "\u0130" not in word))
+
+
 class WordEncoder:
     """Ids of whole texts for a tokenizer that never merges across white space.
 
     Words repeat, so each one is encoded once and remembered; ``limit`` bounds what is remembered
     (the memory is emptied when full). Closing punctuation after a letter or digit is a token of its
-    own in such a tokenizer, so word and punctuation are remembered apart.
+    own in such a tokenizer, so word and punctuation are remembered apart. Words of letters are encoded
+    many at a time, as one text, which is cut behind the ids that end a word.
     """
 
     def __init__(self, path: str, limit: int = 1_000_000):
+        import os
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.limit = limit
         self.known: dict[str, bytes] = {}
 
     def _parts(self, word: str) -> tuple[str, str]:
         if word.isascii():
             word = word.lower()
-        tail = _TRAIL.search(word)
+        tail = _TRAIL.search(word) if word[-1] in ".,!?;:" else None
         if tail and tail.start() and word[tail.start() - 1].isascii() and word[tail.start() - 1].isalnum():
             return word[: tail.start()], tail.group()
         return word, ""
 
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(code.ids, dtype="<u4") for code in found]
+
     def _learn(self, words: set[str]) -> None:
         known = self.known
         if len(known) + 2 * len(words) > self.limit:
             known.clear()
         parts = {w: self._parts(w) for w in words}
         fresh = list({p for pair in parts.values() for p in pair if p and p not in known})
-        for at in range(0, len(fresh), 4096):
-            some = fresh[at : at + 4096]
-            for word, code in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[word] = np.array(code.ids, dtype="<u4").tobytes()
+        letters, other = [w for w in fresh if _plain(w)], [w for w in fresh if not _plain(w)]
+        groups = [letters[i : i + 128] for i in range(0, len(letters), 128)]
+        for group, ids in zip(groups, self._ids([" ".join(g) for g in groups])):
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(group) and (not len(ids) or cuts[-1] == len(ids)):
+                raw, begin = ids.tobytes(), 0
+                for word, end in zip(group, (cuts * 4).tolist()):
+                    known[word] = raw[begin:end]
+                    begin = end
+            else:  # a tokenizer that marks word ends in another way
+                other.extend(group)
+        for word, ids in zip(other, self._ids(other)):
+            known[word] = ids.tobytes()
         for word, (core, tail) in parts.items():
             known[word] = known[core] + known[tail] if tail else known[core]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [_WORD.findall(t) if t else [] for t in texts]
-        known = self.known
-        fresh = {w for words in split for w in words if w not in known}
+        split = [(_WORD.findall(t) if _CONTROL.search(t) else t.split()) if t else [] for t in texts]
+        codes = [list(map(self.known.get, words)) for words in split]
+        fresh = {w for words, code in zip(split, codes) if None in code for w, c in zip(words, code) if c is None}
         if fresh:
             self._learn(fresh)
-            if len(self.known) > self.limit or any(w not in known for words in split for w in words):
-                self._learn({w for words in split for w in words if w not in known})
-        return [b"".join([known[w] for w in words]) for words in split]
+            for words, code in zip(split, codes):
+                if None in code:
+                    code[:] = [self.known[w] if c is None else c for w, c in zip(words, code)]
+        return [b"".join(code) for code in codes]
 
 
 _encoders: dict[str, WordEncoder] = {}
