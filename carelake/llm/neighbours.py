@@ -57,7 +57,7 @@ def _pairs(a, b, sim) -> pa.RecordBatch:
     return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sim, pa.float64())], names=["a", "b", "sim"])
 
 
-def tree_pairs(vectors: DataFrame, seed: int, bits: int, keep: int, block: int = 64) -> DataFrame:
+def tree_pairs(vectors: DataFrame, seed: int, bits: int, keep: int, parts: int, block: int = 64) -> DataFrame:
     """Pairs (a < b) of rows that share a block of one random tree, the ``keep`` best of each row."""
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,7 +94,7 @@ def tree_pairs(vectors: DataFrame, seed: int, bits: int, keep: int, block: int =
 
     order = ["_label", "_n", "_code", "_side", "c"]
     rows = vectors.select("c", "_label", "_v").mapInArrow(coded, "c bigint, _label string, _v array<double>, _n bigint, _code bigint, _side double")
-    sorted_rows = rows.repartitionByRange(task_count(vectors.sparkSession), *order).sortWithinPartitions(*order)
+    sorted_rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     return sorted_rows.mapInArrow(compared, _PAIR)
 
 
@@ -175,13 +175,14 @@ def near_links(
     """Links (a, b, sim) between classes with cosine of at least ``threshold``, and the audited recall."""
     largest = vectors.groupBy("_label").count().agg(F.max("count")).first()[0] or 1
     bits = max(1, int(np.ceil(np.log2(max(2, largest / 48)))))
+    parts = max(1, min(task_count(vectors.sparkSession), vectors.count() // 512))  # a cut separates neighbours
     truth = written(audit_links(vectors, threshold, audit_rows), "audit")
     wanted = truth.count()
     known, recall = None, 0.0
     for step in range(rounds):
         fresh = None
         for t in range(trees if step == 0 else 2):
-            pairs = tree_pairs(vectors, 100 * step + t, bits, room)
+            pairs = tree_pairs(vectors, 100 * step + t, bits, room, parts)
             fresh = pairs if fresh is None else fresh.unionByName(pairs)
         fresh = fresh.groupBy("a", "b").agg(F.max("sim").alias("sim"))
         known = written(fresh if known is None else known.unionByName(fresh.join(known, ["a", "b"], "left_anti")), "known")
