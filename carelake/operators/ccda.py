@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.rows import rows_of
+from ..functions.rows import keep, rows_of
 from ..functions.text import base_name, before
 
 # Section codes of the extracts.
@@ -137,11 +137,11 @@ _EVENT = {
 _SEEN = _struct(_classCode="string")
 
 
-def _section_schema(kind: str | None) -> str:
-    """Sections with the entries of one event kind in full and only the presence of the others."""
-    entry = _struct(**{k: _array(_EVENT[k] if k == kind else _SEEN) for k in KINDS})
+def _section_schema(*kinds: str) -> str:
+    """Sections with the entries of the event kinds in full and only the presence of the others."""
+    entry = _struct(**{k: _array(_EVENT[k] if k in kinds else _SEEN) for k in KINDS})
     fields = {"code": _struct(_code="string"), "title": "string", "text": "string"}
-    if kind is not None:
+    if kinds:
         fields = {"code": fields["code"], "entry": _array(entry)}
     return _struct(**fields)
 
@@ -279,10 +279,10 @@ def _all_sections(df: DataFrame, file: str, text: str, schema: str) -> DataFrame
 
 def ccda_sections(df: DataFrame, file: str = "file", text: str = "value") -> DataFrame:
     """Number of sections of each known kind per document; more than one is an error."""
-    doc = _all_sections(df, file, text, _section_schema(None))
-    kinds = F.create_map(*[x for kind, code in SECTIONS.items() for x in (F.lit(code), F.lit(kind))])
-    found = rows_of(doc, F.transform("_sections", lambda s: F.try_element_at(kinds, s["code"]["_code"])), "section")
-    return found.groupBy(file, "section").agg(F.count(F.lit(1)).alias("n"))
+    doc = _all_sections(df, file, text, _section_schema())
+    count = lambda kind, code: F.struct(F.lit(kind).alias("section"), F.size(_of_code(code)).cast("bigint").alias("n"))
+    counts = F.array(*[count(kind, code) for kind, code in SECTIONS.items()])
+    return rows_of(doc, F.filter(counts, lambda c: c["n"] > 0), "_c").select(F.col(file), "_c.section", "_c.n")
 
 
 def _entries(df: DataFrame, file: str, text: str, section: str) -> DataFrame:
@@ -301,9 +301,12 @@ def _n_events(entry: Column) -> Column:
     return total
 
 
-def _events(df: DataFrame, file: str, text: str, section: str, single: bool = True, others: bool = False) -> DataFrame:
+def _events(
+    df: DataFrame, file: str, text: str, section: str, single: bool = True, others: bool = False, entries: int | None = None
+) -> DataFrame:
     """One row per event of the section's kind. ``single``: entries hold one event each;
-    ``others``: events of other kinds are skipped instead of spoiling the document."""
+    ``others``: events of other kinds are skipped instead of spoiling the document; ``entries``: the
+    most entries a section may hold."""
     kind = EVENTS[section]
     doc = _entries(df, file, text, section)
     ok = F.lit(True)
@@ -311,10 +314,58 @@ def _events(df: DataFrame, file: str, text: str, section: str, single: bool = Tr
         ok = ok & F.forall("_entries", lambda e: _n_events(e) <= 1)
     if not others:
         ok = ok & F.forall("_entries", lambda e: _n_events(e) == F.greatest(F.size(e[kind]), F.lit(0)))
+    if entries is not None:
+        ok = ok & (F.size("_entries") <= entries)
     events = F.flatten(F.filter(F.transform("_entries", lambda e: e[kind]), lambda x: x.isNotNull()))
     return rows_of(doc, F.when(ok, events), "_e", "_no").withColumn("event_no", F.col("_no") + 1).drop("_entries", "_no")
 
 
+def _n(items: Column) -> Column:
+    return F.coalesce(F.greatest(F.size(items), F.lit(0)), F.lit(0))
+
+
+def _flat(arrays: Column) -> Column:
+    return F.flatten(F.filter(arrays, lambda x: x.isNotNull()))
+
+
+def _vads(code: Column) -> Column:
+    """Translations to the PHIN VADS system, where the code itself is of another."""
+    own = F.coalesce(code["_codeSystem"] == PHIN_VADS, F.lit(False))
+    return F.when(~own, F.filter(code["translation"], lambda t: t["_codeSystem"] == PHIN_VADS))
+
+
+def _allergen(observation: Column) -> Column:
+    return _first(observation["participant"])["participantRole"]["playingEntity"]
+
+
+def _care_act(organizer: Column) -> Column:
+    acts = _flat(F.transform(organizer["component"], lambda c: c["act"]))
+    return _first(F.filter(acts, lambda a: a["_classCode"] == "PCPR"))
+
+
+#: What an item of a section (an event, or an observation in it) must not be. An item that breaks a
+#: rule is left out of its extract and listed by ``ccda_errors``; both read this table.
+RULES = {
+    "encounters": {"several PHIN VADS codes": lambda e: _n(_vads(e["code"])) > 1},
+    "care_team": {"several performers": lambda e: _n(_care_act(e)["performer"]) > 1},
+    "procedures": {"several performers": lambda e: _n(e["performer"]) > 1},
+    "immunizations": {"several performers": lambda e: _n(e["performer"]) > 1},
+    "allergies": {
+        "not one participant": lambda o: _n(o["participant"]) != 1,
+        "participant without an entity": lambda o: (_n(o["participant"]) == 1) & _allergen(o).isNull(),
+        "no value": lambda o: o["value"].isNull(),
+    },
+}
+
+
+def _broken(section: str, item: Column) -> Column:
+    return F.array_compact(F.array(*[F.when(rule(item), F.lit(name)) for name, rule in RULES[section].items()]))
+
+
+def _sound(rows: DataFrame, section: str, item: str) -> DataFrame:
+    return keep(rows, F.size(_broken(section, F.col(item))) == 0)
+
+
 def _with_type(participants: Column, type_code: str) -> Column:
     return F.filter(participants, lambda p: p["_typeCode"] == type_code)
 
@@ -323,14 +374,14 @@ def ccda_encounters(df: DataFrame, file: str = "file", text: str = "value") -> D
     """Encounter rows. The PHIN VADS code is the code itself or its one translation of that system;
     an encounter with several is left out and listed as an error."""
     e = F.col("_e")
-    rows = _events(df, file, text, "encounters")
+    rows = _sound(_events(df, file, text, "encounters"), "encounters", "_e")
     code, time = e["code"], e["effectiveTime"]
-    vads = F.filter(code["translation"], lambda t: t["_codeSystem"] == PHIN_VADS)
+    vads = _vads(code)
     own = F.coalesce(code["_codeSystem"] == PHIN_VADS, F.lit(False))
     picked = rows.withColumns(
         {
             "_vads": F.when(own, F.struct(code["_code"].alias("c"), code["_displayName"].alias("d"))).otherwise(
-                F.when(F.size(vads) == 1, F.struct(_first(vads)["_code"].alias("c"), _first(vads)["_displayName"].alias("d")))
+                F.when(_n(vads) == 1, F.struct(_first(vads)["_code"].alias("c"), _first(vads)["_displayName"].alias("d")))
             ),
             "_to": _with_type(e["participant"], "DST"),
         }
@@ -371,12 +422,10 @@ def ccda_insurance(df: DataFrame, file: str = "file", text: str = "value") -> Da
 
 
 def ccda_care_team(df: DataFrame, file: str = "file", text: str = "value") -> DataFrame:
-    """Primary care performer of the first PCPR act; a team without one gives a row of nulls."""
-    e = F.col("_e")
-    rows = _events(df, file, text, "care_team")
-    acts = F.flatten(F.filter(F.transform(e["component"], lambda c: c["act"]), lambda a: a.isNotNull()))
-    act = _first(F.filter(acts, lambda a: a["_classCode"] == "PCPR"))
-    picked = rows.select(file, act["performer"].alias("_performers"))
+    """Primary care performer of the first PCPR act; a team without one gives a row of nulls. A
+    document with several entries, and a team with several performers, are listed as errors."""
+    rows = _sound(_events(df, file, text, "care_team", entries=1), "care_team", "_e")
+    picked = rows.select(file, _care_act(F.col("_e"))["performer"].alias("_performers"))
     one = picked.select(file, F.when(F.size("_performers") == 1, _first(F.col("_performers"))).alias("_f"))
     name = _first(F.col("_f.assignedEntity.assignedPerson.name"))
     words = lambda part: F.coalesce(_joined(part, unqualified=True), F.lit(""))
@@ -414,8 +463,7 @@ def ccda_problems(df: DataFrame, file: str = "file", text: str = "value") -> Dat
 def ccda_procedures(df: DataFrame, file: str = "file", text: str = "value") -> DataFrame:
     e = F.col("_e")
     rows = _events(df, file, text, "procedures", others=True)
-    single = F.coalesce(F.size(e["performer"]) <= 1, F.lit(True))
-    return rows.filter(single).select(
+    return _sound(rows, "procedures", "_e").select(
         F.col(file), "event_no", e["code"]["_code"].alias("code"), e["code"]["_displayName"].alias("display_name"),
         _npi(_first(e["performer"])["assignedEntity"]["id"]).alias("provider_id"),
         _original(e["code"]["originalText"]).alias("original_text"), _start(e["effectiveTime"]).alias("procedure_timestamp"),
@@ -439,8 +487,7 @@ def ccda_allergies(df: DataFrame, file: str = "file", text: str = "value") -> Da
     """Allergy observations with their reactions as ``reaction`` array of (reaction, severities)."""
     rows = _inner_observations(_events(df, file, text, "allergies"))
     o = F.col("_o")
-    entity = _first(o["participant"])["participantRole"]["playingEntity"]
-    code = entity["code"]
+    code = _allergen(o)["code"]
     original = code["originalText"]
     described = F.when(
         original.isNotNull(),
@@ -455,8 +502,7 @@ def ccda_allergies(df: DataFrame, file: str = "file", text: str = "value") -> Da
         return F.transform(graded, lambda s: F.struct(
             s["value"]["_displayName"].alias("description_sev"), s["value"]["_code"].alias("code_sev")))
 
-    valid = (F.size(o["participant"]) == 1) & entity.isNotNull() & o["value"].isNotNull()
-    return rows.filter(valid).select(
+    return _sound(rows, "allergies", "_o").select(
         F.col(file), "event_no", described.alias("description"), code["_code"].alias("code"),
         o["value"]["_displayName"].alias("description_type"), o["value"]["_code"].alias("code_type"),
         F.transform(reactions, lambda r: F.struct(r["value"]["_displayName"].alias("reaction"), severities(r).alias("severity"))).alias("reaction"),
@@ -467,7 +513,7 @@ def ccda_allergies(df: DataFrame, file: str = "file", text: str = "value") -> Da
 def ccda_immunizations(df: DataFrame, file: str = "file", text: str = "value") -> DataFrame:
     e = F.col("_e")
     material = e["consumable"]["manufacturedProduct"]["manufacturedMaterial"]
-    rows = _events(df, file, text, "immunizations").filter(F.coalesce(F.size(e["performer"]) <= 1, F.lit(True)))
+    rows = _sound(_events(df, file, text, "immunizations"), "immunizations", "_e")
     return rows.select(
         F.col(file), "event_no", _first(_first(e["performer"])["assignedEntity"]["id"])["_root"].alias("performing_provider_id"),
         F.coalesce(e["repeatNumber"]["_content"], e["repeatNumber"]["_value"]).alias("series_number"),
@@ -503,7 +549,7 @@ def ccda_labs(df: DataFrame, file: str = "file", text: str = "value") -> DataFra
 
 def ccda_consult_note(df: DataFrame, file: str = "file", text: str = "value") -> DataFrame:
     """Leading text of the consult note section."""
-    doc = _all_sections(df, file, text, _section_schema(None))
+    doc = _all_sections(df, file, text, _section_schema())
     mine = doc.select(file, F.filter("_sections", lambda s: s["code"]["_code"] == SECTIONS["consult_note"]).alias("_mine"))
     return rows_of(mine, F.when(F.size("_mine") == 1, F.col("_mine")), "_s").select(
         F.col(file), F.trim(before(F.col("_s.text"), "<")).alias("provider_notes")
@@ -513,26 +559,52 @@ def ccda_consult_note(df: DataFrame, file: str = "file", text: str = "value") ->
 # -- errors -------------------------------------------------------------------------------------------
 
 def ccda_errors(df: DataFrame, file: str = "file", text: str = "value") -> DataFrame:
-    """Broken expectations per document: (file, section, error)."""
-    seen = _struct(**{k: _array(_SEEN) for k in KINDS})
-    schema = _struct(code=_struct(_code="string"), entry=_array(seen))
-    doc = _all_sections(df, file, text, schema)
+    """Broken expectations per document: (file, section, error). An error of an item comes once for
+    each item, so what is extracted and what is listed add up."""
+    full = tuple(dict.fromkeys(EVENTS[section] for section in RULES))
+    doc = _all_sections(df, file, text, _section_schema(*full))
+    none = F.array().cast("array<struct<section:string,error:string>>")
     problems = [
-        F.when(F.col("_sections").isNull(), F.struct(F.lit("document").alias("section"), F.lit("not readable").alias("error")))
+        F.when(F.col("_sections").isNull(), F.array(F.struct(F.lit("document").alias("section"), F.lit("not readable").alias("error"))))
     ]
     one_event = ("encounters", "care_team", "problems", "procedures", "medications", "allergies", "immunizations", "vital_signs", "labs")
     for section, code in SECTIONS.items():
         mine = _of_code(code)
-        row = lambda message, section=section: F.struct(F.lit(section).alias("section"), F.lit(message).alias("error"))
-        entries = F.coalesce(_first(mine)["entry"], F.array().cast(_array(seen)))
-        problems.append(F.when(F.size(mine) > 1, row("several sections")))
+        row = lambda message, section=section: F.struct(F.lit(section).alias("section"), message.alias("error"))
+        at_once = lambda condition, message, row=row: F.when(condition, F.array(row(F.lit(message))))
+        entries = _first(mine)["entry"]
+        several = F.size(mine) > 1
+        problems.append(at_once(several, "several sections"))
+        spoiled = several
         if section == "care_team":
-            problems.append(F.when(F.size(entries) > 1, row("several entries")))
+            problems.append(at_once(_n(entries) > 1, "several entries"))
+            spoiled = spoiled | (_n(entries) > 1)
         if section in one_event:
-            problems.append(F.when(F.exists(entries, lambda e: _n_events(e) > 1), row("several events in an entry")))
+            crowded = F.coalesce(F.exists(entries, lambda e: _n_events(e) > 1), F.lit(False))
+            problems.append(at_once(crowded, "several events in an entry"))
+            spoiled = spoiled | crowded
         if section in EVENTS and section != "procedures":
-            problems.append(F.when(_has_other(entries, EVENTS[section]), row("event of another kind")))
-    return rows_of(doc, F.array(*problems), "_p").select(F.col(file), "_p.section", "_p.error")
+            other = F.coalesce(_has_other(entries, EVENTS[section]), F.lit(False))
+            problems.append(at_once(other, "event of another kind"))
+            spoiled = spoiled | other
+        if section in RULES:
+            kind = EVENTS[section]
+            items = _flat(F.transform(entries, _kind(kind)))
+            if section == "allergies":
+                items = _flat(F.transform(items, lambda e: _flat(F.transform(e["entryRelationship"], lambda r: r["observation"]))))
+            listed = _flat(F.transform(items, _listing(section)))
+            problems.append(F.when(~spoiled, listed))
+    return rows_of(doc, F.flatten(F.array(*[F.coalesce(p, none) for p in problems])), "_p").select(F.col(file), "_p.section", "_p.error")
+
+
+def _kind(kind: str):
+    return lambda entry: entry[kind]
+
+
+def _listing(section: str):
+    """An item's broken rules as error rows of the section."""
+    named = lambda message: F.struct(F.lit(section).alias("section"), message.alias("error"))
+    return lambda item: F.transform(F.slice(_broken(section, item), 1, 1), named)
 
 
 def _of_code(code: str) -> Column:
@@ -548,7 +620,7 @@ def _has_other(entries: Column, kind: str) -> Column:
 def ccda_table_text(df: DataFrame, file: str = "file", text: str = "value") -> DataFrame:
     """Cells of the titled section tables, split into coded cells and others, one row per document
     and title; ``NA`` where there is nothing. Only cells with a blank in them count."""
-    doc = _all_sections(df, file, text, _section_schema(None))
+    doc = _all_sections(df, file, text, _section_schema())
     titles = F.array(*[F.struct(F.lit(t).alias("title"), F.lit(m).alias("mark")) for t, m in TABLE_TITLES.items()])
     rows = rows_of(doc, titles, "_t")
     titled = F.filter(

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .joins import lookup_with_fallback
 from ..functions.dates import epoch_seconds, hl7_date, hl7_timestamp
 from ..functions.rows import keep, rows_of
-from ..functions.text import after_last, before, bracketed
+from ..functions.text import after_last, base_name, before, bracketed
 
 SOURCE_TYPE = "hl7v2"
 
@@ -119,8 +119,9 @@ def head(fields: Column, n: int, c: int = 1) -> Column:
 
 
 def hl7_filename(df: DataFrame, file: str = "file") -> DataFrame:
-    """Fields of a ``name[state]facility[ptr]value[..]_date.ext`` file name; null for plain names."""
-    name = F.col(file)
+    """Fields of a ``name[state]facility[ptr]value[..]_date.ext`` file name, which may stand behind
+    folders; null for plain names."""
+    name = base_name(F.col(file))
     structured = F.contains(name, F.lit("["))
     values = {
         "f_name": before(name, "["),

@@ -6,9 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .joins import skew_join
 from .position import with_position, with_previous
-from ..session import cut
 from ..functions.dates import hl7_date
 from ..functions.predicates import LOOKUP_MPI_SENTINELS
 
@@ -43,34 +41,36 @@ def match_identities(
 
 def resolve_identities(
     new: DataFrame, master: DataFrame, keys: Sequence[str] = IDENTITY, extra: Sequence[str] = ("ssn",),
-    record: str = "message_id",
+    record: str = "message_id", case_insensitive: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Match, mint, rematch.
 
     Returns the new records with their ``mpi`` (0 when a key is missing, so nothing is looked up)
     and the grown master table. New ids continue from the greatest master id in key order, so a
-    retry on the same master snapshot mints the same ids. ``extra`` columns of a minted person
-    come from its record with the least ``record`` id.
+    retry on the same master snapshot mints the same ids. The values of a minted person come from
+    its record with the least ``record`` id. With ``case_insensitive`` keys that differ in letter
+    case only are one person, in matching, minting and rematching.
     """
-    complete = new.filter(_filled(keys))
-    people = complete.groupBy(*keys).agg(
-        F.min_by(F.struct(*(extra or keys)), record).alias("_x"), F.count(F.lit(1)).alias("_n")
-    )
-    known = master.groupBy(*keys).agg(F.max("id").alias("mpi"))
-    # Kept: the new people are numbered from it, and both the ids and the key counts come from it.
-    matched = cut(people.join(known, list(keys), "left"))
-    unmatched = matched.filter(F.col("mpi").isNull()).select(*keys, *[F.col(f"_x.{c}").alias(c) for c in extra])
+    fold = F.lower if case_insensitive else F.col
+    folded = [f"_key_{k}" for k in keys]
+    key_of = {f: fold(k) for f, k in zip(folded, keys)}
+    complete = new.filter(_filled(keys)).withColumns(key_of)
+    kept = list(dict.fromkeys([*keys, *extra]))
+    people = complete.groupBy(*folded).agg(F.min_by(F.struct(*kept), F.struct(record, *keys)).alias("_x"))
+    known = master.groupBy(*[c.alias(f) for f, c in key_of.items()]).agg(F.max("id").alias("mpi"))
+    matched = people.join(known, folded, "left")
+    unmatched = matched.filter(F.col("mpi").isNull()).select(*folded, *[F.col(f"_x.{c}").alias(c) for c in kept])
     top = master.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
+    # Numbered rows are kept in the checkpoint folder, so ids and table agree however often they are read.
     minted = (
-        with_position(unmatched, [F.col(k) for k in keys], "_rn", unique=True)
+        with_position(unmatched, [F.col(f) for f in folded], "_rn", unique=True)
         .withColumn("id", (top + F.col("_rn")).cast(master.schema["id"].dataType))
         .drop("_rn")
     )
-    master2 = master.unionByName(minted, allowMissingColumns=True)
-    ids = matched.filter(F.col("mpi").isNotNull()).select(*keys, "mpi").unionByName(
-        minted.select(*keys, F.col("id").alias("mpi"))
-    )
-    found = skew_join(complete, ids, list(keys), spread=[record], counts=matched.select(*keys, "_n"))
+    master2 = master.unionByName(minted.drop(*folded), allowMissingColumns=True)
+    ids = known.unionByName(minted.select(*folded, F.col("id").alias("mpi")))
+    # One row per key on the right, so the adaptive skew join can split a key of many records.
+    found = complete.join(ids, folded).drop(*folded)
     without_key = new.filter(~_filled(keys)).withColumn("mpi", F.lit(0).cast(found.schema["mpi"].dataType))
     return found.unionByName(without_key), master2
 
@@ -90,7 +90,7 @@ def collapse_duplicates(
         complete = complete & F.col(c).isNotNull()
     if mode == "identity":
         best = population.filter(complete).groupBy(*identity).agg(F.max(mpi).alias("_best"))
-        same = skew_join(population.filter(complete), best, list(identity))
+        same = population.filter(complete).join(best, list(identity))
         changed = same.withColumn(mpi, F.col("_best")).select(*population.columns)
         return changed.unionByName(population.filter(~complete))
     if mode == "adjacent":

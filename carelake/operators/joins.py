@@ -2,7 +2,8 @@
 
 No side is broadcast by hint unless its row count is bounded by construction; otherwise Spark's
 own size check (``autoBroadcastJoinThreshold``, applied statically and again by AQE) decides,
-and large sides fall back to shuffled joins.
+and large sides fall back to shuffled joins. Hot keys are left to the adaptive skew join: the joins
+here are inner, left, semi or anti with one row per key on the right, which it can split.
 """
 
 from __future__ import annotations
@@ -11,59 +12,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import task_count
-
-
-def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    tasks: int | None = None,
-    spread: Sequence[str] | None = None,
-    counts: DataFrame | None = None,
-) -> DataFrame:
-    """Equi-join whose hot left keys are spread over several tasks.
-
-    A key is hot when it owns more than one task's share of the left rows, so there are fewer hot
-    keys than ``tasks`` and broadcasting their list is safe at any scale. A hot key gets one salt
-    per share it owns, so all copies of right rows together stay below twice ``tasks`` per right
-    row of a hot key. Every left row meets exactly one copy, so the result is unchanged. Left rows
-    with a null key match nothing and are spread as well. The salt is a hash of the row, not a
-    random number, so a task that is run again sends its rows to the same place.
-    ``how`` is inner, left, left_semi or left_anti. ``counts`` (keys and ``_n``) saves the pass that
-    counts the left keys when the caller has them already.
-    """
-    n_tasks = tasks or task_count(left.sparkSession)
-    if counts is None:
-        counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    hot = (
-        counts.withColumn("_salts", F.ceil(F.col("_n") * n_tasks / total))
-        .filter(F.col("_salts") > 1)
-        .select(*[F.col(c).alias(f"_hot_{c}") for c in on], "_salts")
-    )
-
-    def mark(df: DataFrame) -> DataFrame:
-        cond = [F.col(c) == F.col(f"_hot_{c}") for c in on]
-        return df.join(F.broadcast(hot), cond, "left").drop(*[f"_hot_{c}" for c in on])
-
-    no_match = F.lit(False)
-    for c in on:
-        no_match = no_match | F.col(c).isNull()
-    digest = F.xxhash64(*[F.col(c) for c in (spread or left.columns)])
-    share = F.coalesce(F.when(no_match, F.lit(n_tasks).cast("bigint")).otherwise(F.col("_salts")), F.lit(1).cast("bigint"))
-    salted = mark(left).withColumn("_salt", F.pmod(digest, share)).drop("_salts")
-    every = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_salts"), F.lit(1).cast("bigint")) - 1)
-    copies = mark(right).withColumn("_salt", F.explode(every)).drop("_salts")
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
-
 
 def attach_mpi(accounts: DataFrame, registrations: DataFrame, account: str, account_ref: str, mpi: str) -> DataFrame:
-    """Visit to person registration; every matching registration is kept. Registrations are the
-    side that repeats an account, so they are the side that is spread."""
+    """Visit to person registration; every matching registration is kept. A plain join on the account:
+    bucketed tables join without a shuffle, and otherwise the adaptive skew join splits an account
+    with many registrations by rows, equal ones included."""
     people = registrations.select(F.col(account_ref).alias(account), F.col(mpi))
-    return skew_join(people, accounts, [account]).select(*accounts.columns, mpi)
+    return people.join(accounts, account).select(*accounts.columns, mpi)
 
 
 def suppress(population: DataFrame, opt_outs: DataFrame, key: str, sentinels: Sequence[str] = ()) -> DataFrame:

@@ -46,7 +46,8 @@ def lookback_full(
     accounts: DataFrame, ds: str, values: dict[str, str], key: str = "accid", month: str = "index_update",
     event_time: str = "admitted", tie: str | None = None, months: int = 36,
 ) -> DataFrame:
-    """Newest row per account whose load month and event time both fall in the window."""
+    """Newest row per account whose load month and event time both fall in the window. The load month
+    is given as its first day, so a snapshot can be the ``previous`` one of ``lookback_step``."""
     start = _window_start(ds, months)
     when = F.col(event_time)
     inside = accounts.filter(
@@ -59,7 +60,7 @@ def lookback_full(
     return newest.select(
         F.col(key),
         *[F.col(src).alias(out) for out, src in values.items()],
-        F.col(month).alias("latest_index_update"),
+        F.concat(F.col(month), F.lit("-01")).alias("latest_index_update"),
         F.lit(ds).alias("ds"),
     )
 

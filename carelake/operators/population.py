@@ -119,9 +119,12 @@ def reset_requests(clients: DataFrame) -> DataFrame:
     return clients.withColumn("frequency", F.when(served, "").otherwise(F.col("frequency")))
 
 
-def panel_population(panel: DataFrame, master: DataFrame, least_mpi: int = 10, skip_invalid: bool = False) -> DataFrame:
+def panel_population(
+    panel: DataFrame, master: DataFrame, least_mpi: int = 10, skip_invalid: bool = False, case_insensitive: bool = False
+) -> DataFrame:
     """People of a client panel: rows with a gender are validated, matched to the master by name,
-    birth date and sex, and kept when the id is at least ``least_mpi``.
+    birth date and sex, and kept when the id is at least ``least_mpi``. ``case_insensitive`` matches
+    whatever the letter case.
 
     With ``skip_invalid`` bad rows are left out (they are listed by ``validate_panel``); otherwise
     any bad row fails the job while it runs, as the source stops at the first one.
@@ -142,9 +145,12 @@ def panel_population(panel: DataFrame, master: DataFrame, least_mpi: int = 10, s
         }
     )
     keys = ["lastname", "firstname", "dob", "sex"]
-    ids = match_identities(keyed, master, keys)
+    ids = match_identities(keyed, master, keys, case_insensitive)
+    folded = [f"_key_{k}" for k in keys]
+    fold = F.lower if case_insensitive else F.col
     return (
-        keyed.join(ids, keys)
+        keyed.withColumns({f: fold(k) for f, k in zip(folded, keys)})
+        .join(ids.withColumnsRenamed(dict(zip(keys, folded))), folded)
         .filter(F.col("mpi") >= least_mpi)
         .select(
             F.col("mpi"),

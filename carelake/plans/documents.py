@@ -1,7 +1,7 @@
 """C-CDA parsing: every customer becomes a document text, which is parsed back.
 
 Documents of one nation hold two encounter sections, those of another two events in a problem entry,
-so both kinds of broken documents occur."""
+and five more nations break a rule for one item each, so every kind of broken document occurs."""
 
 from __future__ import annotations
 
@@ -24,36 +24,39 @@ TEMPLATE = """<?xml version="1.0" encoding="UTF-8"?>
 <componentOf><encompassingEncounter><id root="9"/><effectiveTime><low value="2020{n2}01"/></effectiveTime><dischargeDispositionCode code="DD{n}"/></encompassingEncounter></componentOf>
 <component><structuredBody>
 <component><section><code code="46240-8"/><title>Encounters</title><text><table><tr><td>Office visit {n}</td><td>SNOMED-CT 123 {n}</td><td/></tr></table></text>
-<entry><encounter classCode="ENC"><code code="99{n}" displayName="Visit {seg}"><translation code="{vads}" codeSystem="2.16.840.1.113883.5.4" displayName="V {vads}"/><translation code="zz" codeSystem="1.2"/></code>
+<entry><encounter classCode="ENC"><code code="99{n}" displayName="Visit {seg}"><translation code="{vads}" codeSystem="2.16.840.1.113883.5.4" displayName="V {vads}"/>{vads2}<translation code="zz" codeSystem="1.2"/></code>
 <effectiveTime><low value="2021{n2}01"/><high value="2021{n2}05"/></effectiveTime><sdtc:dischargeDispositionCode code="01" displayName="Home"/>
 <participant typeCode="DST"><participantRole><playingEntity><name>Rehab {n}</name></playingEntity></participantRole></participant></encounter></entry>
 <entry><encounter classCode="ENC"><code code="second{key}"/><effectiveTime value="20220101"/></encounter></entry></section></component>
 {extra}
 <component><section><code code="48768-6"/><title>Payers</title><entry><act classCode="ACT"><templateId root="2.16.840.1.113883.10.20.22.4.61"/><participant typeCode="COV"><time><low value="2020"/><high value="2025"/></time></participant>
-<entryRelationship typeCode="COMP"><act classCode="ACT"><templateId root="2.16.840.1.113883.10.20.22.4.60"/><id root="grp{key}"/><code code="C{n}"/></act></entryRelationship></act></entry></section></component>
-<component><section><code code="85847-2"/><title>Care Team</title><entry><organizer classCode="CLUSTER"><component><act classCode="OTHER"/></component><component><act classCode="PCPR"><performer><sdtc:functionCode code="PCP"/>
-<assignedEntity><id root="1.1" extension="no"/><id root="2.16.840.1.113883.4.6" extension="55{key}"/><assignedPerson><name><given>John</given><given>D</given><given qualifier="CL">Jo</given><family>Smith {n}</family><suffix>MD</suffix></name></assignedPerson></assignedEntity></performer></act></component></organizer></entry></section></component>
+<entryRelationship typeCode="COMP"><act classCode="ACT"><templateId root="2.16.840.1.113883.10.20.22.4.60"/><id root="grp{key}"/><code code="PLAN{n}"/></act></entryRelationship></act></entry></section></component>
+<component><section><code code="85847-2"/><title>Care Team</title><entry><organizer classCode="CLUSTER"><component><act classCode="OTHER"/></component><component><act classCode="PCPR"><performer><sdtc:functionCode code="ATT"/>
+<assignedEntity><id root="1.1" extension="no"/><id root="2.16.840.1.113883.4.6" extension="55{key}"/><assignedPerson><name><given>Wilma</given><given>K</given><given qualifier="CL">Wil</given><family>Ortega {n}</family><suffix>DDS</suffix></name></assignedPerson></assignedEntity></performer></act></component></organizer></entry>{team2}</section></component>
 <component><section><code code="11450-4"/><title>Problems</title>
 <entry><act classCode="ACT"><entryRelationship typeCode="SUBJ"><observation classCode="OBS"><templateId root="2.16.840.1.113883.10.20.22.4.4"/><value code="P{n}" displayName="Problem {seg}"><originalText>orig {n}</originalText></value>
 <author><time value="2019{n2}"/><assignedAuthor><id root="2.16.840.1.113883.4.6" extension="77{n}"/></assignedAuthor></author></observation></entryRelationship></act>{event}</entry>
 <entry><act classCode="ACT"><entryRelationship typeCode="SUBJ"><observation classCode="OBS"><templateId root="2.16.840.1.113883.10.20.22.4.4"/><value code="Q{key}"/>
 <entryRelationship typeCode="COMP"><act classCode="ACT"><templateId root="2.16.840.1.113883.10.20.22.4.502"/><effectiveTime value="2018{n2}"/></act></entryRelationship></observation></entryRelationship></act></entry></section></component>
 <component><section><code code="47519-4"/><title>Procedures</title><entry><procedure classCode="PROC"><code code="PR{n}" displayName="Proc"><originalText>did {seg}</originalText></code><effectiveTime><low value="2017"/></effectiveTime>
-<performer><assignedEntity><id root="2.16.840.1.113883.4.6" extension="88{n}"/></assignedEntity></performer></procedure></entry><entry><observation classCode="OBS"/></entry></section></component>
+<performer><assignedEntity><id root="2.16.840.1.113883.4.6" extension="88{n}"/></assignedEntity></performer>{proc2}</procedure></entry><entry><observation classCode="OBS"/></entry></section></component>
 <component><section><code code="10160-0"/><title>Medications</title><entry><substanceAdministration classCode="SBADM"><effectiveTime><low value="2016"/></effectiveTime><effectiveTime/><routeCode displayName="Oral"/>
 <consumable><manufacturedProduct><manufacturedMaterial><code code="RX{key}" codeSystem="2.16.840.1.113883.6.88" displayName="Drug {n}"/></manufacturedMaterial></manufacturedProduct></consumable>
 <entryRelationship typeCode="SUBJ"><substanceAdministration classCode="SBADM"><code code="76662-6"/><text>take {n} daily</text></substanceAdministration></entryRelationship></substanceAdministration></entry></section></component>
 <component><section><code code="48765-2"/><title>Allergies</title><entry><act classCode="ACT"><entryRelationship typeCode="SUBJ"><observation classCode="OBS"><effectiveTime><low value="2015"/></effectiveTime><value code="419" displayName="Drug allergy"/>
-<author><time value="2015{n2}"/></author><participant typeCode="CSM"><participantRole><playingEntity><code code="A{n}" displayName="Penicillin"><originalText>pen {n}</originalText></code></playingEntity></participantRole></participant>
+<author><time value="2015{n2}"/></author>{allergen}
 <entryRelationship typeCode="MFST"><observation classCode="OBS"><value displayName="Hives {n}"/><entryRelationship typeCode="SUBJ"><observation classCode="OBS"><code code="SEV"/><value code="S{n}" displayName="Severe"/></observation></entryRelationship></observation></entryRelationship></observation></entryRelationship></act></entry></section></component>
 <component><section><code code="11369-6"/><title>Immunizations</title><entry><substanceAdministration classCode="SBADM"><effectiveTime value="2014{n2}01"/><repeatNumber>1</repeatNumber><consumable><manufacturedProduct><manufacturedMaterial><code code="CVX{n}" displayName="Flu"/><lotNumberText>LOT{key}</lotNumberText></manufacturedMaterial></manufacturedProduct></consumable>
-<performer><assignedEntity><id root="perf{n}"/></assignedEntity></performer></substanceAdministration></entry></section></component>
+<performer><assignedEntity><id root="perf{n}"/></assignedEntity></performer>{shot2}</substanceAdministration></entry></section></component>
 <component><section><code code="8716-3"/><title>Vital Signs</title><entry><organizer classCode="CLUSTER"><component><observation classCode="OBS"><code code="8302-2" codeSystem="2.16.840.1.113883.6.1" displayName="Height"/><effectiveTime value="2013{n2}"/></observation></component><component><observation classCode="OBS"><code code="w{key}"/><effectiveTime value="2013"/></observation></component></organizer></entry></section></component>
 <component><section><code code="30954-2"/><title>LAB</title><entry><organizer classCode="BATTERY"><component><observation classCode="OBS"><code code="2345-7" codeSystem="2.16.840.1.113883.6.1"/><effectiveTime value="2012"/><value unit="mg/dL" value="{key}"/><interpretationCode code="N"/><interpretationCode code="{flag}"/></observation></component>
 <component><observation classCode="OBS"><code code="local" codeSystem="9.9"/><effectiveTime value="2012{n2}"/><value value="{n}"/></observation></component></organizer></entry></section></component>
 <component><section><code code="11488-4"/><title>Consult</title><text>Note for {seg} {key}<br/>more</text></section></component>
 </structuredBody></component></ClinicalDocument>"""
 
+PERFORMER = '<performer><assignedEntity><id root="another"/></assignedEntity></performer>'
+ALLERGEN = ('<participant typeCode="CSM"><participantRole><playingEntity><code code="A{n}" displayName="Penicillin"><originalText>pen {n}</originalText></code>'
+            '</playingEntity></participantRole></participant>')
 EXTRA = """<component><section><code code="46240-8"/><title>Again</title></section></component>"""
 
 
@@ -71,6 +74,11 @@ def document_text(spark, sf_dir):
         F.when(F.col("c_acctbal") > 5000, "HH").otherwise("X").alias("flag"),
         F.when(n == 3, EXTRA).otherwise("").alias("extra"),
         F.when(n == 5, '<act classCode="ACT"/>').otherwise("").alias("event"),
+        F.when(n == 6, PERFORMER).otherwise("").alias("proc2"),
+        F.when(n == 7, PERFORMER).otherwise("").alias("shot2"),
+        F.when(n == 8, "").otherwise(fill(ALLERGEN, n=n)).alias("allergen"),
+        F.when(n == 9, '<translation code="EMER" codeSystem="2.16.840.1.113883.5.4"/>').otherwise("").alias("vads2"),
+        F.when(n == 10, '<entry><organizer classCode="CLUSTER"/></entry>').otherwise("").alias("team2"),
     )
     cols = {name: F.col(name) for name in facts.columns}
     return handed_over(facts.select(fill("doc{key}.xml", **cols).alias("file"), fill(TEMPLATE, **cols).alias("value")))
@@ -125,20 +133,20 @@ def ccda_sections(spark, sf_dir):
 SELECT file, 1 AS event_no, '2021' || n2 || '01' AS service_datetime_start, '2021' || n2 || '05' AS service_datetime_end, '99' || n AS encounter_code,
  'Visit ' || seg AS encounter_code_display_name, v AS encounter_phin_vads_code, 'V ' || v AS encounter_phin_vads_code_display_name,
  CASE WHEN v = 'IMP' THEN '2021' || n2 || '05' END AS discharged_time, '01' AS discharge_disposition_code, 'Home' AS discharge_disposition_display_name, 'Rehab ' || n AS discharged_to
-FROM (SELECT *, CASE WHEN seg = 'FURNITURE' THEN 'IMP' ELSE 'AMB' END AS v FROM {BASE}) WHERE n <> 3
+FROM (SELECT *, CASE WHEN seg = 'FURNITURE' THEN 'IMP' ELSE 'AMB' END AS v FROM {BASE}) WHERE n NOT IN (3, 9)
 UNION ALL SELECT file, 2, '20220101', NULL, 'second' || key, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM {BASE} WHERE n <> 3
 """)
 def ccda_encounters(spark, sf_dir):
     return ccda.ccda_encounters(document_text(spark, sf_dir))
 
 
-@query("ccda_insurance", f"SELECT file, 1 AS event_no, 'grp' || key AS grpid, '2020' AS eff_date, '2025' AS exp_date, 'C' || n AS plan_type FROM {BASE}")
+@query("ccda_insurance", f"SELECT file, 1 AS event_no, 'grp' || key AS grpid, '2020' AS eff_date, '2025' AS exp_date, 'PLAN' || n AS plan_type FROM {BASE}")
 def ccda_insurance(spark, sf_dir):
     return ccda.ccda_insurance(document_text(spark, sf_dir))
 
 
 @query("ccda_care_team", f"""
-SELECT file, '55' || key AS attributed_npi, 'John D' AS fname, 'Smith ' || n AS lname, '' AS mname, 'MD' AS suffix, 'PCP' AS prov_type FROM {BASE}
+SELECT file, '55' || key AS attributed_npi, 'Wilma K' AS fname, 'Ortega ' || n AS lname, '' AS mname, 'DDS' AS suffix, 'ATT' AS prov_type FROM {BASE} WHERE n <> 10
 """)
 def ccda_care_team(spark, sf_dir):
     return ccda.ccda_care_team(document_text(spark, sf_dir))
@@ -153,7 +161,7 @@ def ccda_problems(spark, sf_dir):
 
 
 @query("ccda_procedures", f"""
-SELECT file, 1 AS event_no, 'PR' || n AS code, 'Proc' AS display_name, '88' || n AS provider_id, 'did ' || seg AS original_text, '2017' AS procedure_timestamp FROM {BASE}
+SELECT file, 1 AS event_no, 'PR' || n AS code, 'Proc' AS display_name, '88' || n AS provider_id, 'did ' || seg AS original_text, '2017' AS procedure_timestamp FROM {BASE} WHERE n <> 6
 """)
 def ccda_procedures(spark, sf_dir):
     return ccda.ccda_procedures(document_text(spark, sf_dir))
@@ -168,7 +176,7 @@ def ccda_medications(spark, sf_dir):
 
 @query("ccda_allergies", f"""
 SELECT file, 1 AS event_no, 'Penicillin' || chr(10) || 'pen ' || n AS description, 'A' || n AS code, 'Drug allergy' AS description_type, '419' AS code_type,
- 'Hives ' || n AS reaction, 'S' || n AS severity, '2015' || n2 AS reported_date, '2015' AS onset_date FROM {BASE}
+ 'Hives ' || n AS reaction, 'S' || n AS severity, '2015' || n2 AS reported_date, '2015' AS onset_date FROM {BASE} WHERE n <> 8
 """)
 def ccda_allergies(spark, sf_dir):
     rows = ccda.ccda_allergies(document_text(spark, sf_dir))
@@ -177,7 +185,7 @@ def ccda_allergies(spark, sf_dir):
 
 
 @query("ccda_immunizations", f"""
-SELECT file, 1 AS event_no, 'perf' || n AS performing_provider_id, '1' AS series_number, '2014' || n2 || '01' AS administered_date, 'LOT' || key AS lot_number, 'Flu' AS long_name, 'CVX' || n AS code FROM {BASE}
+SELECT file, 1 AS event_no, 'perf' || n AS performing_provider_id, '1' AS series_number, '2014' || n2 || '01' AS administered_date, 'LOT' || key AS lot_number, 'Flu' AS long_name, 'CVX' || n AS code FROM {BASE} WHERE n <> 7
 """)
 def ccda_immunizations(spark, sf_dir):
     return ccda.ccda_immunizations(document_text(spark, sf_dir))
@@ -207,11 +215,34 @@ def ccda_consult_note(spark, sf_dir):
 @query("ccda_errors", f"""
 SELECT file, 'encounters' AS section, 'several sections' AS error FROM {BASE} WHERE n = 3
 UNION ALL SELECT file, 'problems', 'several events in an entry' FROM {BASE} WHERE n = 5
+UNION ALL SELECT file, 'procedures', 'several performers' FROM {BASE} WHERE n = 6
+UNION ALL SELECT file, 'immunizations', 'several performers' FROM {BASE} WHERE n = 7
+UNION ALL SELECT file, 'allergies', 'not one participant' FROM {BASE} WHERE n = 8
+UNION ALL SELECT file, 'encounters', 'several PHIN VADS codes' FROM {BASE} WHERE n = 9
+UNION ALL SELECT file, 'care_team', 'several entries' FROM {BASE} WHERE n = 10
 """)
 def ccda_errors(spark, sf_dir):
     return ccda.ccda_errors(document_text(spark, sf_dir))
 
 
+@query("ccda_extracted_or_listed", f"""
+SELECT section, CAST(count(*) * CASE section WHEN 'encounters' THEN 2 ELSE 1 END - CASE section WHEN 'encounters' THEN count(*) FILTER (n = 3) ELSE 0 END AS BIGINT) AS n
+FROM {BASE}, (SELECT unnest(['encounters', 'care_team', 'procedures', 'immunizations', 'allergies']) AS section) GROUP BY section
+""")
+def ccda_extracted_or_listed(spark, sf_dir):
+    """Every item of these sections is in its extract or in the error list. (The two encounters of a
+    document with two sections make one error.)"""
+    docs = document_text(spark, sf_dir)
+    extracts = {
+        "encounters": ccda.ccda_encounters, "care_team": ccda.ccda_care_team, "procedures": ccda.ccda_procedures,
+        "immunizations": ccda.ccda_immunizations, "allergies": ccda.ccda_allergies,
+    }
+    rows = ccda.ccda_errors(docs).select("section").filter(F.col("section").isin(*extracts))
+    for section, extract in extracts.items():
+        rows = rows.unionByName(extract(docs).select(F.lit(section).alias("section")))
+    return rows.groupBy("section").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("ccda_table_text", f"""
 SELECT file, title, CASE WHEN title = 'Encounters' THEN 'Office visit ' || n ELSE 'NA' END AS field,
  CASE WHEN title = 'Encounters' THEN 'SNOMED-CT 123 ' || n ELSE 'NA' END AS code FROM {BASE},

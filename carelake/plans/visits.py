@@ -142,7 +142,7 @@ def _full(spark, sf_dir, ds):
 def _full_sql(ds: str, start: str) -> str:
     return f"""
 SELECT o_custkey, o_orderdate AS latest_known_admitted, o_orderkey AS latest_known_order,
-       o_orderstatus AS latest_known_status, strftime(o_orderdate, '%Y-%m') AS latest_index_update, '{ds}' AS ds
+       o_orderstatus AS latest_known_status, strftime(o_orderdate, '%Y-%m') || '-01' AS latest_index_update, '{ds}' AS ds
 FROM orders WHERE o_orderdate >= TIMESTAMP '{start}'
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY strftime(o_orderdate, '%Y-%m') DESC, o_orderkey DESC) = 1
 """
@@ -160,17 +160,14 @@ both_ AS (
          o_orderstatus AS latest_known_status, strftime(o_orderdate, '%Y-%m') || '-01' AS latest_index_update
   FROM orders WHERE strftime(o_orderdate, '%Y-%m') = '2000-01'
   UNION ALL
-  SELECT o_custkey, latest_known_admitted, latest_known_order, latest_known_status, latest_index_update || '-01'
-  FROM prev WHERE latest_index_update || '-01' >= '1997-01-01')
+  SELECT o_custkey, latest_known_admitted, latest_known_order, latest_known_status, latest_index_update
+  FROM prev WHERE latest_index_update >= '1997-01-01')
 SELECT *, '{DS}' AS ds FROM both_ WHERE latest_known_admitted >= TIMESTAMP '1997-01-01'
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY latest_index_update DESC, latest_known_order DESC) = 1
 """)
 def lookback_step(spark, sf_dir):
-    previous = _full(spark, sf_dir, "1999-12-01").withColumn(
-        "latest_index_update", F.concat("latest_index_update", F.lit("-01"))
-    )
     return lookback.lookback_step(
-        previous, _accounts(spark, sf_dir), DS, VALUES, key="o_custkey", event_time="o_orderdate", tie="o_orderkey"
+        _full(spark, sf_dir, "1999-12-01"), _accounts(spark, sf_dir), DS, VALUES, key="o_custkey", event_time="o_orderdate", tie="o_orderkey"
     )
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -26,19 +29,43 @@ def latest_file(manifest: DataFrame, suffix: str = ".csv") -> DataFrame:
     return wanted.agg(F.max(F.struct("modificationTime", "path")).alias("_m")).select("_m.path", "_m.modificationTime")
 
 
+def _by_header(spark: SparkSession, path: str, exclude: Sequence[str]) -> dict[str, list[str]]:
+    """Header line to the files that start with it. Files whose whole name is excluded, and files
+    without a line, are left out."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("name"),
+        F.col("_metadata.file_block_start").alias("start"), "value",
+    )
+    starts = lines.filter((F.col("start") == 0) & ~F.col("name").isin(*exclude)).withColumn("_i", F.monotonically_increasing_id())
+    groups: dict[str, list[str]] = {}
+    for row in starts.groupBy("file").agg(F.min_by("value", "_i").alias("header")).orderBy("file").collect():
+        groups.setdefault(row.header.removeprefix("\ufeff"), []).append(unquote(row.file))
+    return groups
+
+
+def _text_rows(spark: SparkSession, paths: list[str], header: list[str]) -> DataFrame:
+    """Rows of CSV files as text columns ``<position>:<name>``. A quoted cell may hold line breaks."""
+    schema = ", ".join(f"`{i}:{n}` string" for i, n in enumerate(header))
+    return spark.read.option("header", True).option("multiLine", True).option("mode", "PERMISSIVE").schema(schema).csv(paths)
+
+
 def read_csv_dir(
     spark: SparkSession, path: str, header_map: dict[str, str] | None = None,
     exclude: Sequence[str] = ("OptOutList.csv", "processed"),
 ) -> DataFrame:
-    """All CSV files of a folder as text columns with renamed headers and the file name. Files whose
-    name holds an excluded text are skipped; a file with another header fails the read."""
-    rows = (
-        spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False).csv(path)
-    )
-    named = rows.select("*", F.col("_metadata.file_name").alias("source_file"))
-    for text in exclude:
-        named = named.filter(~F.contains("source_file", F.lit(text)))
-    return named.withColumnsRenamed(header_map or {})
+    """All CSV files of a folder as text columns with renamed headers and the file name. Files that
+    bear an excluded name are not opened. Every file is read by its own header, so the order of the
+    columns may differ; a column that a file lacks is null there."""
+    parts = []
+    for header, paths in _by_header(spark, path, exclude).items():
+        names = next(csv.reader([header]))
+        rows = _text_rows(spark, paths, names)
+        cells = [F.col(f"`{i}:{n}`").alias((header_map or {}).get(n, n)) for i, n in enumerate(names)]
+        name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+        parts.append(rows.select(*cells, name.alias("source_file")))
+    if not parts:
+        return spark.createDataFrame([], "source_file string")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def clean_header(names: Sequence[str | None]) -> list[str]:
@@ -47,22 +74,21 @@ def clean_header(names: Sequence[str | None]) -> list[str]:
 
 
 def read_ragged_csv(spark: SparkSession, path: str, columns: Sequence[str], default: str | None = "Not Applicable") -> DataFrame:
-    """Rows of a CSV whose lines may be too short or too long: short ones are padded with empty
-    text, extra cells dropped, missing columns added with a default, and ``columns`` selected."""
-    first = spark.read.option("header", False).option("multiLine", True).csv(path).first()
-    header = clean_header(list(first) if first is not None else [])
-    unique = list(dict.fromkeys(header))
-    schema = ", ".join(f"`{i}:{n}` string" for i, n in enumerate(header))
-    rows = (
-        spark.read.option("header", True).option("multiLine", True).option("mode", "PERMISSIVE").schema(schema).csv(path)
-    )
-    place = {n: f"{header.index(n)}:{n}" for n in unique}
-    return rows.select(
-        *[
+    """Rows of CSV files whose lines may be too short or too long: short ones are padded with empty
+    text, extra cells dropped, missing columns added with a default, and ``columns`` selected. Every
+    file is read by its own header."""
+    parts = []
+    for line, paths in _by_header(spark, path, ()).items():
+        header = clean_header(next(csv.reader([line]), []))
+        place = {n: f"{i}:{n}" for i, n in reversed(list(enumerate(header)))}
+        cells = [
             F.coalesce(F.col(f"`{place[c]}`"), F.lit("")).alias(c) if c in place else F.lit(default).cast("string").alias(c)
             for c in columns
         ]
-    )
+        parts.append(_text_rows(spark, paths, header).select(*cells))
+    if not parts:
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def log_widths(spark: SparkSession, path: str, glob: str = "*.log") -> DataFrame:
@@ -106,15 +132,17 @@ def compact_text_files(spark: SparkSession, path: str, out: str, glob: str = "*.
 
 
 def read_hl7v2(spark: SparkSession, path: str, charset: str = "ISO-8859-1", glob: str = "*") -> DataFrame:
-    """HL7 v2 files as (file, value), decoded from a declared character set."""
+    """HL7 v2 files as (file, name, value), decoded from a declared character set. ``file`` is the whole
+    path, which tells files of one name apart; ``name`` is the last part of it."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
-    return files.select(base_name(F.col("path")).alias("file"), F.decode("content", charset).alias("value"))
+    return files.select(F.col("path").alias("file"), base_name(F.col("path")).alias("name"), F.decode("content", charset).alias("value"))
 
 
-def read_ccda(spark: SparkSession, path: str) -> DataFrame:
-    """XML documents of a folder tree as (file, value), whatever the case of the suffix."""
+def read_ccda(spark: SparkSession, path: str, glob: str = "*.[xX][mM][lL]") -> DataFrame:
+    """XML documents of a folder tree as (file, name, value), whatever the case of the suffix. ``file``
+    is the whole path, which tells files of one name apart; ``name`` is the last part of it."""
     files = (
         spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.[xX][mM][lL]").text(path, wholetext=True)
+        .option("pathGlobFilter", glob).text(path, wholetext=True)
     )
-    return files.select(F.col("_metadata.file_name").alias("file"), "value")
+    return files.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("name"), "value")

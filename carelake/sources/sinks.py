@@ -22,14 +22,24 @@ def save_table(
     sort: str | None = None, fmt: str = "parquet",
 ) -> None:
     """Table with partition folders and, optionally, hash buckets sorted by a column, so that later
-    joins on the bucket column need no shuffle. Only partitions present in ``df`` are replaced."""
-    writer = df.write.format(fmt).mode("overwrite")
-    if partition:
-        writer = writer.partitionBy(*partition)
-    if bucket:
-        writer = writer.bucketBy(buckets, bucket)
-        writer = writer.sortBy(sort or bucket)
-    writer.saveAsTable(name)
+    joins on the bucket column need no shuffle. The first call creates the table; later ones replace
+    the partitions present in ``df`` (all rows, if there are no partition columns) and keep the layout."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        writer = df.write.format(fmt)
+        if partition:
+            writer = writer.partitionBy(*partition)
+        if bucket:
+            writer = writer.bucketBy(buckets, bucket).sortBy(sort or bucket)
+        writer.saveAsTable(name)
+        return
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")  # an insert takes it from the session only
+    try:
+        df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def save_partitions(df: DataFrame, path: str, partition: Sequence[str], fmt: str = "parquet") -> None:
@@ -50,13 +60,14 @@ def publish_snapshot(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def copy_table(spark: SparkSession, source: str, target: str, fmt: str = "parquet") -> None:
-    """Copy of a stored table with its schema."""
-    spark.read.format(fmt).load(source).write.format(fmt).mode("overwrite").save(target)
+def copy_table(spark: SparkSession, source: str, target: str, fmt: str = "parquet", partition: Sequence[str] = ()) -> None:
+    """Copy of a stored table with its schema, laid out by ``partition`` again."""
+    spark.read.format(fmt).load(source).write.format(fmt).mode("overwrite").partitionBy(*partition).save(target)
 
 
 def export_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], batch_rows: int = 1000,
                 partitions: int | None = None) -> None:
-    """Relational export in batches. ``partitions`` bounds the number of open connections."""
-    out = df.coalesce(partitions) if partitions else df
+    """Relational export in batches. ``partitions`` bounds the number of open connections, but not
+    the tasks of the steps before."""
+    out = df.repartition(partitions) if partitions else df
     out.write.option("batchsize", batch_rows).mode("append").jdbc(url, table, properties=properties)

@@ -90,3 +90,42 @@ def test_table_text(spark):
     rows = {r.title: (r.field, r.code) for r in ccda.ccda_table_text(df).collect()}
     assert rows["Medications"] == ("Aspirin daily;  text here", "RxNorm 1 2")
     assert rows["Problems"] == ("NA", "NA") and len(rows) == 15
+
+
+PERFORMER = '<performer><assignedEntity><id root="{0}"/></assignedEntity></performer>'
+VADS = '<translation code="{0}" codeSystem="2.16.840.1.113883.5.4"/>'
+ALLERGY = '<entry><act classCode="ACT"><entryRelationship><observation classCode="OBS">{0}</observation></entryRelationship></act></entry>'
+CONSUMER = '<participant typeCode="CSM"><participantRole><playingEntity><code code="A"/></playingEntity></participantRole></participant>'
+TEAM = '<entry><organizer classCode="CLUSTER"><component><act classCode="PCPR">{0}</act></component></organizer></entry>'
+
+
+def _events(kind, bodies):
+    return "".join(f'<entry><{kind} classCode="X">{b}</{kind}></entry>' for b in bodies)
+
+
+@pytest.mark.parametrize("section,code,extract,body,kept,errors", [
+    ("procedures", "47519-4", ccda.ccda_procedures,
+     _events("procedure", [PERFORMER.format(1), PERFORMER.format(1) + PERFORMER.format(2), ""]), 2, ["several performers"]),
+    ("immunizations", "11369-6", ccda.ccda_immunizations,
+     _events("substanceAdministration", [PERFORMER.format(1) * 2, "", PERFORMER.format(1)]), 2, ["several performers"]),
+    ("encounters", "46240-8", ccda.ccda_encounters,
+     _events("encounter", [f"<code code='1'>{VADS.format('AMB')}{VADS.format('IMP')}</code>", f"<code code='2'>{VADS.format('AMB')}</code>",
+                           f"<code code='3' codeSystem='2.16.840.1.113883.5.4'>{VADS.format('AMB')}{VADS.format('IMP')}</code>"]),
+     2, ["several PHIN VADS codes"]),
+    ("allergies", "48765-2", ccda.ccda_allergies,
+     "".join(ALLERGY.format(b) for b in (f'<value code="v"/>{CONSUMER}', '<value code="v"/>', CONSUMER, f'<value code="v"/>{CONSUMER * 2}',
+                                         '<value code="v"/><participant typeCode="CSM"/>')),
+     1, ["no value", "not one participant", "not one participant", "participant without an entity"]),
+    ("care_team", "85847-2", ccda.ccda_care_team, TEAM.format(PERFORMER.format(1) * 2), 0, ["several performers"]),
+    ("care_team", "85847-2", ccda.ccda_care_team, TEAM.format(PERFORMER.format(1)) * 2, 0, ["several entries"]),
+])
+def test_every_item_is_extracted_or_listed(spark, rows_of, section, code, extract, body, kept, errors):
+    df = _doc(spark, _section(code, body))
+    assert extract(df).count() == kept
+    assert rows_of(ccda.ccda_errors(df), "section", "error") == [(section, e) for e in errors]
+
+
+def test_files_of_one_name_stay_apart(spark, rows_of):
+    one = _doc(spark, _section("46240-8", ""), file="a/m.xml").unionByName(_doc(spark, _section("46240-8", ""), file="b/m.xml"))
+    assert rows_of(ccda.ccda_sections(one)) == [("a/m.xml", "encounters", 1), ("b/m.xml", "encounters", 1)]
+    assert ccda.ccda_errors(one).count() == 0

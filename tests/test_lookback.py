@@ -20,10 +20,18 @@ def test_full_uses_both_months_and_one_row(spark, rows_of):
     df = spark.createDataFrame(ROWS, SCHEMA)
     out = lookback.lookback_full(df, "2020-07-01", VALUES, tie="id")
     got = rows_of(out, "accid", "latest_known_source", "latest_known_id", "latest_index_update")
-    assert got == [("HcDAT_HELP_REQUESTED", "s1", 8, "2020-06"), ("a", "s3", 3, "2020-06"), ("b", "s1", 5, "2020-05")]
+    assert got == [("HcDAT_HELP_REQUESTED", "s1", 8, "2020-06-01"), ("a", "s3", 3, "2020-06-01"), ("b", "s1", 5, "2020-05-01")]
     assert {r.ds for r in out.collect()} == {"2020-07-01"}
 
 
+def test_full_feeds_a_step(spark, rows_of):
+    """The row of the oldest month of the window survives the step."""
+    df = spark.createDataFrame([("a", "2017-07-20 00:00:00", "s", 1, "2017-07"), ("b", "2017-06-20 00:00:00", "s", 2, "2017-06")], SCHEMA)
+    full = lookback.lookback_full(df, "2020-06-01", VALUES, tie="id")
+    step = lookback.lookback_step(full, df, "2020-07-01", VALUES, tie="id")
+    assert full.count() == 2 and rows_of(step, "accid", "latest_index_update") == [("a", "2017-07-01")]
+
+
 def test_window_start_in_mid_month(spark):
     assert lookback._window_start("2020-03-31", 1) == "2020-02-29"
     assert lookback._first_open_month("2017-07-15") == "2017-08"

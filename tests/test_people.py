@@ -66,14 +66,36 @@ def test_collapse_with_a_hot_identity(spark):
     assert out.count() == 20000 and out.filter("MPI = 19998").count() == 6667
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_skew_join_equals_join(spark, rows_of, how):
-    left = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id") % 50).alias("k"), F.col("id").alias("v"))
-    right = spark.range(40).select((F.col("id") % 30).alias("k"), (F.col("id") * 10).alias("w"))
-    expected = left.join(right, "k", how)
-    got = joins.skew_join(left, right, ["k"], how, tasks=8)
-    assert rows_of(got.select(*expected.columns)) == rows_of(expected)
+def test_hot_account_is_split(spark):
+    """One account owns half of the registrations: several tasks share its join."""
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        registrations = spark.range(200000).repartition(16).select(
+            F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("ref"), F.sha1(F.col("id").cast("string")).alias("mpi"))
+        accounts = spark.createDataFrame([("hot", 1)], "accid string, n int").unionByName(
+            spark.range(20000).select(F.col("id").cast("string").alias("accid"), F.lit(2).alias("n")))
+        out = joins.attach_mpi(accounts, registrations, "accid", "ref", "mpi")
+        whole = out.select("*", F.spark_partition_id().alias("p")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len({r.p for r in whole if r.accid == "hot"}) > 3 and len(whole) == 110000
+
+
+def test_identities_whatever_the_case(spark, rows_of):
+    master = spark.createDataFrame([(5, "SMITH", "ANN", "d", "F")], "id long, lastname string, firstname string, dob string, sex string")
+    new = spark.createDataFrame(
+        [(1, "Smith", "Ann", "d", "F", "s"), (2, "Roe", "Jo", "d", "M", "s"), (3, "ROE", "jo", "d", "m", "t")],
+        "message_id long, lastname string, firstname string, dob string, sex string, ssn string")
+    found, grown = identity.resolve_identities(new, master, case_insensitive=True)
+    assert rows_of(found, "message_id", "mpi", "lastname") == [(1, 5, "Smith"), (2, 6, "Roe"), (3, 6, "ROE")]
+    assert rows_of(grown, "id", "lastname", "firstname", "ssn") == [(5, "SMITH", "ANN", None), (6, "Roe", "Jo", "s")]
+    found, grown = identity.resolve_identities(new, master)
+    assert found.select("mpi").distinct().count() == 3 and grown.count() == 4
 
 
 def test_suppress_drops_nulls_and_sentinels(spark, rows_of):
@@ -215,3 +237,8 @@ def test_default_crosswalk(spark, rows_of):
     out = {r.raw_state: r.state for r in residence.standardize(df, "raw_state", state_crosswalk(spark), "state").collect()}
     assert [out[r] for r in raw] == ["Kansas"] * 5 + ["Alabama"] * 2 + [
         "Canada", "New Jersey", "Canada", "Canada", "UNKNOWN", "District of Columbia", "Mexico", "UNKNOWN"]
+    beside = {" CA": "California", "Ill": "Illinois", "KS - KANSAS": "Kansas", "MO 64106": "Missouri", "TX.": "Texas", "GE": "Georgia",
+              "England": "England", "nA": "Namibia", "NA": "UNKNOWN", "uk": "United Kingdom", "UK": "UNKNOWN", "On": "Canada"}
+    df = spark.createDataFrame([(r,) for r in beside], "raw_state string")
+    out = {r.raw_state: r.state for r in residence.standardize(df, "raw_state", state_crosswalk(spark), "state").collect()}
+    assert out == beside

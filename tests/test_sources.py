@@ -15,21 +15,41 @@ def _write(path, text, when=None):
         os.utime(path, (when, when))
 
 
-def test_csv_dir_skips_and_renames(spark, tmp_path, rows_of):
+def test_csv_dir_skips_by_whole_name(spark, tmp_path, rows_of):
     _write(tmp_path / "a.csv", "First Name,DOB\nAl,01\n")
     _write(tmp_path / "b.csv", "First Name,DOB\nBo,1e5\n")
-    _write(tmp_path / "OptOutList.csv", "First Name,DOB\nNo,1\n")
-    _write(tmp_path / "c_processed.csv", "First Name,DOB\nNo,1\n")
+    _write(tmp_path / "OptOutList.csv", "other,header,here\n1,2,3\n")
+    _write(tmp_path / "processed", "x\n1\n")
+    _write(tmp_path / "unprocessed may.csv", "First Name,DOB\nCy,3\n")
     out = files.read_csv_dir(spark, str(tmp_path), {"First Name": "fname", "DOB": "dob"})
-    assert rows_of(out) == [("Al", "01", "a.csv"), ("Bo", "1e5", "b.csv")]
+    assert rows_of(out) == [("Al", "01", "a.csv"), ("Bo", "1e5", "b.csv"), ("Cy", "3", "unprocessed may.csv")]
     assert dict(out.dtypes)["dob"] == "string"
 
 
-def test_csv_dir_refuses_another_header(spark, tmp_path):
-    _write(tmp_path / "a.csv", "x,y\n1,2\n")
-    _write(tmp_path / "b.csv", "y,x\n1,2\n")
-    with pytest.raises(Exception):
-        files.read_csv_dir(spark, str(tmp_path)).collect()
+def test_csv_dir_reads_each_file_by_its_header(spark, tmp_path, rows_of):
+    _write(tmp_path / "a.csv", "x,y\n1,\"two\nlines\"\n")
+    _write(tmp_path / "b.csv", "y,x,z\n1,2,3\n")
+    _write(tmp_path / "empty.csv", "")
+    out = files.read_csv_dir(spark, str(tmp_path))
+    assert rows_of(out, "x", "y", "z") == [("1", "two\nlines", None), ("2", "1", "3")]
+
+
+def test_ragged_csv_with_two_headers(spark, tmp_path, rows_of):
+    _write(tmp_path / "a.csv", "Name,City\nAl,X\n")
+    _write(tmp_path / "b.csv", "City,>Name \nY,Bo,more\nZ\n")
+    out = files.read_ragged_csv(spark, str(tmp_path), ["Name", "City"])
+    assert rows_of(out) == [("", "Z"), ("Al", "X"), ("Bo", "Y")]
+
+
+def test_table_keeps_other_partitions(spark, rows_of):
+    rows = lambda ds, *ids: spark.createDataFrame([(i, ds) for i in ids], "id int, ds string")
+    try:
+        for ds, ids in (("2024-01", (1, 2)), ("2024-02", (3,)), ("2024-03", (4,)), ("2024-02", (5, 6)), ("2024-02", (5, 6))):
+            sinks.save_table(rows(ds, *ids), "kept_parts", ["ds"], bucket="id", buckets=2)
+        assert rows_of(spark.table("kept_parts"), "id", "ds") == [(1, "2024-01"), (2, "2024-01"), (4, "2024-03"), (5, "2024-02"), (6, "2024-02")]
+        assert "2" in spark.sql("DESCRIBE EXTENDED kept_parts").filter("col_name = 'Num Buckets'").first().data_type
+    finally:
+        spark.sql("DROP TABLE IF EXISTS kept_parts")
 
 
 def test_ragged_csv(spark, tmp_path, rows_of):
@@ -74,15 +94,17 @@ def test_hl7_and_ccda_files(spark, tmp_path):
     (tmp_path / "m").mkdir()
     (tmp_path / "m" / "x.hl7").write_bytes("MSH|^~\\&|é\rPID|1\r".encode("latin-1"))
     row = files.read_hl7v2(spark, str(tmp_path / "m")).first()
-    assert row.file == "x.hl7" and row.value == "MSH|^~\\&|é\rPID|1\r"
+    assert row.name == "x.hl7" and row.file.endswith("/m/x.hl7") and row.value == "MSH|^~\\&|é\rPID|1\r"
     doc = ('<ClinicalDocument xmlns="urn:hl7-org:v3"><recordTarget><patientRole><patient><name><given>A</given></name>'
            "</patient></patientRole>\n</recordTarget></ClinicalDocument>\n")
     _write(tmp_path / "d" / "s" / "one.XML", doc)
     _write(tmp_path / "d" / "two.xml", doc)
+    _write(tmp_path / "d" / "t" / "two.xml", doc)
     _write(tmp_path / "d" / "no.txt", "x")
     people = ccda.ccda_demographics(files.read_ccda(spark, str(tmp_path / "d")))
     sinks.publish_snapshot(people, str(tmp_path / "p"))
-    assert sorted(r.file for r in spark.read.parquet(str(tmp_path / "p")).collect()) == ["one.XML", "two.xml"]
+    read = sorted(r.file.split("/d/")[1] for r in spark.read.parquet(str(tmp_path / "p")).collect())
+    assert read == ["s/one.XML", "t/two.xml", "two.xml"]
 
 
 def test_partition_overwrite_replaces_only_its_month(spark, tmp_path, rows_of):
