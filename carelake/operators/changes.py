@@ -116,8 +116,7 @@ def name_date(path, pattern: str = r"(\d{8})\d{0,6}"):
     return F.try_to_date(F.regexp_extract(F.substring_index(path, "/", -1), pattern, 1), "yyyyMMdd")
 
 
-def new_snapshots(files: DataFrame, latest: str | None, path: str = "path", start: str = "2025-02-01",
-                  earliest: str = "2025-01-01") -> DataFrame:
+def new_snapshots(files: DataFrame, latest: str | None, start: str, earliest: str, path: str = "path") -> DataFrame:
     """CSV files dated after the latest stored date (or after ``start``), in date order. Dates
     before ``earliest`` are ignored."""
     after = latest or start

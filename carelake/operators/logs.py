@@ -13,7 +13,7 @@ def server_of(path: Column, base: str) -> Column:
     return F.substring_index(below, "/", 1)
 
 
-def in_listed_year(path: Column, years: tuple[str, ...] = ("2024", "2025")) -> Column:
+def in_listed_year(path: Column, years: tuple[str, ...]) -> Column:
     """A folder of the path is all digits and starts with a listed year."""
     folders = F.slice(F.split(path, "/"), 1, F.size(F.split(path, "/")) - 1)
     return F.exists(folders, lambda p: p.rlike("^(" + "|".join(years) + r")\d*$"))

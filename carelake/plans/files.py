@@ -114,11 +114,14 @@ def _keyed_paths(spark, sf_dir):
 
 
 @query("path_keys", """
-SELECT event_id, NULL::VARCHAR AS repository_id, CASE event_type WHEN 'purchase' THEN 'R' || user_id END AS root,
+SELECT event_id, CASE event_type WHEN 'click' THEN 'Q' || user_id END AS repository_id, CASE event_type WHEN 'purchase' THEN 'R' || user_id END AS root,
  CASE event_type WHEN 'purchase' THEN 'X' || event_id END AS extension, 'msg' || event_id AS file_name FROM events
 """)
 def path_keys(spark, sf_dir):
-    return manifest.path_keys(_keyed_paths(spark, sf_dir)).drop("path")
+    paths = _keyed_paths(spark, sf_dir).join(table(spark, sf_dir, "events").select("event_id", "event_type", "user_id"), "event_id")
+    inside = F.concat(F.lit("repositoryUniqueId=Q"), "user_id", F.lit("/"), "path")
+    keyed = paths.withColumn("path", F.when(F.col("event_type") == "click", inside).otherwise(F.col("path")))
+    return manifest.path_keys(keyed.select("event_id", "path")).drop("path")
 
 
 @query("route", """
@@ -363,7 +366,7 @@ WHERE CAST(ts AS DATE) > DATE '2024-01-10'
 """)
 def new_snapshots(spark, sf_dir):
     files = table(spark, sf_dir, "events").select(F.concat(F.lit("dir_"), F.date_format("ts", "yyyyMMdd"), F.lit("120000.csv")).alias("path")).distinct()
-    return changes.new_snapshots(files, "2024-01-10", earliest="2024-01-01")
+    return changes.new_snapshots(files, "2024-01-10", start="2024-01-01", earliest="2024-01-01")
 
 
 @query("new_keys", "SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT user_id FROM events)")
@@ -473,7 +476,7 @@ def clean_logs(spark, sf_dir):
         "event_id", F.concat(F.lit("/logs/dev-"), F.col("event_type"), F.lit("/2024/"), F.col("event_id"), F.lit(".log")).alias("Source_File"),
         F.concat(F.lit(" "), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" ")).alias("Session_ID"),
     )
-    in_year = rows.filter(logs.in_listed_year(F.col("Source_File")))
+    in_year = rows.filter(logs.in_listed_year(F.col("Source_File"), ("2024", "2025")))
     return logs.clean_logs(in_year, "/logs", "2024-02-01 00:00:00")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .registry import query, table
 from ..functions import predicates
@@ -78,6 +78,21 @@ def resolve_identities_master(spark, sf_dir):
     return _resolved(spark, sf_dir)[1].select("id", *identity.IDENTITY, "ssn")
 
 
+def _any_case(df: DataFrame, upper: Column, *cols: str) -> DataFrame:
+    return df.withColumns({c: F.when(upper, F.upper(c)).otherwise(F.col(c)) for c in cols})
+
+
+@query("resolve_identities_any_case", f"""
+SELECT k.message_id, m.id AS mpi FROM ({KEYS_SQL}) k JOIN ({MASTER2_SQL}) m
+ON k.lastname = m.lastname AND k.firstname = m.firstname AND k.dob = m.dob AND k.sex = m.sex
+""")
+def resolve_identities_any_case(spark, sf_dir):
+    """Every other record, and every third master row, is written in capitals; nobody is doubled."""
+    records = _any_case(_records(spark, sf_dir).drop("ts"), F.col("message_id") % 2 == 0, "firstname", "sex")
+    master = _any_case(_master(spark, sf_dir), F.col("id") % 3 == 0, "firstname", "sex")
+    return identity.resolve_identities(records, master, case_insensitive=True)[0].select("message_id", "mpi")
+
+
 @query("check_no_nulls", f"""
 SELECT count(*) AS n_rows, 0::BIGINT AS n_null, true AS passed FROM ({KEYS_SQL})
 """)
@@ -164,7 +179,7 @@ SELECT o_orderkey AS id, c_mktsegment AS fname,
        strftime(DATE '1950-01-01' + c_nationkey * 100, '%Y-%m-%d') AS dob, left(c_mktsegment, 1) AS sex,
        lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS ssn,
        o_orderpriority AS respective_mrn, 'out' AS opt_choice, o_orderstatus AS status
-FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 480000
+FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 100000 AND o_custkey % 3 <> 0
 """
 
 
@@ -193,7 +208,7 @@ def _raw_opt_outs(spark, sf_dir):
         F.left("c_mktsegment", F.lit(1)).alias("sex"),
         F.concat(F.left(number, F.lit(3)), F.lit("-"), F.substring(number, 4, 2), F.lit("-"), F.right(number, F.lit(4))).alias("ssn"),
         F.col("o_orderpriority").alias("respective_mrn"),
-        F.when(F.col("o_totalprice") > 480000, "out").otherwise("in").alias("opt_choice"),
+        F.when((F.col("o_totalprice") > 100000) & (F.col("o_custkey") % 3 != 0), "out").otherwise("in").alias("opt_choice"),
         F.col("o_orderstatus").alias("status"),
     )
 
@@ -207,8 +222,8 @@ def sanitize_opt_outs(spark, sf_dir):
     return _opt_outs(spark, sf_dir)
 
 
-@query("sanitize_opt_outs_text", SANITIZED_SQL.replace("'out' AS", "CASE WHEN o_totalprice > 480000 THEN 'out' ELSE 'in' END AS")
-       .replace("WHERE o_totalprice > 480000", ""))
+@query("sanitize_opt_outs_text", SANITIZED_SQL.replace("'out' AS", "CASE WHEN o_totalprice > 100000 AND o_custkey % 3 <> 0 THEN 'out' ELSE 'in' END AS")
+       .replace("WHERE o_totalprice > 100000 AND o_custkey % 3 <> 0", ""))
 def sanitize_opt_outs_text(spark, sf_dir):
     raw = _raw_opt_outs(spark, sf_dir)
     loaded = raw.withColumn("dob", F.when(F.contains("dob", F.lit("-")), F.concat("dob", F.lit("T00:00:00"))).otherwise(F.col("dob")))
@@ -449,20 +464,25 @@ def enrich_demographics(spark, sf_dir):
 
 
 @query("upsert", """
-WITH ch AS (SELECT o_custkey AS id, o_orderpriority AS label, o_orderstatus AS flag FROM orders
-            QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1),
+WITH ch AS (SELECT o_custkey AS id, o_orderstatus AS flag,
+              CASE WHEN o_orderstatus = 'P' THEN '' WHEN o_orderstatus = 'O' AND o_custkey % 2 = 0 THEN 'xy' ELSE o_orderpriority END AS label
+            FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1),
 t AS (SELECT s_suppkey AS id, s_name AS label, 'x' AS flag FROM supplier)
-SELECT coalesce(t.id, ch.id) AS id, CASE WHEN ch.id IS NOT NULL THEN ch.label ELSE t.label END AS label,
-       CASE WHEN ch.id IS NOT NULL THEN ch.flag ELSE t.flag END AS flag FROM t FULL JOIN ch ON t.id = ch.id
+SELECT coalesce(t.id, ch.id) AS id, CASE WHEN length(ch.label) > 2 THEN ch.label ELSE t.label END AS label,
+       CASE WHEN ch.id IS NOT NULL THEN ch.flag ELSE t.flag END AS flag
+FROM t FULL JOIN (SELECT * FROM ch WHERE length(label) <> 2) ch ON t.id = ch.id
 """)
 def upsert(spark, sf_dir):
+    """Labels are long (all columns written), empty (only the flag) or of two letters (ignored)."""
     target = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("label"), F.lit("x").alias("flag"))
-    changes = (
+    last = (
         table(spark, sf_dir, "orders")
         .groupBy(F.col("o_custkey").alias("id"))
         .agg(F.max(F.struct("o_orderkey", "o_orderpriority", "o_orderstatus")).alias("_l"))
-        .select("id", F.col("_l.o_orderpriority").alias("label"), F.col("_l.o_orderstatus").alias("flag"))
     )
+    status = F.col("_l.o_orderstatus")
+    label = F.when(status == "P", "").when((status == "O") & (F.col("id") % 2 == 0), "xy").otherwise(F.col("_l.o_orderpriority"))
+    changes = last.select("id", label.alias("label"), status.alias("flag"))
     return joins.upsert(target, changes, "id", ["label", "flag"], ["label"], ["flag"])
 
 
@@ -504,7 +524,7 @@ def validate_panel(spark, sf_dir):
     return checked.select("c_custkey", "npi", F.array_join("errors", ",").alias("errors"))
 
 
-@query("panel_population", f"""
+PANEL_POPULATION_SQL = f"""
 WITH m AS (SELECT "Patient First Name" AS f, "Patient Last Name" AS l, "DOB" AS d, "Gender" AS g, max(c_custkey) AS mpi
            FROM ({PANEL_SQL}) GROUP BY f, l, d, g)
 SELECT m.mpi, f AS first_name, l AS last_name, strftime(CAST(d AS DATE), '%m/%d/%Y') AS dob, g AS sex,
@@ -514,7 +534,10 @@ SELECT m.mpi, f AS first_name, l AS last_name, strftime(CAST(d AS DATE), '%m/%d/
 FROM ({PANEL_SQL}) p JOIN m ON f = "Patient First Name" AND l = "Patient Last Name" AND d = "DOB" AND g = "Gender"
 JOIN customer c ON c.c_custkey = p.c_custkey
 WHERE c.c_acctbal >= 0 AND c.c_nationkey + 10 <= 28 AND mpi >= 10
-""")
+"""
+
+
+@query("panel_population", PANEL_POPULATION_SQL)
 def panel_population(spark, sf_dir):
     panel = _panel(spark, sf_dir)
     master = panel.select(
@@ -524,6 +547,16 @@ def panel_population(spark, sf_dir):
     return population.panel_population(panel, master, skip_invalid=True)
 
 
+@query("panel_population_any_case", PANEL_POPULATION_SQL)
+def panel_population_any_case(spark, sf_dir):
+    panel = _panel(spark, sf_dir)
+    master = panel.select(
+        F.col("c_custkey").alias("id"), F.lower("Patient First Name").alias("firstname"),
+        F.lower("Patient Last Name").alias("lastname"), F.col("DOB").alias("dob"), F.lower("Gender").alias("sex"),
+    )
+    return population.panel_population(panel, master, skip_invalid=True, case_insensitive=True)
+
+
 @query("panel_plus_visits", """
 SELECT c_custkey AS mpi FROM customer WHERE c_acctbal < 0
 UNION SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'
@@ -538,7 +571,7 @@ def panel_plus_visits(spark, sf_dir):
 SELECT CASE WHEN c_custkey = 0 THEN '' ELSE CAST(c_custkey AS VARCHAR) END AS "Unique Patient ID",
        NULL::VARCHAR AS "Secondary Client ID", "Patient First Name", NULL::VARCHAR AS "Patient Middle Initial",
        "Patient Last Name", NULL::VARCHAR AS "Patient Name Suffix",
-       strftime(TRY_CAST(replace("DOB", '1950-02', '1950-01') AS DATE), '%m/%d/%Y') AS "Patient Date of Birth", "Gender",
+       strftime(TRY_CAST("DOB" AS DATE), '%m/%d/%Y') AS "Patient Date of Birth", "Gender",
        NULL::VARCHAR AS "SSN - Last 4", "Residential Address" AS "Patient Address 1", NULL::VARCHAR AS "Patient Address 2",
        "City" AS "Patient City", "State" AS "Patient State", "Zip Code" AS "Patient Zip",
        NULL::VARCHAR AS "Patient Phone - Mobile", NULL::VARCHAR AS "Patient Phone - Home",
@@ -548,12 +581,11 @@ SELECT CASE WHEN c_custkey = 0 THEN '' ELSE CAST(c_custkey AS VARCHAR) END AS "U
        NULL::VARCHAR AS "Attributed Practice Unit OID", NULL::VARCHAR AS "Attributed Practice Unit Name",
        '1.2.3' AS "Managing Organization OID", 'Example HIE' AS "Managing Organization Name",
        'notify' AS "Service Delivery Preferences", NULL::VARCHAR AS "Common Key"
-FROM ({PANEL_SQL}) WHERE "DOB" < '1950-02-32'
+FROM ({PANEL_SQL})
 """)
 def attribution_file(spark, sf_dir):
-    panel = _panel(spark, sf_dir).filter(F.col("DOB") < "1950-02-32").withColumnRenamed("c_custkey", "mpi")
-    january = panel.withColumn("DOB", F.replace("DOB", F.lit("1950-02"), F.lit("1950-01")))
-    return population.attribution_file(january, "1.2.3", "Example HIE", "notify")
+    panel = _panel(spark, sf_dir).withColumnRenamed("c_custkey", "mpi")
+    return population.attribution_file(panel, "1.2.3", "Example HIE", "notify")
 
 
 @query("clients_due", """
@@ -614,11 +646,10 @@ def erase_report(spark, sf_dir):
 
 
 @query("delete_batches", """
-SELECT s_suppkey AS id, CAST((row_number() OVER (ORDER BY s_suppkey) - 1) // 500 AS BIGINT) AS batch FROM supplier
-UNION ALL SELECT id, batch FROM (SELECT 0 AS id, 0 AS batch) WHERE false
+SELECT o_orderkey AS id, CAST((row_number() OVER (ORDER BY o_orderkey) - 1) // 500 AS BIGINT) AS batch FROM orders
 """)
 def delete_batches(spark, sf_dir):
-    return erase.delete_batches(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id")))
+    return erase.delete_batches(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")))
 
 
 @query("check_unique", "SELECT o_custkey, o_orderdate, count(*) AS n FROM orders GROUP BY 1, 2 HAVING count(*) > 1")
@@ -668,3 +699,41 @@ def state_code_spellings(spark, sf_dir):
     return standardize(raw, "raw_state", state_crosswalk(spark), "state").drop("raw_state")
 
 
+# Spellings beside the rule, and what they stand for, one for each nation number.
+BESIDE = [
+    ("Ari", "Arizona"),
+    ("ARK", "Arkansas"),
+    (" CA", "California"),
+    ("06810", "Connecticut"),
+    ("Ga ", "Georgia"),
+    ("Ill", "Illinois"),
+    ("kANSAS", "Kansas"),
+    ("KS - KANSAS", "Kansas"),
+    ("71082", "Louisiana"),
+    ("MICH", "Michigan"),
+    ("Min", "Minnesota"),
+    ("MO 64106", "Missouri"),
+    ("Mon", "Montana"),
+    ("Okl", "Oklahoma"),
+    ("TX.", "Texas"),
+    ("On", "Canada"),
+    ("Au", "Australia"),
+    ("Czechia", "Czech Republic"),
+    ("GE", "Georgia"),
+    ("Jalisco", "Mexico"),
+    ("nA", "Namibia"),
+    ("N.L.", "Netherlands"),
+    ("uk", "United Kingdom"),
+    ("RUSSIA", "Russia"),
+    ("Nowhere", "UNKNOWN"),
+]
+
+
+@query("state_code_irregular", f"SELECT c_custkey, [{', '.join(repr(name) for _, name in BESIDE)}][c_nationkey + 1] AS state FROM customer")
+def state_code_irregular(spark, sf_dir):
+    from ..functions.state_codes import state_crosswalk
+    from ..operators.residence import standardize
+
+    spelling = F.element_at(F.array(*[F.lit(raw) for raw, _ in BESIDE]), (F.col("c_nationkey") + 1).cast("int"))
+    raw = table(spark, sf_dir, "customer").select("c_custkey", spelling.alias("raw_state"))
+    return standardize(raw, "raw_state", state_crosswalk(spark), "state").drop("raw_state")

@@ -81,9 +81,11 @@ def tsv_logs(spark, sf_dir):
 
 
 @query("lookback_backfill", """
-WITH s AS (SELECT o_custkey, o_orderdate AS latest_known_admitted, o_orderkey AS latest_known_order, strftime(o_orderdate, '%Y-%m') || '-01' AS latest_index_update
-      FROM orders WHERE o_orderdate >= TIMESTAMP '1999-10-01' AND o_orderdate < TIMESTAMP '2000-01-01')
-SELECT *, '1999-12-01' AS ds FROM s QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY latest_index_update DESC, latest_known_order DESC) = 1
+WITH e AS (SELECT date_trunc('month', max(o_orderdate)) AS ds FROM orders),
+s AS (SELECT o_custkey, o_orderdate AS latest_known_admitted, o_orderkey AS latest_known_order, strftime(o_orderdate, '%Y-%m') || '-01' AS latest_index_update,
+             strftime(ds, '%Y-%m-%d') AS ds
+      FROM orders, e WHERE o_orderdate >= ds - INTERVAL 36 MONTH)
+SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY latest_index_update DESC, latest_known_order DESC) = 1
 """)
 def lookback_backfill(spark, sf_dir):
     folder = shared_folder(spark, "backfill")
@@ -97,8 +99,10 @@ def lookback_backfill(spark, sf_dir):
         df.write.mode("overwrite").parquet(f"{folder}/{ds}")
         return spark.read.parquet(f"{folder}/{ds}")
 
-    start = step(_empty_snapshot(accounts), "1999-10-01").limit(0)
-    return lookback.backfill(step, start, ["1999-10-01", "1999-11-01", "1999-12-01"], save)
+    first, last = accounts.agg(F.min("index_update"), F.max("index_update")).first()
+    months = [lookback.month_text(f"{first}-01", i) + "-01" for i in range(12 * (int(last[:4]) - int(first[:4])) + int(last[5:]) - int(first[5:]) + 1)]
+    start = step(_empty_snapshot(accounts), months[0]).limit(0)
+    return lookback.backfill(step, start, months, save)
 
 
 def _empty_snapshot(accounts):
