@@ -2,8 +2,8 @@
 
 Documents are put into batches of bounded size. A batch lists each of its n-grams once, with its count,
 cut by hash range; for every range the lists of all batches meet in one task, which adds up the count
-table of that range and joins it back to the lists: a batch learns the counts of those n-grams that
-other batches hold too. Batches then look up the n-grams of their documents and sum the scores. A very
+table of that range and joins it back to the lists: each batch gets, in the order of its list, how
+often the other batches hold the n-gram. Batches then sum the scores of their documents. A very
 frequent n-gram adds one entry per batch, never one per document or occurrence.
 
 The score of a word is ``a^b c(gram) / c(context)`` for the longest n-gram ending there that is seen
@@ -84,71 +84,75 @@ def batched(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
     return written(rows.mapInArrow(assign, f"batch bigint, id {kind}, text string, n_bytes bigint"), "lm-batches")
 
 
+def _packed(grams: np.ndarray) -> bytes:
+    """Sorted hashes as differences, byte plane by byte plane: the high planes are empty and compress."""
+    steps = np.diff(grams, prepend=_U64(0)).astype("<u8")
+    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked(data: pa.Scalar) -> np.ndarray:
+    planes = np.frombuffer(data.as_buffer(), dtype=np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=_U64)
+
+
+def _small(numbers: np.ndarray) -> tuple[bytes, bytes]:
+    """A byte for each number; 255 stands for the next of the long numbers that follow apart."""
+    return np.minimum(numbers, 255).astype(np.uint8).tobytes(), numbers[numbers >= 255].astype("<i8").tobytes()
+
+
+def _numbers(low: pa.Scalar, high: pa.Scalar) -> np.ndarray:
+    out = np.frombuffer(low.as_buffer(), dtype=np.uint8).astype(np.int64)
+    out[out == 255] = np.frombuffer(high.as_buffer(), dtype="<i8")
+    return out
+
+
 def listed(docs: DataFrame, order: int, ranges: int) -> DataFrame:
-    """Rows (range, batch, grams, counts): the n-grams of a batch in a hash range, packed and sorted."""
+    """Rows (range, batch, grams, low, high): the n-grams of a batch in a hash range and their counts."""
     bounds = np.array([(i << 64) // ranges for i in range(1, ranges)], dtype=_U64)
 
-    def rows_of(batch: int, texts: list[str | None]) -> pa.RecordBatch:
-        grams, counts = np.unique(_all(ngrams(texts, order)), return_counts=True)
+    def list_(rows: pa.Table) -> pa.Table:
+        grams, counts = np.unique(_all(ngrams(rows.column("text").to_pylist(), order)), return_counts=True)
         cuts = [0, *np.searchsorted(grams, bounds).tolist(), len(grams)]
         held = [(i, a, b) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
-        counts = counts.astype("<i4")
-        return pa.record_batch(
-            [
-                pa.array([i for i, _, _ in held], pa.int32()), pa.array([batch] * len(held), pa.int64()),
-                pa.array([grams[a:b].astype("<u8").tobytes() for _, a, b in held], pa.binary()),
-                pa.array([counts[a:b].tobytes() for _, a, b in held], pa.binary()),
-            ],
-            names=["range", "batch", "grams", "counts"],
-        )
-
-    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, texts = None, []
-        for rows in batches:
-            numbers = rows.column(0).to_numpy()
-            edges = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
-            for a, b in zip(edges[:-1], edges[1:]):
-                if b > a and numbers[a] != now:
-                    if texts:
-                        yield rows_of(now, texts)
-                    now, texts = int(numbers[a]), []
-                texts.extend(rows.column(1).slice(a, b - a).to_pylist())
-        if texts:
-            yield rows_of(now, texts)
-
-    return docs.select("batch", "text").mapInArrow(collect, "range int, batch bigint, grams binary, counts binary")
+        numbers = [_small(counts[a:b]) for _, a, b in held]
+        return pa.table({
+            "range": pa.array([i for i, _, _ in held], pa.int32()),
+            "batch": pa.array([rows.column("batch")[0].as_py()] * len(held), pa.int64()),
+            "grams": pa.array([_packed(grams[a:b]) for _, a, b in held], pa.binary()),
+            "low": pa.array([low for low, _ in numbers], pa.binary()),
+            "high": pa.array([high for _, high in numbers], pa.binary()),
+        })
+
+    return docs.groupBy("batch").applyInArrow(list_, "range int, batch bigint, grams binary, low binary, high binary")
 
 
 def counted(lists: DataFrame) -> DataFrame:
-    """Per batch and range the total counts of those n-grams that also occur outside the list."""
+    """Rows (batch, range, low, high): per n-gram of a list its count outside the list."""
 
     def add(rows: pa.Table) -> pa.Table:
-        grams = [np.frombuffer(g.as_buffer(), dtype="<u8") for g in rows.column("grams")]
-        counts = np.concatenate([np.frombuffer(c.as_buffer(), dtype="<i4") for c in rows.column("counts")])
+        grams = [_unpacked(g) for g in rows.column("grams")]
+        counts = [_numbers(*pair) for pair in zip(rows.column("low"), rows.column("high"))]
         _, place = np.unique(np.concatenate(grams), return_inverse=True)
-        total = np.bincount(place, weights=counts).astype("<i8")[place]
-        ends = np.cumsum([len(g) for g in grams])
-        packed = []
-        for g, end in zip(grams, ends):
-            t, own = total[end - len(g) : end], counts[end - len(g) : end]
-            more = t > own
-            packed.append((g[more].tobytes(), t[more].tobytes()))
+        every = np.concatenate(counts)
+        outside = np.bincount(place, weights=every).astype(np.int64)[place] - every
+        parts = [_small(part) for part in np.split(outside, np.cumsum([len(g) for g in grams])[:-1])]
         return pa.table({
             "batch": rows.column("batch"),
-            "grams": pa.array([p[0] for p in packed], pa.binary()),
-            "totals": pa.array([p[1] for p in packed], pa.binary()),
+            "range": rows.column("range"),
+            "low": pa.array([low for low, _ in parts], pa.binary()),
+            "high": pa.array([high for _, high in parts], pa.binary()),
         })
 
-    return lists.groupBy("range").applyInArrow(add, "batch bigint, grams binary, totals binary").filter(F.length("grams") > 0)
+    return lists.groupBy("range").applyInArrow(add, "batch bigint, range int, low binary, high binary")
 
 
 class _Counts:
-    """Counts of n-grams over all documents, for the documents of one batch."""
+    """Counts of n-grams over all documents, for the documents of one batch. ``outside``: the counts of
+    the other batches, in the order of the batch's list."""
 
-    def __init__(self, grams: np.ndarray, known: np.ndarray, totals: np.ndarray):
+    def __init__(self, grams: np.ndarray, outside: np.ndarray):
         self.grams, own = np.unique(grams, return_counts=True)
-        self.total = own.astype(np.int64)
-        self.total[np.searchsorted(self.grams, known)] = totals
+        self.total = own + outside
 
     def elsewhere(self, grams: np.ndarray) -> np.ndarray:
         """Per n-gram of a document how often the other documents hold it."""
@@ -178,23 +182,24 @@ def scored(
 ) -> DataFrame:
     """One row per input row: ``key``, ``n_words``, ``log_score`` (natural logarithms, summed) and
     ``mean_log_score``."""
-    docs = batched(df, key, text, batch_bytes)
-    total = docs.agg(F.sum("n_bytes")).first()[0] or 0
+    sized = batched(df, key, text, batch_bytes)
+    docs = sized.select("batch", "id", "text")
+    total = sized.agg(F.sum("n_bytes")).first()[0] or 0
     lists = listed(docs, order, max(least_ranges, -(-total // range_bytes)))
     answers = counted(lists)
     words = docs.agg(F.sum(F.regexp_count("text", F.lit(_WORD.pattern)))).first()[0] or 0
 
     def sums(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        texts = rows.column("text").to_pylist()
-        grams = ngrams(texts, order)
-        join = lambda name, kind: np.concatenate([np.empty(0, kind), *[np.frombuffer(x.as_buffer(), dtype=kind) for x in answers.column(name)]])
-        counts = _Counts(_all(grams), join("grams", "<u8"), join("totals", "<i8"))
+        grams = ngrams(rows.column("text").to_pylist(), order)
+        at = np.argsort(answers.column("range").to_numpy())
+        parts = [_numbers(answers.column("low")[i], answers.column("high")[i]) for i in at.tolist()]
+        counts = _Counts(_all(grams), np.concatenate([np.empty(0, np.int64), *parts]))
         n = [len(g[0]) for g in grams]
         logs = [score(g, counts, words, alpha, unseen) if k else 0.0 for g, k in zip(grams, n)]
         return pa.table({"id": rows.column("id"), "n_words": pa.array(n, pa.int64()), "log_score": pa.array(logs, pa.float64())})
 
     kind = df.schema[key].dataType.simpleString()
-    out = docs.select("batch", "id", "text").groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
+    out = docs.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
         sums, f"id {kind}, n_words bigint, log_score double"
     )
     return out.select(
