@@ -9,8 +9,10 @@ signature there. Two documents agree at a coordinate as often as their weighted
 
 Bands of the signature are the candidates' keys. In a band's bucket no pairs are listed: members are
 compared with one representative, and the links found join documents to groups. Buckets that still
-hold several groups get other representatives, and what remains then is compared across groups pair by
-pair. Every link rests on the exact weighted similarity of the two documents; classes are the connected
+hold several groups get another representative. The documents of buckets that are mixed even then are
+compared across groups, where a prefix filter tells the pairs: two documents can only be similar if
+they share one of their rarest shingles, so a line that many documents hold makes no pairs. That step
+is exact, so no bucket is too large. Every link rests on the exact weighted similarity of the two documents; classes are the connected
 components of the links.
 
 Texts equal after folding (lower case, words split at ASCII white space) are one class from the
@@ -169,11 +171,50 @@ def linked(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame
     return joined.filter(possible).select("a", "b", "pa", "pb").mapInArrow(compare, "a bigint, b bigint")
 
 
+def prefix_pairs(docs: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a < b) of different groups that can reach the threshold. ``docs``: (h, g, n, profile).
+
+    Shingles are put in one order, the rarest first. Documents that share ``threshold`` of their
+    shingles share one among the first ``n - ceil(threshold n) + 1`` of each, and behind the first one
+    they share enough must be left in both to make up the overlap.
+    """
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                values = np.frombuffer(batch.column("profile")[i].as_buffer(), dtype="<u4")
+                first = np.r_[True, values[1:] != values[:-1]]
+                at = np.arange(len(values))
+                copy = at - np.maximum.accumulate(np.where(first, at, 0))
+                tokens = (values.astype(_U64) << _U64(32) | copy.astype(_U64)).view(np.int64)
+                own = [pa.array(np.full(len(values), batch.column(c)[i].as_py(), dtype=np.int64)) for c in ("h", "g", "n")]
+                yield pa.record_batch([*own, pa.array(tokens)], names=["h", "g", "n", "token"])
+
+    tokens = written(docs.select("h", "g", "n", "profile").mapInArrow(spread, "h bigint, g bigint, n bigint, token bigint"), "tokens")
+    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter(F.col("f") > 1)
+    of_doc = Window.partitionBy("h")
+    ranked = tokens.join(shared, "token").withColumns(
+        {"_rank": F.row_number().over(of_doc.orderBy("f", "token")), "_shared": F.count(F.lit(1)).over(of_doc)}
+    )
+    # A shingle that no other document holds stands before all that are shared.
+    length = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1
+    placed = ranked.withColumn("place", F.col("n") - F.col("_shared") + F.col("_rank")).filter(F.col("place") <= length)
+    prefix = written(placed.select("h", "g", "n", "token", "place"), "prefix")
+    other = prefix.select("token", *[F.col(c).alias(f"{c}2") for c in ("h", "g", "n", "place")])
+    overlap = F.lit(threshold / (1 + threshold)) * (F.col("n") + F.col("n2")) - 1e-9
+    met = prefix.join(other, "token").filter(
+        (F.col("h") < F.col("h2")) & (F.col("g") != F.col("g2"))
+        & (F.least("n", "n2") >= threshold * F.greatest("n", "n2"))
+        & (1 + F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2")) >= overlap)
+    )
+    return met.select(F.col("h").alias("a"), F.col("h2").alias("b"))
+
+
 def _ordered(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def near_links(sketches: DataFrame, heads: DataFrame, threshold: float, stars: int = 3) -> tuple[DataFrame, DataFrame]:
+def near_links(sketches: DataFrame, heads: DataFrame, threshold: float, stars: int = 2) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) that connect all similar candidates, and (node, root) of the linked documents."""
     of_head = heads.withColumnRenamed("_d", "_hd")
     own = (F.col("id") == F.col("h")) & (F.col("_d") == F.col("_hd"))
@@ -194,9 +235,8 @@ def near_links(sketches: DataFrame, heads: DataFrame, threshold: float, stars: i
             order = F.struct(F.xxhash64(F.lit(star), "h") if star else F.lit(0), "h", "g")
             head = inside.groupBy("band").agg(F.min(order).alias("_x")).select("band", F.col("_x.h").alias("r"), F.col("_x.g").alias("rg"))
             pairs = inside.join(head, "band").filter(F.col("g") != F.col("rg")).select(*_ordered("h", "r"))
-        else:  # across the groups of a bucket: what no representative could settle
-            other = inside.select("band", F.col("h").alias("o"), F.col("g").alias("og"))
-            pairs = inside.join(other, "band").filter((F.col("h") < F.col("o")) & (F.col("g") != F.col("og"))).select(*_ordered("h", "o"))
+        else:  # what no representative could settle
+            pairs = prefix_pairs(inside.select("h", "g").distinct().join(profiles, "h"), threshold)
         pairs = pairs.distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
