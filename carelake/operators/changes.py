@@ -135,16 +135,18 @@ def new_keys(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
 def directory_update(
     new: DataFrame, previous: DataFrame, file_date: str, key: str = "HCID", name: str = "Name",
     parent: str = "Part of HCID", network: str = "QHIN HCID", first_seen: str = "FirstSeenDate",
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Directory rows of one snapshot: first-seen date of keys not stored before, parent cut to
-    the part after its slash, parent and network names by self-lookup (``NA`` when unknown)."""
+    the part after its slash, parent and network names by self-lookup (``NA`` when unknown). Of several
+    names for a key the last by the ``order`` columns counts, or the greatest where there are none."""
     stored = previous.select(key).distinct().withColumn("_old", F.lit(True))
     dated = new.join(stored, key, "left").withColumn(
         first_seen, F.when(F.col("_old").isNull(), F.lit(file_date)).otherwise(F.col(first_seen))
     ).drop("_old")
     cut = dated.withColumn(parent, part_after(F.col(parent), "/"))
-    named = lookup(cut, F.col(parent), new, key, name, "PartOfName", "NA")
-    named = lookup(named, F.col(network), new, key, name, "QHIN_Name", "NA")
+    named = lookup(cut, F.col(parent), new, key, name, "PartOfName", "NA", order)
+    named = lookup(named, F.col(network), new, key, name, "QHIN_Name", "NA", order)
     return named.withColumn("file_date", F.lit(file_date))
 
 

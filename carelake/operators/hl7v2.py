@@ -27,6 +27,7 @@ SOURCE_TYPE = "hl7v2"
 # Results written to the message log.
 PARSED = "Success: all fields parsed"
 NO_HEADER = "Error: HL7 msg missing MSH seg"
+SEVERAL = "Error: several messages in the file, the last one taken"
 
 # Provider roles with the segment and field that hold each one.
 PROVIDER_ROLES = (
@@ -593,10 +594,14 @@ def hl7_pcp(messages: DataFrame) -> DataFrame:
 # -- logs and registries ------------------------------------------------------------------------
 
 def hl7_message_log(messages: DataFrame, text: str = "value", file: str = "file") -> DataFrame:
+    """One row per file with what became of it. A file is one message; the log tells of files that hold
+    several, of which the last header and patient count."""
     msh = F.col("_msh")
+    headers = F.size(F.filter("_segments", lambda s: F.startswith(s, F.lit("MSH"))))
+    status = F.when(~F.col("has_header"), NO_HEADER).when(headers > 1, SEVERAL).otherwise(PARSED)
     return _table(
         messages,
-        F.col(file), F.when(F.col("has_header"), PARSED).otherwise(NO_HEADER).alias("status"),
+        F.col(file), status.alias("status"),
         head(msh, 12).alias("hl7_version"), head(msh, 9, 1).alias("message_type"), head(msh, 9, 2).alias("event_code"),
         "f_name", "f_state", "f_facility", "f_pointer", "f_pointer_value", "f_date",
         F.length(text).alias("file_length"), "accid_ref",

@@ -106,3 +106,11 @@ def test_oids(spark, rows_of):
     out = rows_of(hl7v2.resolve_msh4_oid(messages, cross), "file", "oid", "error")
     assert out[:3] == [("a", "2.16.1", None), ("b", "1.1", None), ("c", "1.2", None)]
     assert out[3][1] is None and "?" in out[3][2]
+
+
+def test_two_messages_in_a_file_are_logged(spark, rows_of):
+    one = "MSH|^~\\&|a|b|c|d|20200101||ADT^A01|1|P|2.3\rPID|1||1||Lee^Ann\r"
+    df = spark.createDataFrame([("x", one), ("y", one + one), ("z", "PID|1")], "file string, value string")
+    log = hl7v2.hl7_message_log(hl7v2.hl7_messages(df))
+    assert [s.split(":")[0] + str(len(s)) for _, s in rows_of(log, "file", "status")] == [
+        f"{s.split(':')[0]}{len(s)}" for s in (hl7v2.PARSED, hl7v2.SEVERAL, hl7v2.NO_HEADER)]
