@@ -44,7 +44,7 @@ def components(links: DataFrame) -> DataFrame:
         large = written(_large_star(both), "large-star")
         edges = written(_small_star(large.select(F.col("hi").alias("u"), F.col("lo").alias("v"))), "small-star")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first()
-        if tuple(now) == state:
+        if tuple(now) == state or not now[0]:
             break
         state = tuple(now)
     return edges.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(

@@ -185,9 +185,9 @@ def near_links(
             pairs = tree_pairs(vectors, 100 * step + t, bits, room, parts)
             fresh = pairs if fresh is None else fresh.unionByName(pairs)
         fresh = fresh.groupBy("a", "b").agg(F.max("sim").alias("sim"))
-        known = written(fresh if known is None else known.unionByName(fresh.join(known, ["a", "b"], "left_anti")), "known")
+        known = written(fresh, "known") if known is None else known.unionByName(written(fresh.join(known, ["a", "b"], "left_anti"), "known"))
         lists = written(_lists(known, room), "lists")
-        known = written(known.unionByName(cosines(_beyond(lists, F.col("_r") <= through, known), vectors)), "known")
+        known = known.unionByName(written(cosines(_beyond(lists, F.col("_r") <= through, known), vectors), "known"))
         known = _enlarged(known, vectors, threshold, room)
         links = known.filter(F.col("sim") >= threshold)
         recall = links.join(truth, ["a", "b"], "left_semi").count() / wanted if wanted else 1.0
@@ -197,8 +197,8 @@ def near_links(
 
 
 def _enlarged(known: DataFrame, vectors: DataFrame, threshold: float, room: int) -> DataFrame:
-    """Doubles the lists of saturated rows and fills them from the lists of their neighbours. The rows
-    asked are spread over the list, so that far members of a dense group are reached."""
+    """Makes the lists of saturated rows four times as long and fills them from the lists of their
+    neighbours. The rows asked are spread over the list, so that far members of a dense group are reached."""
     before = None
     while True:
         links = known.filter(F.col("sim") >= threshold)
@@ -207,10 +207,10 @@ def _enlarged(known: DataFrame, vectors: DataFrame, threshold: float, room: int)
         now = saturated.agg(F.count(F.lit(1)), F.sum("n")).first()
         if now[0] == 0 or now == before:
             return known
-        before, room = now, 2 * room
+        before, room = now, 4 * room
         lists = written(_lists(links, saturated.select("a", F.lit(room).alias("room"))), "lists")
-        some = (F.col("_r") == 1) | (F.pmod(F.xxhash64("a", "b"), F.lit(room)) < 4)
-        known = written(known.unionByName(cosines(_beyond(lists, some, known, saturated), vectors)), "known")
+        some = (F.col("_r") == 1) | (F.pmod(F.xxhash64("a", "b"), F.lit(room)) < 8)
+        known = known.unionByName(written(cosines(_beyond(lists, some, known, saturated), vectors), "known"))
 
 
 def near_duplicates(
