@@ -165,7 +165,13 @@ _HEADER = _struct(
 )
 
 
+_PARSED = "_document"
+
+
 def _parsed(df: DataFrame, file: str, text: str, schema: str, name: str) -> DataFrame:
+    """The document as far as the schema goes; from the stored struct where ``parse_ccda`` made one."""
+    if _PARSED in df.columns:
+        return df.select(F.col(file), F.col(_PARSED).alias(name))
     return df.select(F.col(file), F.from_xml(F.col(text), schema, _OPTIONS).alias(name))
 
 
@@ -667,3 +673,30 @@ def ccda_rows(df: DataFrame, processed_at: str, file: str = "file", text: str =
         "business_phone_number_id", "euid",
     )
     return {"registration": person, "contact": contact, "insurance": insurance}
+
+
+# -- one pass for all extracts ---------------------------------------------------------------------
+
+EXTRACTS = {
+    "demographics": ccda_demographics, "header": ccda_header, "sections": ccda_sections, "encounters": ccda_encounters,
+    "insurance": ccda_insurance, "care_team": ccda_care_team, "problems": ccda_problems, "procedures": ccda_procedures,
+    "medications": ccda_medications, "allergies": ccda_allergies, "immunizations": ccda_immunizations, "vital_signs": ccda_vitals,
+    "labs": ccda_labs, "consult_note": ccda_consult_note, "errors": ccda_errors, "table_text": ccda_table_text,
+}
+
+
+def parse_ccda(df: DataFrame, path: str, file: str = "file", text: str = "value") -> DataFrame:
+    """Parses every document once: one struct with the header and all kinds of events as a stored
+    table, from which each extract reads the fields it needs. Every function here takes its rows."""
+    entry = _struct(**{k: _array(_EVENT.get(k, _SEEN)) for k in KINDS})
+    section = _struct(code=_struct(_code="string"), title="string", text="string", entry=_array(entry))
+    body = _body_schema(section)
+    schema = _HEADER.removesuffix(">") + "," + body.removeprefix("struct<")
+    rows = df.select(F.col(file), F.from_xml(F.col(text), schema, _OPTIONS).alias(_PARSED))
+    rows.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def ccda_extracts(parsed: DataFrame) -> dict[str, DataFrame]:
+    """All extracts of parsed documents."""
+    return {name: extract(parsed) for name, extract in EXTRACTS.items()}

@@ -661,3 +661,25 @@ def one_per_oid(resolved: DataFrame, file: str = "file") -> DataFrame:
     """One message per distinct OID (the least file name)."""
     return resolved.filter(F.col("oid").isNotNull()).groupBy("oid").agg(F.min(file).alias(file))
 
+
+# -- one pass for all tables ---------------------------------------------------------------------
+
+#: Tables that are read from parsed messages alone.
+TABLES = {
+    "identity": hl7_identity, "person": hl7_person, "account": hl7_account, "contacts": hl7_contacts, "locations": hl7_locations,
+    "procedures": hl7_procedures, "diagnoses": hl7_diagnoses, "medications": hl7_medications, "allergies": hl7_allergies,
+    "immunizations": hl7_immunizations, "vaccinations": hl7_vaccinations, "insurance": hl7_insurance, "lab_tests": hl7_lab_tests,
+    "lab_results": hl7_lab_results, "providers": hl7_providers, "pcp": hl7_pcp, "message_log": hl7_message_log, "links": hl7_links,
+}
+
+
+def parse_hl7(df: DataFrame, path: str, text: str = "value", file: str = "file") -> DataFrame:
+    """Reads and splits every message once: the nested rows of ``hl7_messages`` as a stored table, from
+    which each extract reads the columns it needs."""
+    hl7_messages(df, text, file).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def hl7_tables(parsed: DataFrame) -> dict[str, DataFrame]:
+    """All tables of parsed messages."""
+    return {name: extract(parsed) for name, extract in TABLES.items()}

@@ -4,8 +4,9 @@ several headers in a folder, files to skip, files of one name in many folders, s
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .documents import document_text
 from .hl7_messages import message_text
@@ -148,3 +149,43 @@ def check_columns(spark, sf_dir):
         F.lit(missing).cast("bigint").alias("n_missing"), F.lit(without).cast("bigint").alias("n_missing_without_dob"),
         F.count(F.lit(1)).alias("n_rows"),
     )
+
+
+def _count_sql(names: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{name}' AS name, count(*) AS n FROM ({ORACLES[query_]})" for name, query_ in names.items())
+
+
+HL7_NAMES = {name: f"hl7_{name}" for name in hl7v2.TABLES if name not in ("providers", "links")}
+CCDA_NAMES = {name: f"ccda_{name}" for name in ccda.EXTRACTS if name != "vital_signs"} | {"vital_signs": "ccda_vitals"}
+
+
+@query("hl7_all_tables", _count_sql(HL7_NAMES))
+def hl7_all_tables(spark, sf_dir):
+    """Every table from messages that were parsed once."""
+    parsed = hl7v2.parse_hl7(message_text(spark, sf_dir), shared_folder(spark, "hl7-parsed"))
+    tables = hl7v2.hl7_tables(parsed)
+    counts = [tables[name].select(F.lit(name).alias("name")) for name in HL7_NAMES]
+    return reduce(DataFrame.unionByName, counts).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("ccda_all_extracts", _count_sql(CCDA_NAMES))
+def ccda_all_extracts(spark, sf_dir):
+    """Every extract from documents that were parsed once."""
+    parsed = ccda.parse_ccda(document_text(spark, sf_dir), shared_folder(spark, "ccda-parsed"))
+    extracts = ccda.ccda_extracts(parsed)
+    counts = [extracts[name].select(F.lit(name).alias("name")) for name in CCDA_NAMES]
+    return reduce(DataFrame.unionByName, counts).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+
+
+for _name in ("hl7_person", "hl7_lab_results"):
+    @query(f"{_name}_parsed", ORACLES[_name])
+    def _from_parsed(spark, sf_dir, name=_name):
+        parsed = hl7v2.parse_hl7(message_text(spark, sf_dir), shared_folder(spark, "hl7-parsed"))
+        return hl7v2.hl7_tables(parsed)[name.removeprefix("hl7_")]
+
+
+for _name in ("ccda_demographics", "ccda_encounters", "ccda_labs", "ccda_errors"):
+    @query(f"{_name}_parsed", ORACLES[_name])
+    def _from_parsed_documents(spark, sf_dir, name=_name):
+        parsed = ccda.parse_ccda(document_text(spark, sf_dir), shared_folder(spark, "ccda-parsed"))
+        return ccda.ccda_extracts(parsed)[name.removeprefix("ccda_")]
