@@ -20,7 +20,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -168,9 +167,10 @@ def lexicon(sample: DataFrame, support: int = 4, odds: float = 2.0, most: int =
 
 
 def _features(scanners: list[Scanner]):
-    @F.pandas_udf("array<double>")
-    def scan(texts: pd.Series, which: pd.Series) -> pd.Series:
-        return pd.Series([scanners[w].features(t) for t, w in zip(texts, which)])
+    @F.arrow_udf("array<double>")
+    def scan(texts: pa.Array, which: pa.Array) -> pa.Array:
+        rows = (scanners[w].features(t.as_py()) for t, w in zip(texts, which.to_pylist()))
+        return pa.array([*rows], pa.list_(pa.float64()))
 
     return scan
 

@@ -13,30 +13,48 @@ from carelake.llm import darts, language, mixing, packing, privacy
 from carelake.session import written
 
 TOKENIZER = "word_bpe_49k.json"
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _keeping_columns(stage):
+    """A stage over the columns of ``documents``; further columns pass by under names of their own, so
+    none of them meets a column that an operator adds, and come back as they were."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        inner = {c: c if c in COLUMNS else f"_further{i}" for i, c in enumerate(docs.columns)}
+        out = stage(spark, docs.select(*[F.col(f"`{c}`").alias(name) for c, name in inner.items()]), sf_dir)
+        return out.select(*[F.col(name).alias(c) for c, name in inner.items()])
+
+    run_stage.__name__, run_stage.__doc__ = stage.__name__, stage.__doc__
+    return run_stage
+
+
+@_keeping_columns
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told: those without a letter and those between two languages go."""
     model = language.fit(docs.filter(~language.held_out("doc_id")))
     named = docs.withColumn("_found", language.identified(model, F.col("text")))
-    return named.filter((F.col("_found.lang_pred") != "und") & ~F.col("_found.ambiguous")).select(*docs.columns)
+    return named.filter((F.col("_found.lang_pred") != "und") & ~F.col("_found.ambiguous"))
 
 
+@_keeping_columns
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies."""
     return darts.deduplicated(docs)
 
 
+@_keeping_columns
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and what discloses it replaced; ``n_chars`` follows the text."""
     clean = privacy.sanitised(privacy.protected(docs))
-    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
+@_keeping_columns
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
     mix = mixing.mixed(docs).filter(F.col("copies") > 0)
-    return mix.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+    return mix.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies")))
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
