@@ -2,7 +2,7 @@
 
 The batch functions of ``operators.changes`` run on every micro-batch. The mark table is kept as one
 Parquet folder per batch: batch ``b`` reads the marks of ``b - 1`` and writes its own, so a batch that
-is run again after a failure reads and writes the same folders.
+is run again after a failure reads and writes the same folders. Marks two batches old are deleted.
 """
 
 from __future__ import annotations
@@ -15,15 +15,24 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.changes import advance_marks, changed_files
 
 
-def file_stream(spark: SparkSession, path: str, schema: str, fmt: str = "parquet", glob: str = "*", **options: str) -> DataFrame:
-    """Every file of a folder once, in micro-batches; the stream checkpoint is the list of loaded files."""
-    return spark.readStream.format(fmt).schema(schema).option("pathGlobFilter", glob).options(**options).load(path)
+def file_stream(
+    spark: SparkSession, path: str, schema: str, fmt: str = "parquet", glob: str = "*", files_per_batch: int = 10_000, **options: str
+) -> DataFrame:
+    """Every file of a folder once, in micro-batches of at most ``files_per_batch``; the stream
+    checkpoint is the list of loaded files."""
+    reader = spark.readStream.format(fmt).schema(schema).option("pathGlobFilter", glob).option("maxFilesPerTrigger", files_per_batch)
+    return reader.options(**options).load(path)
 
 
 def _version(root: str, batch: int) -> str:
     return f"{root}/version={batch}"
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    old = spark._jvm.org.apache.hadoop.fs.Path(path)
+    old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+
+
 def watch(
     stream: DataFrame, keys: Sequence[str], time: str, folder: str,
     on_change: Callable[[DataFrame, int], None] | None = None, first_marks: DataFrame | None = None,
@@ -47,6 +56,8 @@ def watch(
         advance_marks(marks, stored, keys, time).write.mode("overwrite").parquet(_version(marks_root, batch_id))
         if on_change is not None:
             on_change(stored, batch_id)
+        if batch_id > 1:  # a batch that is run again reads the marks before it, never older ones
+            _delete(spark, _version(marks_root, batch_id - 2))
 
     return (
         stream.writeStream.foreachBatch(handle)
