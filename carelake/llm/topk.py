@@ -29,7 +29,8 @@ def integer_weights(vector: Column, scale: int) -> Column:
 
 
 def _postings(rows: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per term the places of the rows that hold it and their weights."""
+    """Per term the places of the rows that hold it and their weights. A term that a quarter of the
+    rows hold gets a weight for every place, so that it is added without indexing."""
     lengths = np.array([len(r) for r in rows])
     place = np.repeat(np.arange(len(rows)), lengths)
     term = np.concatenate([np.arange(n) for n in lengths]) if len(rows) else np.empty(0, dtype=np.int64)
@@ -39,17 +40,25 @@ def _postings(rows: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
     order = np.argsort(term, kind="stable")
     place, term, weight = place[order], term[order], weight[order]
     ends = np.searchsorted(term, np.arange(int(lengths.max(initial=0)) + 1))
-    return [(place[a:b], weight[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+    every, out = np.arange(len(rows)), []
+    for a, b in zip(ends[:-1], ends[1:]):
+        if 4 * (b - a) >= len(rows):
+            full = np.zeros(len(rows), dtype=np.int64)
+            full[place[a:b]] = weight[a:b]
+            out.append((every, full))
+        else:
+            out.append((place[a:b], weight[a:b]))
+    return out
 
 
 def _best(scores: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Query row and place of the k best per query. Places are in id order and ``own`` marks what is
     no candidate. The place is part of what is compared, so ties need no further care."""
     n = scores.shape[1]
-    ranked = scores * n + (n - 1 - np.arange(n))
-    ranked[own] = -(1 << 62)
+    ranked = scores * -n + np.arange(n)
+    ranked[own] = 1 << 62
     if n > k:
-        at = np.argpartition(-ranked, k - 1, axis=1)[:, :k]
+        at = np.argpartition(ranked, k - 1, axis=1)[:, :k]
     else:
         at = np.broadcast_to(np.arange(n), scores.shape)
     query = np.repeat(np.arange(len(scores)), at.shape[1])
@@ -58,30 +67,37 @@ def _best(scores: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return query[fine], place[fine]
 
 
-def _search(queries: pd.DataFrame, rows: pd.DataFrame, k: int, group: int = 64) -> pd.DataFrame:
+def _search(queries: pd.DataFrame, rows: pd.DataFrame, k: int, group: int = 16) -> pd.DataFrame:
+    """A few queries at a time, so that their score arrays stay in the processor's cache."""
     rows = rows.sort_values("_id", kind="stable")
     ids = rows["_id"].to_numpy(dtype=np.int64)
     postings = _postings([np.asarray(v, dtype=np.int64) for v in rows["_v"]])
+    asked = [np.asarray(v, dtype=np.int64)[: len(postings)] for v in queries["_v"]]
+    greatest = lambda vectors: max((int(np.abs(v).max(initial=0)) for v in vectors), default=0)
+    bound = greatest(asked) * greatest(w for _, w in postings) * len(postings)
+    kind = np.int32 if bound < 1 << 31 else np.int64
+    postings = [(place, weight.astype(kind)) for place, weight in postings]
+    room = np.empty((2, group, len(ids)), dtype=kind)
     found = []
-    for at in range(0, len(queries), group):
-        some = queries.iloc[at : at + group]
-        qids = some["_id"].to_numpy(dtype=np.int64)
-        weights = np.zeros((len(some), len(postings)), dtype=np.int64)
-        for i, v in enumerate(some["_v"]):
-            v = np.asarray(v, dtype=np.int64)[: len(postings)]
+    for at in range(0, len(asked), group):
+        n = len(asked[at : at + group])
+        qids = queries["_id"].to_numpy(dtype=np.int64)[at : at + n]
+        weights = np.zeros((n, len(postings)), dtype=kind)
+        for i, v in enumerate(asked[at : at + n]):
             weights[i, : len(v)] = v
-        scores = np.zeros((len(some), len(ids)), dtype=np.int64)
+        scores, added = room[0, :n], room[1, :n]
+        scores[:] = 0
         for term, (place, weight) in enumerate(postings):
             has = np.flatnonzero(weights[:, term])
             if len(has) == 0 or len(place) == 0:
                 continue
-            added = weights[has, term][:, None] * weight
-            if len(has) == len(some) and len(place) == len(ids):
+            if len(place) == len(ids):
+                np.multiply(weights[:, term, None], weight, out=added)
                 scores += added
             else:
-                scores[np.ix_(has, place)] += added
-        query, place = _best(scores, qids[:, None] == ids, k)
-        found.append(pd.DataFrame({"query_id": qids[query], "vec_id": ids[place], "score": scores[query, place]}))
+                scores[np.ix_(has, place)] += weights[has, term, None] * weight
+        query, place = _best(scores.astype(np.int64), qids[:, None] == ids, k)
+        found.append(pd.DataFrame({"query_id": qids[query], "vec_id": ids[place], "score": scores[query, place].astype(np.int64)}))
     return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype=np.int64)
 
 
