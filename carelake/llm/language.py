@@ -18,7 +18,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -148,10 +147,11 @@ def identified(model: LanguageModel, text: Column, lead: float = 0.1) -> Column:
     """Struct of ``lang_pred``, ``score`` (share of belief, 0 to 1) and ``ambiguous`` (the lead over
     the second language is below ``lead``)."""
 
-    @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
-    def decode(texts: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf("lang_pred string, score double, ambiguous boolean")
+    def decode(texts: pa.Array) -> pa.Array:
         names, scores, doubts = [], [], []
-        for t in texts:
+        for value in texts:
+            t = value.as_py()
             if t is None or not model.languages or not _LETTER.search(t):
                 names.append("und"), scores.append(0.0), doubts.append(False)
                 continue
@@ -160,7 +160,8 @@ def identified(model: LanguageModel, text: Column, lead: float = 0.1) -> Column:
             second = share[order[1]] if len(order) > 1 else 0.0
             names.append(model.languages[order[0]]), scores.append(float(share[order[0]]))
             doubts.append(bool(share[order[0]] - second < lead))
-        return pd.DataFrame({"lang_pred": names, "score": scores, "ambiguous": doubts})
+        columns = [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(doubts, pa.bool_())]
+        return pa.StructArray.from_arrays(columns, names=["lang_pred", "score", "ambiguous"])
 
     return decode(text)
 
