@@ -5,8 +5,11 @@ label and the sides they take of random hyperplanes, and blocks of neighbouring
 Then the graph is refined: the neighbours of a vector's neighbours (in either direction) are compared
 with it and the best are kept. A list whose every entry reaches the threshold is saturated; such lists
 are enlarged and filled from their neighbours' lists, until none is saturated or nothing new is found.
-A bounded set of audit rows, compared with all rows, measures the recall; trees and refinements go on
-while it is below the goal. At the end the entries that reach the threshold are the links.
+A bounded set of audit rows, compared with all rows, measures the recall as a mean over the rows that
+have links, so that a dense group does not outweigh isolated pairs; rows of few links are measured apart,
+and the audit is enlarged until it holds enough of them. Trees and refinements go on while either recall
+is below the goal or a round still finds a link. At the end the entries that reach the threshold are the
+links. The recall is null if the audit is a sample and none of its rows has a link.
 
 Equal vectors of one label are compared once: they form a class, and links hold between classes.
 Vectors that are null, zero, or hold null or non-finite components, and rows with a null label or id,
@@ -141,8 +144,9 @@ def _beyond(lists: DataFrame, through: Column, known: DataFrame, only: DataFrame
     return pairs.join(known, ["a", "b"], "left_anti")
 
 
-def audit_links(vectors: DataFrame, threshold: float, rows: int) -> DataFrame:
-    """All links (a < b) of at most about ``rows`` audit rows, by comparing them with every row."""
+def audit_links(vectors: DataFrame, threshold: float, rows: int) -> tuple[DataFrame, bool]:
+    """All links (x, b) of about ``rows`` audit rows x, by comparing them with every row, and whether
+    all rows were drawn."""
     n = vectors.count()
     drawn = F.pmod(F.xxhash64(F.lit(31), "c"), F.lit(1_000_000)) < int(1e6 * min(1.0, rows / max(n, 1))) + 1
     picked = vectors.filter(drawn).limit(2 * rows).select("c", "_label", "_v").toArrow()  # bounded by the limit
@@ -158,27 +162,50 @@ def audit_links(vectors: DataFrame, threshold: float, rows: int) -> DataFrame:
             for n, unit in units.items():
                 at = np.flatnonzero(own == n)
                 if len(at):
-                    asked = np.flatnonzero(size == n)
-                    sim = unit @ _matrix(batch.column("_v").take(pa.array(at))).T
-                    near = (sim >= threshold) & (label[asked][:, None] == names[at]) & (ids[asked][:, None] != all_ids[at])
-                    i, j = np.nonzero(near)
-                    a, b = ids[asked][i], all_ids[at][j]
-                    yield _pairs(np.minimum(a, b), np.maximum(a, b), sim[i, j])
+                    other = _matrix(batch.column("_v").take(pa.array(at))).T
+                    every = np.flatnonzero(size == n)
+                    for begin in range(0, len(every), 256):  # bounds the memory of a comparison
+                        asked = every[begin : begin + 256]
+                        sim = unit[begin : begin + 256] @ other
+                        near = (sim >= threshold) & (label[asked][:, None] == names[at]) & (ids[asked][:, None] != all_ids[at])
+                        i, j = np.nonzero(near)
+                        yield _pairs(ids[asked][i], all_ids[at][j], sim[i, j])
 
-    return vectors.select("c", "_label", "_v").mapInArrow(compare, _PAIR).select("a", "b").distinct()
+    links = vectors.select("c", "_label", "_v").mapInArrow(compare, _PAIR)
+    return links.select(F.col("a").alias("x"), "b"), len(ids) == n
+
+
+def audit(vectors: DataFrame, threshold: float, rows: int, most: int, least: int, few: int) -> tuple[DataFrame, bool]:
+    """The audited links, of more and more rows (at most about ``most``) until ``least`` rows have 1 to ``few`` links."""
+    while True:
+        links, whole = audit_links(vectors, threshold, rows)
+        links = written(links, "audit")
+        if whole or rows >= most or links.groupBy("x").count().filter(F.col("count") <= few).count() >= least:
+            return links, whole
+        rows = min(4 * rows, most)
+
+
+def row_recall(links: DataFrame, truth: DataFrame, few: int) -> tuple[float | None, float | None]:
+    """Mean over the audit rows that have links of the share found, and the same over rows of at most
+    ``few`` links. Null where there is no such row."""
+    found = _both(links).select(F.col("a").alias("x"), "b").join(truth.select("x").distinct(), "x", "left_semi").withColumn("_f", F.lit(1.0))
+    rows = truth.join(found, ["x", "b"], "left").groupBy("x").agg(
+        F.avg(F.coalesce("_f", F.lit(0.0))).alias("share"), F.count(F.lit(1)).alias("n")
+    )
+    return tuple(rows.agg(F.avg("share"), F.avg(F.when(F.col("n") <= few, F.col("share")))).first())
 
 
 def near_links(
     vectors: DataFrame, threshold: float, room: int = 6, trees: int = 4, rounds: int = 4, goal: float = 0.99,
-    audit_rows: int = 256, through: int = 3,
-) -> tuple[DataFrame, float]:
-    """Links (a, b, sim) between classes with cosine of at least ``threshold``, and the audited recall."""
+    audit_rows: int = 256, through: int = 3, audit_most: int = 8192, audit_least: int = 64,
+) -> tuple[DataFrame, float | None]:
+    """Links (a, b, sim) between classes with cosine of at least ``threshold``, and the audited recall
+    (the smaller one of all rows with links and of rows with few)."""
     largest = vectors.groupBy("_label").count().agg(F.max("count")).first()[0] or 1
     bits = max(1, int(np.ceil(np.log2(max(2, largest / 48)))))
     parts = max(1, min(task_count(vectors.sparkSession), vectors.count() // 512))  # a cut separates neighbours
-    truth = written(audit_links(vectors, threshold, audit_rows), "audit")
-    wanted = truth.count()
-    known, recall = None, 0.0
+    truth, whole = audit(vectors, threshold, audit_rows, audit_most, audit_least, room)
+    known, recall, n_links = None, None, 0
     for step in range(rounds):
         fresh = None
         for t in range(trees if step == 0 else 2):
@@ -190,8 +217,10 @@ def near_links(
         known = known.unionByName(written(cosines(_beyond(lists, F.col("_r") <= through, known), vectors), "known"))
         known = _enlarged(known, vectors, threshold, room)
         links = known.filter(F.col("sim") >= threshold)
-        recall = links.join(truth, ["a", "b"], "left_semi").count() / wanted if wanted else 1.0
-        if recall >= goal:
+        before, n_links = n_links, links.count()
+        measured = [r for r in row_recall(links, truth, room) if r is not None]
+        recall = min(measured) if measured else (1.0 if whole else None)
+        if (step or whole) and n_links == before and (recall is None or recall >= goal):
             break
     return written(links, "links"), recall
 
@@ -233,5 +262,5 @@ def near_duplicates(
         F.coalesce("_links", F.lit(0)).cast("bigint").alias("n_links"),
         F.coalesce("_root", "id").alias("component_id"),
         (F.coalesce("_root", "id") == F.col("id")).alias("kept"),
-        F.lit(float(recall)).alias("recall"),
+        F.lit(recall).cast("double").alias("recall"),
     )

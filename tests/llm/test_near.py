@@ -139,6 +139,42 @@ def test_near_vectors_against_all_pairs(spark):
     assert all(r.kept == (r.component_id == r.vec_id) and r.recall > 0.9 for r in got.values())
 
 
+def _isolated_pairs(seed, singles, pairs, dense, size=32):
+    """Rows (c, _label, _v) of one label: a dense group, pairs of cosine 0.94 far from all others, single rows; and the pairs."""
+    rng = np.random.default_rng(seed)
+    unit = lambda x: x / np.linalg.norm(x)
+    centre = unit(rng.standard_normal(size))
+    out = [unit(centre + 0.02 * rng.standard_normal(size)) for _ in range(dense)]
+    out += [unit(rng.standard_normal(size)) for _ in range(singles)]
+    links = []
+    for _ in range(pairs):
+        x, y = unit(rng.standard_normal(size)), rng.standard_normal(size)
+        y = unit(y - (y @ x) * x)
+        links.append((len(out), len(out) + 1))
+        out += [x, 0.94 * x + np.sqrt(1 - 0.94**2) * y]
+    return [(i, "a", v.tolist()) for i, v in enumerate(out)], links
+
+
+def test_recall_is_a_mean_over_rows(spark):
+    """40 rows of a group hold nearly all links; of the ten isolated pairs one is found."""
+    group = [(a, b) for a in range(40) for b in range(a + 1, 40)]
+    pairs = [(100 + 2 * i, 101 + 2 * i) for i in range(10)]
+    frame = lambda rows: spark.createDataFrame([(*r, 1.0) for r in rows], "a long, b long, sim double")
+    truth = frame(group + pairs + [(b, a) for a, b in group + pairs]).select(F.col("a").alias("x"), "b")
+    every, few = neighbours.row_recall(frame(group + pairs[:1]), truth, 6)
+    assert every == pytest.approx((40 + 2) / 60) and few == pytest.approx(0.1)
+    assert neighbours.row_recall(frame(group), truth.limit(0), 6) == (None, None)
+
+
+def test_audit_grows_until_it_holds_linked_rows(spark):
+    rows, pairs = _isolated_pairs(5, 3000, 40, 0)
+    vectors = spark.createDataFrame(rows, "c long, _label string, _v array<double>")
+    links, whole = neighbours.audit(vectors, 0.93, rows=4, most=8192, least=10, few=6)
+    assert links.select("x").distinct().count() >= 10
+    links, whole = neighbours.audit(vectors, 0.93, rows=4, most=8192, least=1000, few=6)
+    assert whole and sorted((r.x, r.b) for r in links.collect() if r.x < r.b) == pairs
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
