@@ -3,13 +3,15 @@
 Every vector keeps a list of its nearest others. Lists start from random trees: rows are sorted by
 label and the sides they take of random hyperplanes, and blocks of neighbouring rows are compared.
 Then the graph is refined: the neighbours of a vector's neighbours (in either direction) are compared
-with it and the best are kept. A list whose every entry reaches the threshold is saturated; such lists
-are enlarged and filled from their neighbours' lists, until none is saturated or nothing new is found.
+with it and the best are kept, until few lists change. Then every row is compared with all links of some
+of the rows it is linked to, others each time, until that finds no new link; this fills groups of any size
+at a cost that follows the number of links.
 A bounded set of audit rows, compared with all rows, measures the recall as a mean over the rows that
 have links, so that a dense group does not outweigh isolated pairs; rows of few links are measured apart,
 and the audit is enlarged until it holds enough of them. Trees and refinements go on while either recall
-is below the goal or a round still finds a link. At the end the entries that reach the threshold are the
-links. The recall is null if the audit is a sample and none of its rows has a link.
+is below the goal or a round still finds a link. Once the trees have cost as much as comparing all rows of
+a label would, that is done instead, and the result is exact. At the end the entries that reach the
+threshold are the links. The recall is null if the audit is a sample and none of its rows has a link.
 
 Equal vectors of one label are compared once: they form a class, and links hold between classes.
 Vectors that are null, zero, or hold null or non-finite components, and rows with a null label or id,
@@ -124,21 +126,16 @@ def _both(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "sim").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
 
 
-def _lists(known: DataFrame, room: DataFrame | int) -> DataFrame:
-    """The neighbour lists (a, b, sim): the best ``room`` of each row; ``room`` is a number or a table (a, room)."""
+def _lists(known: DataFrame, room: int) -> DataFrame:
+    """The neighbour lists (a, b, sim): the best ``room`` of each row."""
     order = Window.partitionBy("a").orderBy(F.desc("sim"), "b")
-    ranked = _both(known).withColumn("_r", F.row_number().over(order))
-    if isinstance(room, int):
-        return ranked.filter(F.col("_r") <= room)
-    return ranked.join(room, "a", "left").filter(F.col("_r") <= F.coalesce("room", F.lit(0)))
+    return _both(known).withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= room)
 
 
-def _beyond(lists: DataFrame, through: Column, known: DataFrame, only: DataFrame | None = None) -> DataFrame:
+def _beyond(lists: DataFrame, through: Column, known: DataFrame) -> DataFrame:
     """Pairs not yet compared of a row and a neighbour of one of its neighbours. ``through`` limits the
-    neighbours that are asked for their lists; ``only`` (a) the rows that ask."""
+    neighbours that are asked for their lists."""
     ask = lists.filter(through).select(F.col("a").alias("x"), F.col("b").alias("y"))
-    if only is not None:
-        ask = ask.join(only.select(F.col("a").alias("x")), "x", "left_semi")
     met = ask.join(lists.select(F.col("a").alias("y"), F.col("b").alias("z")), "y").filter(F.col("x") != F.col("z"))
     pairs = met.select(F.least("x", "z").alias("a"), F.greatest("x", "z").alias("b")).distinct()
     return pairs.join(known, ["a", "b"], "left_anti")
@@ -195,51 +192,84 @@ def row_recall(links: DataFrame, truth: DataFrame, few: int) -> tuple[float | No
     return tuple(rows.agg(F.avg("share"), F.avg(F.when(F.col("n") <= few, F.col("share")))).first())
 
 
+def block_links(vectors: DataFrame, threshold: float, block: int = 1024) -> DataFrame:
+    """All links (a, b, sim), a < b, by comparing the rows of each label block by block."""
+
+    def compare(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        mine, i, j = rows.column("_mine").to_numpy(), rows.column("_i")[0].as_py(), rows.column("_j")[0].as_py()
+        left, right = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
+        ids, unit = rows.column("c").to_numpy(), _matrix(rows.column("_v").combine_chunks())
+        sim = unit[left] @ unit[right].T
+        x, y = np.nonzero((sim >= threshold) & ((i != j) | (ids[left][:, None] < ids[right])))
+        a, b = ids[left][x], ids[right][y]
+        return pa.Table.from_batches([_pairs(np.minimum(a, b), np.maximum(a, b), sim[x, y])])
+
+    rows = vectors.select("c", "_label", "_v", F.size("_v").alias("_n"))
+    blocks = rows.groupBy("_label", "_n").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_k"))
+    placed = rows.join(blocks, ["_label", "_n"]).withColumn("_mine", F.pmod(F.xxhash64("c"), F.col("_k")).cast("int"))
+    met = placed.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
+    cells = met.withColumns({"_i": F.least("_mine", "_o"), "_j": F.greatest("_mine", "_o")})
+    return cells.select("c", "_label", "_n", "_v", "_mine", "_i", "_j").groupBy("_label", "_n", "_i", "_j").applyInArrow(compare, _PAIR)
+
+
 def near_links(
-    vectors: DataFrame, threshold: float, room: int = 6, trees: int = 4, rounds: int = 4, goal: float = 0.99,
-    audit_rows: int = 256, through: int = 3, audit_most: int = 8192, audit_least: int = 64,
+    vectors: DataFrame, threshold: float, room: int = 6, trees: int = 4, goal: float = 0.99, audit_rows: int = 256,
+    through: int = 3, audit_most: int = 8192, audit_least: int = 64, most_trees: int | None = None,
 ) -> tuple[DataFrame, float | None]:
     """Links (a, b, sim) between classes with cosine of at least ``threshold``, and the audited recall
-    (the smaller one of all rows with links and of rows with few)."""
+    (the smaller one of all rows with links and of rows with few). After ``most_trees`` trees, by default
+    as many as cost about what comparing all rows costs, all rows are compared."""
     largest = vectors.groupBy("_label").count().agg(F.max("count")).first()[0] or 1
     bits = max(1, int(np.ceil(np.log2(max(2, largest / 48)))))
     parts = max(1, min(task_count(vectors.sparkSession), vectors.count() // 512))  # a cut separates neighbours
     truth, whole = audit(vectors, threshold, audit_rows, audit_most, audit_least, room)
-    known, recall, n_links = None, None, 0
-    for step in range(rounds):
+    # A tree compares a row with about 64 others, and codes, sorts and shuffles it as well.
+    most_trees = max(32, largest // 256) if most_trees is None else most_trees
+    known, recall, n_links, grown = None, None, 0, 0
+    while grown < most_trees:
         fresh = None
-        for t in range(trees if step == 0 else 2):
-            pairs = tree_pairs(vectors, 100 * step + t, bits, room, parts)
+        for t in range(grown, grown + trees):
+            pairs = tree_pairs(vectors, t, bits, room, parts)
             fresh = pairs if fresh is None else fresh.unionByName(pairs)
+        first, grown = grown == 0, grown + trees
         fresh = fresh.groupBy("a", "b").agg(F.max("sim").alias("sim"))
-        known = written(fresh, "known") if known is None else known.unionByName(written(fresh.join(known, ["a", "b"], "left_anti"), "known"))
-        lists = written(_lists(known, room), "lists")
-        known = known.unionByName(written(cosines(_beyond(lists, F.col("_r") <= through, known), vectors), "known"))
-        known = _enlarged(known, vectors, threshold, room)
+        known = fresh if known is None else known.unionByName(fresh.join(known, ["a", "b"], "left_anti"))
+        known = _closed(_descended(written(known, "known"), vectors, room, through), vectors, threshold)
         links = known.filter(F.col("sim") >= threshold)
         before, n_links = n_links, links.count()
         measured = [r for r in row_recall(links, truth, room) if r is not None]
         recall = min(measured) if measured else (1.0 if whole else None)
-        if (step or whole) and n_links == before and (recall is None or recall >= goal):
-            break
-    return written(links, "links"), recall
+        if (whole or not first) and n_links == before and (recall is None or recall >= goal):
+            return written(links, "links"), recall
+    return written(block_links(vectors, threshold), "links"), 1.0
 
 
-def _enlarged(known: DataFrame, vectors: DataFrame, threshold: float, room: int) -> DataFrame:
-    """Makes the lists of saturated rows four times as long and fills them from the lists of their
-    neighbours. The rows asked are spread over the list, so that far members of a dense group are reached."""
-    before = None
+def _descended(known: DataFrame, vectors: DataFrame, room: int, through: int) -> DataFrame:
+    """Joins neighbours of neighbours until fewer than one list entry in a thousand is new."""
+    lists = written(_lists(known, room), "lists")
     while True:
-        links = known.filter(F.col("sim") >= threshold)
-        degree = _both(links).groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-        saturated = written(degree.filter(F.col("n") >= room).select("a", "n"), "saturated")
-        now = saturated.agg(F.count(F.lit(1)), F.sum("n")).first()
-        if now[0] == 0 or now == before:
+        known = known.unionByName(written(cosines(_beyond(lists, F.col("_r") <= through, known), vectors), "known"))
+        now = written(_lists(known, room), "lists")
+        new = now.join(lists, ["a", "b"], "left_anti").count()
+        lists = now
+        if new * 1000 <= now.count():
+            return known
+
+
+def _closed(known: DataFrame, vectors: DataFrame, threshold: float, asked: int = 8) -> DataFrame:
+    """Compares every row with all links of about ``asked`` of the rows it is linked to, others each
+    time, until that finds no new link."""
+    turn = 0
+    while True:
+        links = _both(known.filter(F.col("sim") >= threshold))
+        degree = links.groupBy("a").agg(F.count(F.lit(1)).alias("_d"))
+        lists = written(links.join(degree, "a"), "lists")
+        some = F.pmod(F.xxhash64(F.lit(turn), "a", "b"), F.col("_d")) < asked
+        found = written(cosines(_beyond(lists, some, known), vectors), "known")
+        known, turn = known.unionByName(found), turn + 1
+        if found.filter(F.col("sim") >= threshold).isEmpty():
             return known
-        before, room = now, 4 * room
-        lists = written(_lists(links, saturated.select("a", F.lit(room).alias("room"))), "lists")
-        some = (F.col("_r") == 1) | (F.pmod(F.xxhash64("a", "b"), F.lit(room)) < 8)
-        known = known.unionByName(written(cosines(_beyond(lists, some, known, saturated), vectors), "known"))
 
 
 def near_duplicates(

@@ -155,6 +155,11 @@ def _isolated_pairs(seed, singles, pairs, dense, size=32):
     return [(i, "a", v.tolist()) for i, v in enumerate(out)], links
 
 
+def _unit_links(rows):
+    v = np.array([r[2] for r in rows])
+    return {(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(v @ v.T >= 0.93, 1)))}
+
+
 def test_recall_is_a_mean_over_rows(spark):
     """40 rows of a group hold nearly all links; of the ten isolated pairs one is found."""
     group = [(a, b) for a in range(40) for b in range(a + 1, 40)]
@@ -175,6 +180,25 @@ def test_audit_grows_until_it_holds_linked_rows(spark):
     assert whole and sorted((r.x, r.b) for r in links.collect() if r.x < r.b) == pairs
 
 
+def test_all_rows_are_compared_where_trees_do_not_reach_the_goal(spark):
+    rows, pairs = _isolated_pairs(6, 2500, 30, 60)
+    vectors = spark.createDataFrame(rows, "c long, _label string, _v array<double>")
+    links, recall = neighbours.near_links(vectors, 0.93, trees=1, most_trees=1)
+    got = sorted((r.a, r.b) for r in links.collect())
+    assert recall == 1.0 and len(got) == len(set(got))
+    assert set(got) == _unit_links(rows) and set(pairs) < set(got)
+
+
+def test_a_dense_group_is_filled(spark):
+    """Every link of 400 rows is found from a ring and a few chords."""
+    rows, _ = _isolated_pairs(7, 0, 0, 400)
+    vectors = spark.createDataFrame(rows, "c long, _label string, _v array<double>")
+    some = sorted({(min(i, j), max(i, j)) for i in range(400) for j in ((i + 1) % 400, (7 * i + 3) % 400) if i != j})
+    known = neighbours.cosines(spark.createDataFrame(some, "a long, b long"), vectors)
+    got = neighbours._closed(known, vectors, 0.93).filter("sim >= 0.93")
+    assert got.count() == len(_unit_links(rows)) > 70_000
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
