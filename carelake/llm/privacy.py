@@ -5,8 +5,9 @@ information-theoretic sanitisation, terms near a protected value are weighed by
 ``c`` carries ``IC(c) = -log2 P(c)`` bits, and a term ``t`` seen near it reveals ``PMI(c;t) = log2
 P(c,t) / (P(c) P(t))`` of them, with probabilities over all documents. A term that reveals more than a
 share ``disclose`` of a value is generalised where it stands near that value, and removed above
-``remove``. One text and its copies are no evidence: a pair counts if its surroundings differ at
-least once.
+``remove``. One text and its copies are no evidence: every distinct text counts once, a pair must be
+held by two of them, and it must be so frequent that chance would give less than ``chance`` such terms for
+a value (the hypergeometric probability of the pair, times the number of terms).
 
 Built-in functions only. Positions are code points from 0, ends exclusive. Patterns have no nested
 repetition and look at each character a bounded number of times, so long texts are safe.
@@ -18,6 +19,8 @@ replaced.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import written
@@ -99,7 +102,7 @@ def _row_key(key: str) -> Column:
     return F.xxhash64(key, "_text")
 
 
-def _nearby(text: Column, start: Column, end: Column, width: int) -> tuple[Column, Column]:
+def _nearby(text: Column, start: Column, end: Column, width: int) -> Column:
     """Words of three letters or more that lie whole in the ``width`` characters before and after."""
     left_at = F.greatest(start - width, F.lit(0))
     left = F.substring(text, left_at + 1, start - left_at)
@@ -112,55 +115,61 @@ def _nearby(text: Column, start: Column, end: Column, width: int) -> tuple[Colum
         return F.transform(kept, lambda w: F.struct((w["s"] + offset).alias("s"), (w["e"] + offset).alias("e"), F.lower(w["m"]).alias("t")))
 
     no = F.lit(False)
-    both = F.concat(words(left, left_at, left_at > 0, no), words(right, end, no, F.length(right) == width))
-    return both, F.xxhash64(left, right)
+    return F.concat(words(left, left_at, left_at > 0, no), words(right, end, no, F.length(right) == width))
 
 
 def occurrences(spans: DataFrame, key: str, width: int) -> DataFrame:
-    """One row per protected value and word near it: _row, _c (value), _t (term), s, e, _around."""
+    """One row per protected value and word near it: _row, _c (value), _t (term), s, e, _d (text)."""
     tag = lambda k: lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(k).alias("kind"), x["m"].alias("m"))
     tagged = F.concat(*[F.transform(F.col(k), tag(k)) for k in KINDS])
     held = spans.select(_row_key(key).alias("_row"), "_text", tagged.alias("_all")).filter(F.size("_all") > 0)
     each = held.select("_row", "_text", "_all", F.explode("_all").alias("_v"))
     name = F.when(F.col("_v.kind").isin("card", "phone"), _digits(F.col("_v.m"))).otherwise(F.lower(F.translate("_v.m", _JOIN, ".")))
-    near, around = _nearby(F.col("_text"), F.col("_v.s"), F.col("_v.e"), width)
+    near = _nearby(F.col("_text"), F.col("_v.s"), F.col("_v.e"), width)
     words = each.select(
-        "_row", "_all", F.xxhash64("_v.kind", name).alias("_c"), around.alias("_around"), F.explode(near).alias("_w")
-    ).select("_row", "_all", "_c", "_around", F.xxhash64("_w.t").alias("_t"), F.col("_w.s").alias("s"), F.col("_w.e").alias("e"))
+        "_row", "_all", F.xxhash64("_v.kind", name).alias("_c"), F.xxhash64("_text").alias("_d"), F.explode(near).alias("_w")
+    ).select("_row", "_all", "_c", "_d", F.xxhash64("_w.t").alias("_t"), F.col("_w.s").alias("s"), F.col("_w.e").alias("e"))
     clear = ~F.exists("_all", lambda x: (x["s"] < F.col("e")) & (x["e"] > F.col("s")))
     return words.filter(clear).drop("_all")
 
 
-def disclosing(spans: DataFrame, near: DataFrame, key: str, disclose: float, remove: float) -> DataFrame:
-    """Pairs (_c, _t) that exceed the threshold, with ``_removed``. Only pairs seen in differing
-    surroundings are weighed, which is why few terms have to be looked up in the corpus counts."""
-    per_row = near.groupBy("_c", "_t", "_row").agg(F.min("_around").alias("_lo"), F.max("_around").alias("_hi"))
-    pairs = written(
-        per_row.groupBy("_c", "_t")
-        .agg(F.count(F.lit(1)).alias("_ct"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
-        .filter(F.col("_lo") < F.col("_hi"))
-        .select("_c", "_t", "_ct"),
-        "pairs",
-    )
-    values = near.select("_c", "_row").distinct().groupBy("_c").agg(F.count(F.lit(1)).alias("_nc"))
+def _log_factorial(x: Column) -> Column:
+    """Stirling's series; its error is below 0.0003 from 2 on."""
+    series = x * F.log(x) - x + F.log(2 * math.pi * x) / 2 + 1 / (12 * x)
+    return F.when(x < 2, F.lit(0.0)).otherwise(series)
+
+
+def _log_chance(together: Column, values: Column, terms: Column, n: Column) -> Column:
+    """Logarithm of the probability that ``terms`` of ``n`` texts, drawn at random, meet ``values`` of them ``together`` times."""
+    choose = lambda m, k: _log_factorial(m) - _log_factorial(k) - _log_factorial(m - k)
+    return choose(values, together) + choose(n - values, terms - together) - choose(n, terms)
+
+
+def disclosing(spans: DataFrame, near: DataFrame, key: str, disclose: float, remove: float, chance: float) -> DataFrame:
+    """Pairs (_c, _t) that exceed the threshold, with ``_removed``. Counts are of distinct texts."""
+    texts = spans.select(F.xxhash64("_text").alias("_d"), "_text").dropDuplicates(["_d"])
+    pairs = written(near.groupBy("_c", "_t").agg(F.count_distinct("_d").cast("double").alias("_ct")).filter("_ct > 1"), "pairs")
+    values = near.groupBy("_c").agg(F.count_distinct("_d").cast("double").alias("_nc"))
     words = F.filter(F.array_distinct(F.split(F.lower("_text"), r"[^\p{L}]+")), lambda w: F.length(w) >= 3)
     # Counted before the join: the counts of a task are far fewer than its words.
-    terms = spans.select(F.explode(words).alias("_w")).groupBy(F.xxhash64("_w").alias("_t")).agg(F.count(F.lit(1)).alias("_nt"))
-    n = spans.agg(F.count(F.lit(1)).cast("double")).scalar()
-    known = pairs.join(values, "_c").join(terms, "_t")
+    terms = written(texts.select(F.explode(words).alias("_w")).groupBy(F.xxhash64("_w").alias("_t")).agg(F.count(F.lit(1)).cast("double").alias("_nt")), "counts")
+    n, kinds = texts.agg(F.count(F.lit(1)).cast("double")).scalar(), terms.agg(F.count(F.lit(1)).cast("double")).scalar()
+    known = pairs.join(values, "_c").join(terms, "_t").withColumn("_n", n)
     pmi = F.log2(F.col("_ct") * n / (F.col("_nc") * F.col("_nt")))
     share = F.try_divide(pmi, F.log2(n / F.col("_nc")))
-    return known.withColumn("_share", share).filter(F.col("_share") >= disclose).select("_c", "_t", (F.col("_share") >= remove).alias("_removed"))
+    rare = _log_chance(F.col("_ct"), F.col("_nc"), F.col("_nt"), F.col("_n")) + F.log(kinds) < math.log(chance)
+    return known.withColumn("_share", share).filter((F.col("_share") >= disclose) & rare).select("_c", "_t", (F.col("_share") >= remove).alias("_removed"))
 
 
 def protected(
-    df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 64, disclose: float = 0.8, remove: float = 0.95
+    df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 64, disclose: float = 0.8, remove: float = 0.95,
+    chance: float = 0.05,
 ) -> DataFrame:
     """``df`` with a span array for every kind (email, ip, card, phone) and ``term``: (s, e, removed)."""
     names = {*KINDS, "term", "_text"}
     spans = found(df.drop(*[c for c in df.columns if c.lower() in names]), text)
     near = written(occurrences(spans, key, width), "nearby")
-    risky = disclosing(spans, near, key, disclose, remove)
+    risky = disclosing(spans, near, key, disclose, remove, chance)
     terms = (
         near.join(risky, ["_c", "_t"])
         .groupBy("_row")

@@ -83,6 +83,15 @@ def test_terms_that_disclose(corpus):
         assert len(r.email) == 1
 
 
+def test_a_signature_in_different_documents_discloses(spark):
+    """The 64 characters around the value are the same everywhere, the documents are not."""
+    footer = f"{'-' * 70} Grumlo Head Records ann@mail.example.org {'=' * 70}"
+    rows = [(i, words(i, 24)) for i in range(60)] + [(100 + i, f"{words(i + 300, 20)} {footer}") for i in range(5)]
+    out = privacy.protected(spark.createDataFrame(rows, "doc_id long, text string")).filter("doc_id >= 100").collect()
+    assert len(out) == 5
+    assert all([r.text[t.s : t.e] for t in r.term] == ["Grumlo", "Head", "Records"] for r in out)
+
+
 def test_sanitised_texts(corpus):
     clean = {r.doc_id: r.text for r in privacy.sanitised(privacy.protected(corpus)).collect()}
     before = {r.doc_id: r.text for r in corpus.collect()}
