@@ -1,13 +1,13 @@
 """Personal data: patterns for the protected values, corpus statistics for what gives them away.
 
 Emails, addresses, cards and phone numbers are found by pattern and are always protected. Then, as in
-information-theoretic sanitisation, terms near a protected value are weighed by the corpus: a value
-``c`` carries ``IC(c) = -log2 P(c)`` bits, and a term ``t`` seen near it reveals ``PMI(c;t) = log2
+information-theoretic sanitisation, the terms of documents with a protected value are weighed by the corpus: a value
+``c`` carries ``IC(c) = -log2 P(c)`` bits, and a term ``t`` of its document reveals ``PMI(c;t) = log2
 P(c,t) / (P(c) P(t))`` of them, with probabilities over all documents. A term that reveals more than a
-share ``disclose`` of a value is generalised where it stands near that value, and removed above
-``remove``. One text and its copies are no evidence: every distinct text counts once, a pair must be
-held by two of them, and it must be so frequent that chance would give less than ``chance`` such terms for
-a value (the hypergeometric probability of the pair, times the number of terms).
+share ``disclose`` of a value is generalised at all its places in every document that holds the value, and
+removed above ``remove``. Terms are words of three letters or more outside the protected values. One text
+and its copies are no evidence: every distinct text counts once, a pair must be held by two of them, and
+it must be so frequent that chance would give less than ``chance`` such terms for a value (the hypergeometric probability of the pair, times the number of terms).
 
 Built-in functions only. Positions are code points from 0, ends exclusive. Patterns have no nested
 repetition and look at each character a bounded number of times, so long texts are safe.
@@ -98,39 +98,31 @@ def found(df: DataFrame, text: str = "text") -> DataFrame:
     return out.withColumns({kind: base_spans(F.col("_text"), kind) for kind in KINDS})
 
 
-def _row_key(key: str) -> Column:
-    return F.xxhash64(key, "_text")
+def _bare(text: Column) -> Column:
+    """The text with every base span replaced by a space."""
+    marks = F.array_sort(F.concat(*[F.transform(F.col(k), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))) for k in KINDS]))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
+    def add(acc: Column, x: Column) -> Column:
+        more = F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, F.greatest(x["s"] - acc["at"], F.lit(0))), F.lit(" ")))
+        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), more.alias("out"))
 
-def _nearby(text: Column, start: Column, end: Column, width: int) -> Column:
-    """Words of three letters or more that lie whole in the ``width`` characters before and after."""
-    left_at = F.greatest(start - width, F.lit(0))
-    left = F.substring(text, left_at + 1, start - left_at)
-    right = F.substring(text, end + 1, F.lit(width))
+    tail = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text)))
+    return F.when(F.size(marks) == 0, text).otherwise(F.aggregate(marks, start, add, tail))
 
-    def words(part: Column, offset: Column, cut_first: Column, cut_last: Column) -> Column:
-        size = F.length(part)
-        whole = lambda w: (w["e"] - w["s"] >= 3) & ~(cut_first & (w["s"] == 0)) & ~(cut_last & (w["e"] == size))
-        kept = F.filter(_located(part, r"\p{L}+"), whole)
-        return F.transform(kept, lambda w: F.struct((w["s"] + offset).alias("s"), (w["e"] + offset).alias("e"), F.lower(w["m"]).alias("t")))
 
-    no = F.lit(False)
-    return F.concat(words(left, left_at, left_at > 0, no), words(right, end, no, F.length(right) == width))
+def _forms(text: Column) -> Column:
+    """The distinct words of three letters or more, as written."""
+    return F.filter(F.array_distinct(F.regexp_extract_all(text, F.lit(r"\p{L}+"), F.lit(0))), lambda w: F.length(w) >= 3)
 
 
-def occurrences(spans: DataFrame, key: str, width: int) -> DataFrame:
-    """One row per protected value and word near it: _row, _c (value), _t (term), s, e, _d (text)."""
-    tag = lambda k: lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(k).alias("kind"), x["m"].alias("m"))
-    tagged = F.concat(*[F.transform(F.col(k), tag(k)) for k in KINDS])
-    held = spans.select(_row_key(key).alias("_row"), "_text", tagged.alias("_all")).filter(F.size("_all") > 0)
-    each = held.select("_row", "_text", "_all", F.explode("_all").alias("_v"))
-    name = F.when(F.col("_v.kind").isin("card", "phone"), _digits(F.col("_v.m"))).otherwise(F.lower(F.translate("_v.m", _JOIN, ".")))
-    near = _nearby(F.col("_text"), F.col("_v.s"), F.col("_v.e"), width)
-    words = each.select(
-        "_row", "_all", F.xxhash64("_v.kind", name).alias("_c"), F.xxhash64("_text").alias("_d"), F.explode(near).alias("_w")
-    ).select("_row", "_all", "_c", "_d", F.xxhash64("_w.t").alias("_t"), F.col("_w.s").alias("s"), F.col("_w.e").alias("e"))
-    clear = ~F.exists("_all", lambda x: (x["s"] < F.col("e")) & (x["e"] > F.col("s")))
-    return words.filter(clear).drop("_all")
+def held_values(spans: DataFrame) -> DataFrame:
+    """(_d, _c): the protected values of each distinct text."""
+    name = lambda k: lambda x: F.xxhash64(
+        F.lit(k), _digits(x["m"]) if k in ("card", "phone") else F.lower(F.translate(x["m"], _JOIN, "."))
+    )
+    every = F.array_distinct(F.concat(*[F.transform(F.col(k), name(k)) for k in KINDS]))
+    return spans.select(F.xxhash64("_text").alias("_d"), F.explode(every).alias("_c")).distinct()
 
 
 def _log_factorial(x: Column) -> Column:
@@ -145,39 +137,62 @@ def _log_chance(together: Column, values: Column, terms: Column, n: Column) -> C
     return choose(values, together) + choose(n - values, terms - together) - choose(n, terms)
 
 
-def disclosing(spans: DataFrame, near: DataFrame, key: str, disclose: float, remove: float, chance: float) -> DataFrame:
-    """Pairs (_c, _t) that exceed the threshold, with ``_removed``. Counts are of distinct texts."""
-    texts = spans.select(F.xxhash64("_text").alias("_d"), "_text").dropDuplicates(["_d"])
-    pairs = written(near.groupBy("_c", "_t").agg(F.count_distinct("_d").cast("double").alias("_ct")).filter("_ct > 1"), "pairs")
-    values = near.groupBy("_c").agg(F.count_distinct("_d").cast("double").alias("_nc"))
-    words = F.filter(F.array_distinct(F.split(F.lower("_text"), r"[^\p{L}]+")), lambda w: F.length(w) >= 3)
-    # Counted before the join: the counts of a task are far fewer than its words.
-    terms = written(texts.select(F.explode(words).alias("_w")).groupBy(F.xxhash64("_w").alias("_t")).agg(F.count(F.lit(1)).cast("double").alias("_nt")), "counts")
+def disclosing(spans: DataFrame, disclose: float, remove: float, chance: float) -> DataFrame:
+    """(_d, _t, _removed): the terms of each distinct text that disclose a value it holds. Counts are of
+    distinct texts. As no pair is held by more texts than its value, a term in more than ``(n / nc) ^ -disclose * n`` of the
+    ``n`` texts cannot reach the share for a value in ``nc``; such terms are left out before pairs are made, which loses none."""
+    texts = spans.select(F.xxhash64("_text").alias("_d"), _bare(F.col("_text")).alias("_bare")).dropDuplicates(["_d"])
+    words = texts.select("_d", F.explode(F.array_distinct(F.transform(_forms(F.col("_bare")), lambda w: F.xxhash64(F.lower(w))))).alias("_t"))
+    terms = written(words.groupBy("_t").agg(F.count(F.lit(1)).cast("double").alias("_nt")), "counts")
     n, kinds = texts.agg(F.count(F.lit(1)).cast("double")).scalar(), terms.agg(F.count(F.lit(1)).cast("double")).scalar()
-    known = pairs.join(values, "_c").join(terms, "_t").withColumn("_n", n)
-    pmi = F.log2(F.col("_ct") * n / (F.col("_nc") * F.col("_nt")))
-    share = F.try_divide(pmi, F.log2(n / F.col("_nc")))
-    rare = _log_chance(F.col("_ct"), F.col("_nc"), F.col("_nt"), F.col("_n")) + F.log(kinds) < math.log(chance)
-    return known.withColumn("_share", share).filter((F.col("_share") >= disclose) & rare).select("_c", "_t", (F.col("_share") >= remove).alias("_removed"))
+    held = written(held_values(spans), "held")
+    values = held.groupBy("_c").agg(F.count(F.lit(1)).cast("double").alias("_nc")).filter("_nc > 1")
+    values = written(values.withColumn("_n", n).withColumn("_most", F.col("_n") * F.pow(F.col("_nc") / F.col("_n"), F.lit(disclose)) + 1e-6), "values")
+    some = written(held.join(values, "_c"), "some")
+    able = terms.filter(F.col("_nt") > 1).filter(F.col("_nt") <= values.agg(F.coalesce(F.max("_most"), F.lit(0.0))).scalar())
+    rare = words.join(some.select("_d").distinct(), "_d", "left_semi").join(able, "_t")
+    pairs = written(rare.join(some, "_d").filter(F.col("_nt") <= F.col("_most")).select("_d", "_c", "_t", "_nt", "_nc", "_n"), "pairs")
+    known = pairs.groupBy("_c", "_t", "_nt", "_nc", "_n").agg(F.count(F.lit(1)).cast("double").alias("_ct")).filter("_ct > 1")
+    pmi = F.log2(F.col("_ct") * F.col("_n") / (F.col("_nc") * F.col("_nt")))
+    share = F.try_divide(pmi, F.log2(F.col("_n") / F.col("_nc")))
+    unlikely = _log_chance(F.col("_ct"), F.col("_nc"), F.col("_nt"), F.col("_n")) + F.log(kinds) < math.log(chance)
+    risky = known.withColumn("_share", share).filter((F.col("_share") >= disclose) & unlikely)
+    risky = risky.select("_c", "_t", (F.col("_share") >= remove).alias("_removed"))
+    return pairs.select("_d", "_c", "_t").join(risky, ["_c", "_t"]).groupBy("_d", "_t").agg(F.max("_removed").alias("_removed"))
+
+
+def _places(text: Column, risky: Column) -> Column:
+    """All places (s, e, removed) of the terms ``risky`` (t, removed) outside the base spans."""
+    hash_ = lambda w: F.xxhash64(F.lower(w))
+    forms = F.filter(_forms(_bare(text)), lambda w: F.array_contains(F.transform(risky, lambda x: x["t"]), hash_(w)))
+    pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join(forms, "|"), F.lit(r")(?!\p{L})"))
+    parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("m"))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
+
+    def add(acc: Column, part: Column) -> Column:
+        s = acc["at"] + F.length(part["gap"])
+        e = s + F.length(part["m"])
+        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), part["m"].alias("m")))).alias("out"))
+
+    hits = F.aggregate(F.filter(parts, lambda p: p["m"].isNotNull()), start, add, lambda acc: acc["out"])
+    taken = F.concat(*[F.transform(F.col(k), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))) for k in KINDS])
+    clear = F.filter(hits, lambda h: ~F.exists(taken, lambda x: (x["s"] < h["e"]) & (x["e"] > h["s"])))
+    gone = lambda h: F.exists(risky, lambda x: (x["t"] == hash_(h["m"])) & x["removed"])
+    return F.transform(clear, lambda h: F.struct(h["s"].alias("s"), h["e"].alias("e"), gone(h).alias("removed")))
 
 
 def protected(
-    df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 64, disclose: float = 0.8, remove: float = 0.95,
-    chance: float = 0.05,
+    df: DataFrame, key: str = "doc_id", text: str = "text", disclose: float = 0.8, remove: float = 0.95, chance: float = 0.05
 ) -> DataFrame:
     """``df`` with a span array for every kind (email, ip, card, phone) and ``term``: (s, e, removed)."""
     names = {*KINDS, "term", "_text"}
     spans = found(df.drop(*[c for c in df.columns if c.lower() in names]), text)
-    near = written(occurrences(spans, key, width), "nearby")
-    risky = disclosing(spans, near, key, disclose, remove, chance)
-    terms = (
-        near.join(risky, ["_c", "_t"])
-        .groupBy("_row")
-        .agg(F.sort_array(F.collect_set(F.struct("s", "e", F.col("_removed").alias("removed")))).alias("term"))
-    )
-    terms = written(terms, "terms")
+    risky = disclosing(spans, disclose, remove, chance)
+    terms = risky.groupBy("_d").agg(F.collect_list(F.struct(F.col("_t").alias("t"), F.col("_removed").alias("removed"))).alias("_risky"))
     none = F.array().cast("array<struct<s:int,e:int,removed:boolean>>")
-    return spans.withColumn("_row", _row_key(key)).join(terms, "_row", "left").withColumn("term", F.coalesce("term", none)).drop("_row")
+    marked = spans.withColumn("_d", F.xxhash64("_text")).join(written(terms, "terms"), "_d", "left")
+    places = F.when(F.col("_risky").isNotNull(), _places(F.col("_text"), F.col("_risky"))).otherwise(none)
+    return marked.withColumn("term", places).drop("_d", "_risky")
 
 
 def listed(kinds: tuple[str, ...]) -> Column:

@@ -92,6 +92,15 @@ def test_a_signature_in_different_documents_discloses(spark):
     assert all([r.text[t.s : t.e] for t in r.term] == ["Grumlo", "Head", "Records"] for r in out)
 
 
+def test_a_term_far_from_the_value_is_replaced_at_all_places(spark):
+    rows = [(i, words(i, 24)) for i in range(60)]
+    rows += [(100 + i, f"Dr Grumlo {words(i + 300, 60)} grumlo {words(i + 400, 60)} ann@mail.example.org") for i in range(5)]
+    out = privacy.protected(spark.createDataFrame(rows, "doc_id long, text string")).filter("doc_id >= 100").collect()
+    assert len(out) == 5
+    for r in out:
+        assert [r.text[t.s : t.e] for t in r.term] == ["Grumlo", "grumlo"]
+
+
 def test_sanitised_texts(corpus):
     clean = {r.doc_id: r.text for r in privacy.sanitised(privacy.protected(corpus)).collect()}
     before = {r.doc_id: r.text for r in corpus.collect()}
