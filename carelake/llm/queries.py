@@ -68,7 +68,7 @@ def op3_near_documents(spark, sf_dir):
 
 @query("op4_lm_scores")
 def op4_lm_scores(spark, sf_dir):
-    return lm.scored(table(spark, sf_dir, "documents"))
+    return lm.scored(table(spark, sf_dir, "documents"), order=3)
 
 
 def _mix_rounds(rounds: int) -> str:

@@ -5,7 +5,7 @@ import re
 import pytest
 
 import corpus_pipeline
-from carelake.llm import lm
+from carelake.llm import lm, queries
 from carelake.session import written
 from .conftest import words
 
@@ -43,6 +43,15 @@ def test_scores_equal_brute_force(spark, order, batch):
         assert (got[i].mean_log_score is None) if n == 0 else got[i].mean_log_score == pytest.approx(total / n)
 
 
+def test_the_query_backs_off_from_three_words(spark, tmp_path):
+    texts = ["a b c d", "a b c e", "x b c d", "c b a d", *[words(i % 7, 3 + i) for i in range(20)]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.log_score for r in queries.QUERIES["op4_lm_scores"](spark, str(tmp_path)).collect()}
+    assert got == pytest.approx({i: total for i, (_, total) in enumerate(brute(texts, 3))}, abs=1e-9)
+    assert got != pytest.approx({i: total for i, (_, total) in enumerate(brute(texts, 2))}, abs=1e-9)
+
+
 def test_scores_of_odd_rows(docs, empty):
     rows = lm.scored(docs).collect()
     assert len(rows) == docs.count() and lm.scored(empty).count() == 0
