@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import darts, language, lm, mixing, neighbours, packing, privacy, shards, topk, toxicity
+from . import bestfit, darts, dualtree, language, lm, merkle, mixing, neighbours, packing, privacy, shards, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -176,3 +176,109 @@ def op10_toxicity(spark, sf_dir):
     model = toxicity.fit(docs, labels)
     rows = docs.select("doc_id", "text", language.held_out("doc_id").alias("held_out"))
     return toxicity.scored(model, rows).drop("text")
+
+
+MERKLE_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def _entry(value: str) -> str:
+    return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    values = {"doc_id": "d.doc_id::VARCHAR", "n_chars": f"({n_chars})::VARCHAR"}
+    return "sha256(" + " || ".join(_entry(values.get(c, c)) for c in MERKLE_COLUMNS) + ")"
+
+
+#: The levels of all trees by recursion, then each leaf walked up them; crc32 by its bits, as DuckDB has none.
+MERKLE_SQL = f"""
+WITH RECURSIVE
+bits AS (
+    SELECT doc_id, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+        lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+            lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS crc
+    FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)),
+leaves AS (
+    SELECT d.doc_id, coalesce('=' || lang, '') AS g, {_leaf_sql("n_chars")} AS leaf,
+           CASE WHEN xor(b.crc, 4294967295) % 7 = 0 THEN {_leaf_sql("n_chars + 1")} ELSE {_leaf_sql("n_chars")} END AS given
+    FROM documents d LEFT JOIN bits b ON d.doc_id = b.doc_id),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM leaves),
+low AS (
+    SELECT g, 0 AS lv, i, n, leaf AS h FROM ranked
+    UNION ALL
+    SELECT g, lv + 1, i // 2, (n + 1) // 2, sha256(h || coalesce(nxt, ''))
+    FROM (SELECT *, lead(h) OVER (PARTITION BY g ORDER BY i) AS nxt FROM low WHERE n > 1) WHERE i % 2 = 0),
+subs AS (SELECT g, h AS sub, row_number() OVER (ORDER BY encode(g)) - 1 AS i, count(*) OVER () AS n FROM low WHERE n = 1),
+high AS (
+    SELECT 0 AS lv, i, n, sub AS h FROM subs
+    UNION ALL
+    SELECT lv + 1, i // 2, (n + 1) // 2, sha256(h || coalesce(nxt, ''))
+    FROM (SELECT *, lead(h) OVER (ORDER BY i) AS nxt FROM high WHERE n > 1) WHERE i % 2 = 0),
+walk AS (
+    SELECT doc_id, g, leaf, i AS place, 0 AS lv, i, n, '' AS proof, given AS h FROM ranked
+    UNION ALL
+    SELECT w.doc_id, w.g, w.leaf, w.place, w.lv + 1, w.i // 2, (w.n + 1) // 2, w.proof || coalesce(s.h, ''),
+           sha256(CASE WHEN w.i % 2 = 1 THEN s.h || w.h ELSE w.h || coalesce(s.h, '') END)
+    FROM walk w LEFT JOIN low s ON s.g = w.g AND s.lv = w.lv AND s.i = xor(w.i, 1) WHERE w.n > 1),
+rise AS (
+    SELECT w.doc_id, w.g, w.leaf, w.place, 0 AS lv, s.i, s.n, w.proof, w.h FROM walk w JOIN subs s ON s.g = w.g WHERE w.n = 1
+    UNION ALL
+    SELECT w.doc_id, w.g, w.leaf, w.place, w.lv + 1, w.i // 2, (w.n + 1) // 2, w.proof || coalesce(s.h, ''),
+           sha256(CASE WHEN w.i % 2 = 1 THEN s.h || w.h ELSE w.h || coalesce(s.h, '') END)
+    FROM rise w LEFT JOIN high s ON s.lv = w.lv AND s.i = xor(w.i, 1) WHERE w.n > 1)
+SELECT r.doc_id, r.leaf, subs.sub AS subroot, high.h AS root, sha256(r.proof) AS proof_sha256, r.h AS folded_root, r.h = high.h AS verified
+FROM rise r JOIN subs ON subs.g = r.g JOIN high ON high.n = 1 WHERE r.n = 1
+"""
+
+
+@query("op11_merkle", MERKLE_SQL)
+def op11_merkle(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(*MERKLE_COLUMNS)
+    columns = {c: F.col(c) for c in MERKLE_COLUMNS}
+    changed = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    leaf = merkle.entry_hash(list(columns.values()))
+    tampered = merkle.entry_hash(list((columns | {"n_chars": F.col("n_chars") + 1}).values()))
+    leaves = docs.select("doc_id", "lang", leaf.alias("leaf"), F.when(changed, tampered).alias("tampered"))
+    proved = merkle.proofs(leaves, "leaf", "doc_id", "lang", carry=("tampered",))
+    folded = merkle.folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    return proved.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query("op12_best_fit")
+def op12_best_fit(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = bestfit.packed(table(spark, sf_dir, "documents"), path)
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _terms_sql(text: str) -> str:
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{_CAPITALS}', '{_CAPITALS.lower()}'), '{_TERM}')"
+
+
+RANKED_SQL = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_terms_sql("text")} AS terms FROM documents),
+size AS (SELECT count(*) FILTER (len(terms) > 0) AS n, sum(len(terms))::BIGINT AS l FROM d),
+asked AS MATERIALIZED (SELECT DISTINCT item_id, unnest({_terms_sql("text")}) AS term FROM benchmark),
+tf AS MATERIALIZED (
+    SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d)
+    WHERE term IN (SELECT term FROM asked) GROUP BY r, term),
+w AS (SELECT term, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, size GROUP BY term, n),
+scores AS (
+    SELECT item_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * len(terms) * n) // l))))::BIGINT AS score
+    FROM asked JOIN tf USING (term) JOIN w USING (term) JOIN d USING (r), size GROUP BY item_id, r)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+    SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS rank
+    FROM scores JOIN d USING (r) WHERE score > 0) WHERE rank <= 10
+"""
+
+
+@query("op13_ranked", RANKED_SQL)
+def op13_ranked(spark, sf_dir):
+    return dualtree.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
