@@ -4,13 +4,20 @@ A document is parsed once per extract with ``from_xml`` and a schema that names
 extract reads; the rest is array functions inside the row, so nothing is shuffled. Nested entries
 are read to a fixed depth (entry, entry relationship, inner entry relationship).
 
+``parse_ccda`` parses once for all extracts and stores the documents shredded: a column for the patient,
+one for the encounter around the document, and one for each kind of section, which holds only the
+events that its extract reads and as much of them as it reads. An extract of stored documents scans its
+own column.
+
 A document that breaks an expectation (two sections of one kind, two events in an entry, an event
 of another kind) gives no rows for that extract and is listed by ``ccda_errors``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.rows import keep, rows_of
 from ..functions.text import base_name, before
@@ -136,13 +143,53 @@ _EVENT = {
 }
 _SEEN = _struct(_classCode="string")
 
+_PERFORMING = _array(_struct(assignedEntity=_struct(id=_array(_ID))))
+
+
+def _inner(**event: str) -> str:
+    """Entry relationships with one kind of event."""
+    ((kind, read),) = event.items()
+    return _array(_struct(**{kind: _array(read)}))
+
+
+def _product(**material: str) -> str:
+    return _struct(manufacturedProduct=_struct(manufacturedMaterial=_struct(**material)))
+
+
+#: What the extract of a section reads of its events: parts of the types in ``_EVENT``, of the same field names.
+_READ = {
+    "encounters": _EVENT["encounter"],
+    "insurance": _struct(
+        templateId=_array(_ID), id=_array(_ID), code=_CODE, participant=_array(_PARTICIPANT), entryRelationship=_inner(act=_INNER_ACT)
+    ),
+    "care_team": _struct(component=_array(_struct(act=_array(_struct(_classCode="string", performer=_array(_PERFORMER)))))),
+    "problems": _struct(entryRelationship=_inner(observation=_struct(
+        templateId=_array(_ID), value=_VALUE, author=_array(_AUTHOR), entryRelationship=_inner(act=_INNER_ACT)))),
+    "procedures": _struct(code=_CODE, effectiveTime=_TIME, performer=_PERFORMING),
+    "medications": _struct(
+        routeCode=_CODE, consumable=_product(code=_CODE),
+        entryRelationship=_array(_struct(substanceAdministration=_array(_struct(code=_CODE, text=_struct(_content="string"))))),
+    ),
+    "allergies": _struct(entryRelationship=_inner(observation=_struct(
+        effectiveTime=_TIME, value=_VALUE, author=_array(_AUTHOR), participant=_array(_PARTICIPANT),
+        entryRelationship=_array(_struct(_typeCode="string", observation=_array(_REACTION)))))),
+    "immunizations": _struct(
+        performer=_PERFORMING, repeatNumber=_struct(_content="string", _value="string"), effectiveTime=_array(_TIME),
+        consumable=_product(code=_CODE, lotNumberText=_struct(_content="string", _value="string")),
+    ),
+    "vital_signs": _struct(component=_array(_struct(observation=_array(_struct(code=_CODE, effectiveTime=_TIME))))),
+    "labs": _struct(component=_array(_struct(observation=_array(_struct(
+        code=_CODE, effectiveTime=_TIME, value=_VALUE, interpretationCode=_array(_CODE)))))),
+}
+
 
-def _section_schema(*kinds: str) -> str:
-    """Sections with the entries of the event kinds in full and only the presence of the others."""
-    entry = _struct(**{k: _array(_EVENT[k] if k in kinds else _SEEN) for k in KINDS})
-    fields = {"code": _struct(_code="string"), "title": "string", "text": "string"}
-    if kinds:
-        fields = {"code": fields["code"], "entry": _array(entry)}
+def _section_schema(events: Mapping[str, str], entries: bool = True, texts: bool = False) -> str:
+    """Sections with their events of the given kinds as far as these types go, and only the presence of others."""
+    fields = {"code": _struct(_code="string")}
+    if texts:
+        fields |= {"title": "string", "text": "string"}
+    if entries:
+        fields["entry"] = _array(_struct(**{k: _array(events.get(k, _SEEN)) for k in KINDS}))
     return _struct(**fields)
 
 
@@ -165,14 +212,94 @@ _HEADER = _struct(
 )
 
 
-_PARSED = "_document"
+# -- shredded documents -----------------------------------------------------------------------------
+
+_PATIENT, _ENCOUNTER, _READABLE, _TITLED = "patient_role", "encompassing_encounter", "readable", "titled_texts"
+_NOTE = "consult_note"
+
+
+def _column(section: str) -> str:
+    """The stored column of a section: the entries (the text, for a note) of the first of its kind."""
+    return f"section_{section}"
+
 
+def _number(section: str) -> str:
+    """The stored column with the number of sections of a kind."""
+    return f"n_{section}"
 
-def _parsed(df: DataFrame, file: str, text: str, schema: str, name: str) -> DataFrame:
-    """The document as far as the schema goes; from the stored struct where ``parse_ccda`` made one."""
-    if _PARSED in df.columns:
-        return df.select(F.col(file), F.col(_PARSED).alias(name))
-    return df.select(F.col(file), F.from_xml(F.col(text), schema, _OPTIONS).alias(name))
+
+def _narrowed(value: Column, have: T.DataType, want: T.DataType) -> Column:
+    """A value of the type ``have`` with no more than the fields of ``want``."""
+    if have == want:
+        return value
+    if isinstance(want, T.ArrayType):
+        return F.transform(value, lambda item: _narrowed(item, have.elementType, want.elementType))
+    fields = [_narrowed(value[f.name], have[f.name].dataType, f.dataType).alias(f.name) for f in want]
+    return F.when(value.isNotNull(), F.struct(*fields))
+
+
+def _shredded_entry(section: str, have: str, want: str):
+    """An entry as the events of its section's kind, their number and the number of other events."""
+    kind = EVENTS[section]
+
+    def shredded(entry: Column) -> Column:
+        others = [_n(entry[k]) for k in KINDS if k != kind]
+        counts = [_n(entry[kind]).alias("own"), sum(others[1:], others[0]).alias("others")]
+        if not want:
+            return F.struct(*counts)
+        return F.struct(_narrowed(entry[kind], T.DataType.fromDDL(_array(have)), T.DataType.fromDDL(_array(want))).alias("events"), *counts)
+
+    return shredded
+
+
+def _shredded(doc: DataFrame, file: str, parsed: Mapping[str, str], read: Mapping[str, str | None], texts: bool, more: tuple[Column, ...] = ()) -> DataFrame:
+    """The columns of shredded documents from parsed ones (``_d``). ``parsed`` has the types of the events as
+    parsed, ``read`` what is kept for a section: its events of a type, their numbers (an empty text), or the
+    number of sections alone (None). ``texts`` adds the note and the titled texts."""
+    bodies = F.transform("_d.component", lambda c: F.flatten(F.transform(c["structuredBody"]["component"], lambda b: b["section"])))
+    known = doc.withColumn("_sections", F.filter(F.flatten(F.filter(bodies, lambda b: b.isNotNull())), lambda s: s.isNotNull()))
+    mine = known.select(file, "_sections", *more)
+    # No column of whole sections is made beside ``_sections``: rows of such wide types cost every task seconds.
+    codes = F.col("_sections.code._code")
+    number = lambda name: F.size(F.filter(codes, lambda c: c == SECTIONS[name])).alias(_number(name))
+    first = lambda field_, name: F.get(F.col(f"_sections.{field_}"), (F.array_position(codes, SECTIONS[name]) - 1).cast("int"))
+    columns = []
+    for name, want in read.items():
+        columns.append(number(name))
+        if want is not None:
+            entry = _shredded_entry(name, parsed.get(EVENTS[name], _SEEN), want)
+            columns.append(F.transform(first("entry", name), entry).alias(_column(name)))
+    columns.append(number(_NOTE))
+    if texts:
+        titles = [t for title in TABLE_TITLES for t in (title, title.upper())]
+        titled = F.filter("_sections", lambda s: s["title"].isin(*titles))
+        columns.append(F.transform(titled, lambda s: F.struct(s["title"].alias("title"), s["text"].alias("text"))).alias(_TITLED))
+        columns.append(first("text", _NOTE).alias(_column(_NOTE)))
+    header = [c for c in (_PATIENT, _ENCOUNTER) if c in mine.columns]
+    return mine.select(file, *header, F.col("_sections").isNotNull().alias(_READABLE), *columns)
+
+
+def _header_of(df: DataFrame, file: str, text: str, column: str) -> DataFrame:
+    """The patient or the encounter around the document as ``_h``."""
+    if column in df.columns:
+        return df.select(F.col(file), F.col(column).alias("_h"))
+    doc = df.select(F.col(file), F.from_xml(F.col(text), _HEADER, _OPTIONS).alias("_d"))
+    return doc.select(file, F.col(_HEADER_PATHS[column]).alias("_h"))
+
+
+_HEADER_PATHS = {_PATIENT: "_d.recordTarget.patientRole", _ENCOUNTER: "_d.componentOf.encompassingEncounter"}
+
+
+def _sections(df: DataFrame, file: str, text: str, read: Mapping[str, str | None], texts: bool = False) -> DataFrame:
+    """Shredded documents with the sections in ``read`` (see ``_shredded``). Stored ones are taken as they are."""
+    if _READABLE in df.columns:
+        entries = [_column(name) for name, kind in read.items() if kind is not None]
+        return df.select(F.col(file), _READABLE, *map(_number, (*read, _NOTE)), *entries, *([_TITLED, _column(_NOTE)] if texts else []))
+    events = {name: kind for name, kind in read.items() if kind}
+    parse = {EVENTS[name]: kind if len(events) == 1 else _EVENT[EVENTS[name]] for name, kind in events.items()}
+    entries = any(kind is not None for kind in read.values())
+    doc = df.select(F.col(file), F.from_xml(F.col(text), _body_schema(_section_schema(parse, entries, texts)), _OPTIONS).alias("_d"))
+    return _shredded(doc, file, parse, read, texts)
 
 
 # -- small rules ------------------------------------------------------------------------------------
@@ -213,10 +340,10 @@ def ccda_demographics(df: DataFrame, file: str = "file", text: str = "value", st
     both read the same element. Business phone reads use ``WP``; with ``strict_reference`` it is
     null, since the source stores ``WP`` numbers but looks up another use.
     """
-    doc = _parsed(df, file, text, _HEADER, "_d").select(file, F.col("_d.recordTarget.patientRole").alias("_r"))
+    doc = _header_of(df, file, text, _PATIENT)
     role = doc.select(
-        file, F.col("_r.patient").alias("_p"), _first(F.col("_r.patient.name")).alias("_n"), _first(F.col("_r.addr")).alias("_a"),
-        F.filter("_r.telecom", lambda t: t["_nullFlavor"].isNull() & t["_value"].isNotNull()).alias("_t"),
+        file, F.col("_h.patient").alias("_p"), _first(F.col("_h.patient.name")).alias("_n"), _first(F.col("_h.addr")).alias("_a"),
+        F.filter("_h.telecom", lambda t: t["_nullFlavor"].isNull() & t["_value"].isNotNull()).alias("_t"),
     )
 
     def is_mail(t: Column) -> Column:
@@ -267,8 +394,8 @@ def ccda_demographics(df: DataFrame, file: str = "file", text: str = "value", st
 
 def ccda_header(df: DataFrame, file: str = "file", text: str = "value") -> DataFrame:
     """Service time and discharge code of the encompassing encounter."""
-    encounter = F.col("_d.componentOf.encompassingEncounter")
-    return _parsed(df, file, text, _HEADER, "_d").select(
+    encounter = F.col("_h")
+    return _header_of(df, file, text, _ENCOUNTER).select(
         F.col(file),
         encounter["effectiveTime"]["low"]["_value"].alias("service_datetime"),
         encounter["dischargeDispositionCode"]["_code"].alias("discharge_disposition_code"),
@@ -277,34 +404,22 @@ def ccda_header(df: DataFrame, file: str = "file", text: str = "value") -> DataF
 
 # -- sections -----------------------------------------------------------------------------------------
 
-def _all_sections(df: DataFrame, file: str, text: str, schema: str) -> DataFrame:
-    doc = _parsed(df, file, text, _body_schema(schema), "_d")
-    bodies = F.transform("_d.component", lambda c: F.flatten(F.transform(c["structuredBody"]["component"], lambda b: b["section"])))
-    return doc.select(file, F.filter(F.flatten(F.filter(bodies, lambda b: b.isNotNull())), lambda s: s.isNotNull()).alias("_sections"))
-
-
 def ccda_sections(df: DataFrame, file: str = "file", text: str = "value") -> DataFrame:
     """Number of sections of each known kind per document; more than one is an error."""
-    doc = _all_sections(df, file, text, _section_schema())
-    count = lambda kind, code: F.struct(F.lit(kind).alias("section"), F.size(_of_code(code)).cast("bigint").alias("n"))
-    counts = F.array(*[count(kind, code) for kind, code in SECTIONS.items()])
-    return rows_of(doc, F.filter(counts, lambda c: c["n"] > 0), "_c").select(F.col(file), "_c.section", "_c.n")
+    doc = _sections(df, file, text, {name: None for name in EVENTS})
+    count = lambda kind: F.struct(F.lit(kind).alias("section"), F.col(_number(kind)).cast("bigint").alias("n"))
+    counts = F.array(*[count(kind) for kind in SECTIONS])
+    return rows_of(doc.select(file, counts.alias("_counts")), F.filter("_counts", lambda c: c["n"] > 0), "_c").select(F.col(file), "_c.section", "_c.n")
 
 
 def _entries(df: DataFrame, file: str, text: str, section: str) -> DataFrame:
     """``_entries`` of the one section of a kind; null when there is none or more than one."""
-    kind = EVENTS[section]
-    doc = _all_sections(df, file, text, _section_schema(kind))
-    code = SECTIONS[section]
-    mine = doc.select(file, F.filter("_sections", lambda s: s["code"]["_code"] == code).alias("_mine"))
-    return mine.select(file, F.when(F.size("_mine") == 1, _first(F.col("_mine"))["entry"]).alias("_entries"))
+    doc = _sections(df, file, text, {section: _READ[section]})
+    return doc.select(file, F.when(F.col(_number(section)) == 1, F.col(_column(section))).alias("_entries"))
 
 
 def _n_events(entry: Column) -> Column:
-    total = F.lit(0)
-    for kind in KINDS:
-        total = total + F.greatest(F.size(entry[kind]), F.lit(0))
-    return total
+    return entry["own"] + entry["others"]
 
 
 def _events(
@@ -313,16 +428,15 @@ def _events(
     """One row per event of the section's kind. ``single``: entries hold one event each;
     ``others``: events of other kinds are skipped instead of spoiling the document; ``entries``: the
     most entries a section may hold."""
-    kind = EVENTS[section]
     doc = _entries(df, file, text, section)
     ok = F.lit(True)
     if single:
         ok = ok & F.forall("_entries", lambda e: _n_events(e) <= 1)
     if not others:
-        ok = ok & F.forall("_entries", lambda e: _n_events(e) == F.greatest(F.size(e[kind]), F.lit(0)))
+        ok = ok & F.forall("_entries", lambda e: e["others"] == 0)
     if entries is not None:
         ok = ok & (F.size("_entries") <= entries)
-    events = F.flatten(F.filter(F.transform("_entries", lambda e: e[kind]), lambda x: x.isNotNull()))
+    events = _flat(F.transform("_entries", lambda e: e["events"]))
     return rows_of(doc, F.when(ok, events), "_e", "_no").withColumn("event_no", F.col("_no") + 1).drop("_entries", "_no")
 
 
@@ -555,11 +669,8 @@ def ccda_labs(df: DataFrame, file: str = "file", text: str = "value") -> DataFra
 
 def ccda_consult_note(df: DataFrame, file: str = "file", text: str = "value") -> DataFrame:
     """Leading text of the consult note section."""
-    doc = _all_sections(df, file, text, _section_schema())
-    mine = doc.select(file, F.filter("_sections", lambda s: s["code"]["_code"] == SECTIONS["consult_note"]).alias("_mine"))
-    return rows_of(mine, F.when(F.size("_mine") == 1, F.col("_mine")), "_s").select(
-        F.col(file), F.trim(before(F.col("_s.text"), "<")).alias("provider_notes")
-    )
+    doc = keep(_sections(df, file, text, {}, texts=True), F.col(_number(_NOTE)) == 1)
+    return doc.select(F.col(file), F.trim(before(F.col(_column(_NOTE)), "<")).alias("provider_notes"))
 
 
 # -- errors -------------------------------------------------------------------------------------------
@@ -567,35 +678,35 @@ def ccda_consult_note(df: DataFrame, file: str = "file", text: str = "value") ->
 def ccda_errors(df: DataFrame, file: str = "file", text: str = "value") -> DataFrame:
     """Broken expectations per document: (file, section, error). An error of an item comes once for
     each item, so what is extracted and what is listed add up."""
-    full = tuple(dict.fromkeys(EVENTS[section] for section in RULES))
-    doc = _all_sections(df, file, text, _section_schema(*full))
+    read = {section: _READ[section] if section in RULES else "" for section in EVENTS}
+    doc = _sections(df, file, text, read)
     none = F.array().cast("array<struct<section:string,error:string>>")
     problems = [
-        F.when(F.col("_sections").isNull(), F.array(F.struct(F.lit("document").alias("section"), F.lit("not readable").alias("error"))))
+        F.when(~F.col(_READABLE), F.array(F.struct(F.lit("document").alias("section"), F.lit("not readable").alias("error"))))
     ]
     one_event = ("encounters", "care_team", "problems", "procedures", "medications", "allergies", "immunizations", "vital_signs", "labs")
-    for section, code in SECTIONS.items():
-        mine = _of_code(code)
+    for section in SECTIONS:
         row = lambda message, section=section: F.struct(F.lit(section).alias("section"), message.alias("error"))
         at_once = lambda condition, message, row=row: F.when(condition, F.array(row(F.lit(message))))
-        entries = _first(mine)["entry"]
-        several = F.size(mine) > 1
+        several = F.col(_number(section)) > 1
         problems.append(at_once(several, "several sections"))
         spoiled = several
+        entries = F.col(_column(section))
         if section == "care_team":
             problems.append(at_once(_n(entries) > 1, "several entries"))
             spoiled = spoiled | (_n(entries) > 1)
         if section in one_event:
-            crowded = F.coalesce(F.exists(entries, lambda e: _n_events(e) > 1), F.lit(False))
+            # Fields of the whole array, not of each entry, so that the scan reads the two numbers alone.
+            numbers = F.zip_with(entries["own"], entries["others"], lambda own, others: own + others)
+            crowded = F.coalesce(F.exists(numbers, lambda n: n > 1), F.lit(False))
             problems.append(at_once(crowded, "several events in an entry"))
             spoiled = spoiled | crowded
         if section in EVENTS and section != "procedures":
-            other = F.coalesce(_has_other(entries, EVENTS[section]), F.lit(False))
+            other = F.coalesce(F.exists(entries["others"], lambda n: n > 0), F.lit(False))
             problems.append(at_once(other, "event of another kind"))
             spoiled = spoiled | other
         if section in RULES:
-            kind = EVENTS[section]
-            items = _flat(F.transform(entries, _kind(kind)))
+            items = _flat(F.transform(entries, lambda e: e["events"]))
             if section == "allergies":
                 items = _flat(F.transform(items, lambda e: _flat(F.transform(e["entryRelationship"], lambda r: r["observation"]))))
             listed = _flat(F.transform(items, _listing(section)))
@@ -603,34 +714,22 @@ def ccda_errors(df: DataFrame, file: str = "file", text: str = "value") -> DataF
     return rows_of(doc, F.flatten(F.array(*[F.coalesce(p, none) for p in problems])), "_p").select(F.col(file), "_p.section", "_p.error")
 
 
-def _kind(kind: str):
-    return lambda entry: entry[kind]
-
-
 def _listing(section: str):
     """An item's broken rules as error rows of the section."""
     named = lambda message: F.struct(F.lit(section).alias("section"), message.alias("error"))
     return lambda item: F.transform(F.slice(_broken(section, item), 1, 1), named)
 
 
-def _of_code(code: str) -> Column:
-    return F.filter("_sections", lambda s: s["code"]["_code"] == code)
-
-
-def _has_other(entries: Column, kind: str) -> Column:
-    return F.exists(entries, lambda e: _n_events(e) > F.greatest(F.size(e[kind]), F.lit(0)))
-
-
 # -- table text and row forms ---------------------------------------------------------------------------
 
 def ccda_table_text(df: DataFrame, file: str = "file", text: str = "value") -> DataFrame:
     """Cells of the titled section tables, split into coded cells and others, one row per document
     and title; ``NA`` where there is nothing. Only cells with a blank in them count."""
-    doc = _all_sections(df, file, text, _section_schema())
+    doc = _sections(df, file, text, {}, texts=True)
     titles = F.array(*[F.struct(F.lit(t).alias("title"), F.lit(m).alias("mark")) for t, m in TABLE_TITLES.items()])
     rows = rows_of(doc, titles, "_t")
     titled = F.filter(
-        "_sections", lambda s: (s["title"] == F.col("_t.title")) | (s["title"] == F.upper(F.col("_t.title")))
+        _TITLED, lambda s: (s["title"] == F.col("_t.title")) | (s["title"] == F.upper(F.col("_t.title")))
     )
     cells = F.regexp_extract_all(_first(titled)["text"], F.lit(r"<td[^>]*?(?:/>|>([^<]*))"), F.lit(1))
     cleaned = F.transform(cells, lambda c: F.when(F.length(c) == 0, "NA").otherwise(c))
@@ -686,14 +785,13 @@ EXTRACTS = {
 
 
 def parse_ccda(df: DataFrame, path: str, file: str = "file", text: str = "value") -> DataFrame:
-    """Parses every document once: one struct with the header and all kinds of events as a stored
-    table, from which each extract reads the fields it needs. Every function here takes its rows."""
-    entry = _struct(**{k: _array(_EVENT.get(k, _SEEN)) for k in KINDS})
-    section = _struct(code=_struct(_code="string"), title="string", text="string", entry=_array(entry))
-    body = _body_schema(section)
+    """Parses every document once and stores it shredded, so that each extract reads its own column.
+    Every function here takes the rows."""
+    body = _body_schema(_section_schema(_EVENT, texts=True))
     schema = _HEADER.removesuffix(">") + "," + body.removeprefix("struct<")
-    rows = df.select(F.col(file), F.from_xml(F.col(text), schema, _OPTIONS).alias(_PARSED))
-    rows.write.mode("overwrite").parquet(path)
+    doc = df.select(F.col(file), F.from_xml(F.col(text), schema, _OPTIONS).alias("_d"))
+    header = tuple(F.col(inner).alias(name) for name, inner in _HEADER_PATHS.items())
+    _shredded(doc, file, _EVENT, _READ, texts=True, more=header).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -15,6 +15,8 @@ the segment its rows inherit from.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .joins import lookup_with_fallback
@@ -194,10 +196,28 @@ def hl7_fields(df: DataFrame, text: str = "value", file: str = "file") -> DataFr
     )
 
 
+def _of_kinds(*kinds: str) -> Column:
+    """The segments of these kinds, in order."""
+
+    def is_one(segment: Column) -> Column:
+        return reduce(Column.__or__, [F.startswith(segment, F.lit(kind + "|")) for kind in kinds])
+
+    return F.filter("_segments", is_one)
+
+
+def _kept(*kinds: str) -> str:
+    """The column of these kinds in stored messages."""
+    return "segments_" + "_".join(kind.lower() for kind in kinds)
+
+
+def _lines(messages: DataFrame, *kinds: str) -> Column:
+    """The segments of these kinds, from their own column where the messages are stored."""
+    return F.col(_kept(*kinds)) if _kept(*kinds) in messages.columns else _of_kinds(*kinds)
+
+
 def _repeating(messages: DataFrame, name: str) -> DataFrame:
     """One row per segment of a kind, with its split fields in ``_f``."""
-    wanted = F.filter("_segments", lambda s: F.startswith(s, F.lit(name + "|")))
-    return rows_of(messages, wanted, "_s").withColumn("_f", _fields(F.col("_s")))
+    return rows_of(messages, _lines(messages, name), "_s").withColumn("_f", _fields(F.col("_s")))
 
 
 def _after(messages: DataFrame, carrier: str, least_fields: int, name: str) -> DataFrame:
@@ -205,7 +225,8 @@ def _after(messages: DataFrame, carrier: str, least_fields: int, name: str) -> D
     segment as ``_carried`` and the number of the segment since then as ``_since``. Carriers too
     short to hold the inherited field do not replace an earlier one."""
     mark = "(?=\r" + carrier + r"(?:\|[^|\r]*){" + str(least_fields) + "})"
-    pieces = rows_of(messages, F.split(F.concat(F.lit("\r"), F.col("_text")), mark), "_piece")
+    text = F.array_join(_lines(messages, carrier, name), "\r")
+    pieces = rows_of(messages, F.split(F.concat(F.lit("\r"), text), mark), "_piece")
     lines = F.filter(F.split("_piece", "\r"), lambda s: F.length(s) > 0)
     cut = pieces.withColumn("_lines", lines)
     first = F.try_element_at("_lines", F.lit(1))
@@ -522,8 +543,7 @@ def hl7_providers(messages: DataFrame, registry: DataFrame | None = None) -> Dat
         return F.struct(F.lit(role).alias("status"), value.alias("_text"))
 
     def pairs_of(segment: str, role: str, n: int) -> Column:
-        mine = F.filter("_segments", lambda s: F.startswith(s, F.lit(segment + "|")))
-        return F.transform(mine, lambda s: pair(role, field(_fields(s), n)))
+        return F.transform(_lines(messages, segment), lambda s: pair(role, field(_fields(s), n)))
 
     is_25 = F.coalesce(head(F.col("_msh"), 12) == "2.5", F.lit(False))
     single, repeated = [], []
@@ -597,24 +617,38 @@ def hl7_message_log(messages: DataFrame, text: str = "value", file: str = "file"
     """One row per file with what became of it. A file is one message; the log tells of files that hold
     several, of which the last header and patient count."""
     msh = F.col("_msh")
-    headers = F.size(F.filter("_segments", lambda s: F.startswith(s, F.lit("MSH"))))
+    stored = _LENGTH in messages.columns
+    headers = F.col(_HEADERS) if stored else _count_of_headers()
+    length = F.col(_LENGTH) if stored else F.length(text)
     status = F.when(~F.col("has_header"), NO_HEADER).when(headers > 1, SEVERAL).otherwise(PARSED)
     return _table(
         messages,
         F.col(file), status.alias("status"),
         head(msh, 12).alias("hl7_version"), head(msh, 9, 1).alias("message_type"), head(msh, 9, 2).alias("event_code"),
         "f_name", "f_state", "f_facility", "f_pointer", "f_pointer_value", "f_date",
-        F.length(text).alias("file_length"), "accid_ref",
+        length.alias("file_length"), "accid_ref",
     )
 
 
+def _count_of_headers() -> Column:
+    return F.size(F.filter("_segments", lambda s: F.startswith(s, F.lit("MSH"))))
+
+
+def _linked_heads() -> Column:
+    """The beginnings, up to the fourth field, of the segments that are linked to a table."""
+    kinds = list(dict.fromkeys(seg for seg, _ in LINKED_TABLES))
+    mine = F.filter("_segments", lambda s: F.left(s, F.lit(3)).isin(*kinds))
+    return F.transform(mine, lambda s: F.substring_index(s, "|", 5))
+
+
 def hl7_links(messages: DataFrame, file: str = "file") -> DataFrame:
     """One row per repeating row written, with the table and the set id."""
     tables = F.create_map(*[
         x for seg in dict.fromkeys(s for s, _ in LINKED_TABLES)
         for x in (F.lit(seg), F.array(*[F.lit(t) for s, t in LINKED_TABLES if s == seg]))
     ])
-    rows = rows_of(_headed(messages).select(file, "_segments"), F.col("_segments"), "_s").drop("_segments")
+    heads = F.col(_HEADS) if _HEADS in messages.columns else _linked_heads()
+    rows = rows_of(_headed(messages).select(file, heads.alias("_heads")), F.col("_heads"), "_s").drop("_heads")
     split = rows.withColumns({"_seg": F.left("_s", F.lit(3)), "_f": _fields(F.col("_s"))})
     first = comp(F.col("_f"), 1)
     written = F.when(F.col("_seg") == "OBR", F.length(comp(F.col("_f"), 4)) > 1).when(
@@ -673,10 +707,19 @@ TABLES = {
 }
 
 
+#: Kinds of segments that are stored together: each kind that a table repeats, and those that a table reads in
+#: their common order.
+STORED_KINDS = (("PR1",), ("DG1",), ("RXE",), ("RXA",), ("IN1",), ("OBR",), ("RXO", "RXE"), ("IAM", "AL1"), ("OBR", "OBX"))
+_LENGTH, _HEADERS, _HEADS = "file_length", "n_headers", "linked_heads"
+
+
 def parse_hl7(df: DataFrame, path: str, text: str = "value", file: str = "file") -> DataFrame:
-    """Reads and splits every message once: the nested rows of ``hl7_messages`` as a stored table, from
-    which each extract reads the columns it needs."""
-    hl7_messages(df, text, file).write.mode("overwrite").parquet(path)
+    """Reads and splits every message once and stores it shredded: the columns of ``hl7_messages`` without
+    the text, and a column for each kind of segments, so that a table reads its own columns."""
+    messages = hl7_messages(df, text, file)
+    kinds = {_kept(*kinds): _of_kinds(*kinds) for kinds in STORED_KINDS}
+    counts = {_LENGTH: F.length(text), _HEADERS: _count_of_headers(), _HEADS: _linked_heads()}
+    messages.withColumns(kinds | counts).drop(text, "_text", "_segments").write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -176,12 +176,10 @@ def ccda_medications(spark, sf_dir):
 
 @query("ccda_allergies", f"""
 SELECT file, 1 AS event_no, 'Penicillin' || chr(10) || 'pen ' || n AS description, 'A' || n AS code, 'Drug allergy' AS description_type, '419' AS code_type,
- 'Hives ' || n AS reaction, 'S' || n AS severity, '2015' || n2 AS reported_date, '2015' AS onset_date FROM {BASE} WHERE n <> 8
+ '[{{"reaction":"Hives ' || n || '","severity":[{{"description_sev":"Severe","code_sev":"S' || n || '"}}]}}]' AS reaction, '2015' || n2 AS reported_date, '2015' AS onset_date FROM {BASE} WHERE n <> 8
 """)
 def ccda_allergies(spark, sf_dir):
-    rows = ccda.ccda_allergies(document_text(spark, sf_dir))
-    first = F.try_element_at("reaction", F.lit(1))
-    return rows.withColumns({"severity": F.try_element_at(first["severity"], F.lit(1))["code_sev"], "reaction": first["reaction"]})
+    return ccda.ccda_allergies(document_text(spark, sf_dir)).withColumn("reaction", F.to_json("reaction"))
 
 
 @query("ccda_immunizations", f"""
@@ -225,22 +223,26 @@ def ccda_errors(spark, sf_dir):
     return ccda.ccda_errors(document_text(spark, sf_dir))
 
 
+#: The nation whose documents break a rule in a section, and the rows that its extract gives otherwise.
+SPOILED = {"encounters": 9, "care_team": 10, "procedures": 6, "immunizations": 7, "allergies": 8, "problems": 5}
+ROWS = {"encounters": 2, "problems": 2, "vital_signs": 2, "labs": 2}
+_SECTION_ROWS = ", ".join(f"('{name}', {SPOILED.get(name, -1)}, {ROWS.get(name, 1)})" for name in ccda.EVENTS)
+
+
 @query("ccda_extracted_or_listed", f"""
-SELECT section, CAST(count(*) * CASE section WHEN 'encounters' THEN 2 ELSE 1 END - CASE section WHEN 'encounters' THEN count(*) FILTER (n = 3) ELSE 0 END AS BIGINT) AS n
-FROM {BASE}, (SELECT unnest(['encounters', 'care_team', 'procedures', 'immunizations', 'allergies']) AS section) GROUP BY section
+SELECT file, section, CAST(CASE WHEN section = 'encounters' AND n = 3 THEN 0 WHEN n <> spoiled THEN n_rows WHEN section = 'encounters' THEN 1 ELSE 0 END AS BIGINT) AS extracted,
+ CAST(n = spoiled OR (section = 'encounters' AND n = 3) AS BIGINT) AS listed
+FROM {BASE}, (VALUES {_SECTION_ROWS}) t(section, spoiled, n_rows)
 """)
 def ccda_extracted_or_listed(spark, sf_dir):
-    """Every item of these sections is in its extract or in the error list. (The two encounters of a
-    document with two sections make one error.)"""
+    """Rows of every extract and listed errors by file and section. (The two encounter sections of a
+    document make one error, and so does a problem section with two events in an entry.)"""
     docs = document_text(spark, sf_dir)
-    extracts = {
-        "encounters": ccda.ccda_encounters, "care_team": ccda.ccda_care_team, "procedures": ccda.ccda_procedures,
-        "immunizations": ccda.ccda_immunizations, "allergies": ccda.ccda_allergies,
-    }
-    rows = ccda.ccda_errors(docs).select("section").filter(F.col("section").isin(*extracts))
-    for section, extract in extracts.items():
-        rows = rows.unionByName(extract(docs).select(F.lit(section).alias("section")))
-    return rows.groupBy("section").agg(F.count(F.lit(1)).alias("n"))
+    sections = {name: ccda.EXTRACTS[name] for name in ccda.EVENTS}
+    rows = ccda.ccda_errors(docs).select("file", "section", F.lit(0).alias("e"), F.lit(1).alias("l"))
+    for section, extract in sections.items():
+        rows = rows.unionByName(extract(docs).select("file", F.lit(section).alias("section"), F.lit(1).alias("e"), F.lit(0).alias("l")))
+    return rows.groupBy("file", "section").agg(F.sum("e").alias("extracted"), F.sum("l").alias("listed"))
 
 
 @query("ccda_table_text", f"""

@@ -7,9 +7,12 @@ account number or no admit time.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 from pyspark.sql import DataFrame, functions as F
 
-from .registry import fill, handed_over, query, spread, table
+from .registry import ORACLES, fill, handed_over, query, spread, table
 from ..operators import hl7v2
 
 
@@ -104,6 +107,7 @@ PARSED = f"({BASE.strip()} WHERE o_orderstatus <> 'P')"
 
 DOB = "CASE WHEN n = 3 THEN NULL ELSE strftime(DATE '1950-01-01' + n * 100, '%Y-%m-%d') END"
 SEX = "CASE WHEN o_orderstatus = 'F' THEN 'F' ELSE 'M' END"
+VERSION = "CASE WHEN o_orderpriority = '1-URGENT' THEN '2.5' ELSE '2.3' END"
 SSN = "lpad(CAST(o_custkey AS VARCHAR), 9, '0')"
 
 
@@ -112,14 +116,32 @@ def _provider(role: str, code: str, last: str, first: str, middle: str = "", pro
     return f"sha1({code} || '{last}{first}{middle}' || '{prov_type}{role}') || '-' || {code}"
 
 
+def _segment_sql() -> str:
+    """The text of every segment by its number, with the marks of the template put in."""
+    marks = {
+        "sender": "CASE WHEN n < 8 THEN '2.16.840.' || n ELSE 'NATION_' || n || ' ^site' END", "n": "n", "stamp": "stamp", "key": "o_orderkey",
+        "version": VERSION, "cust": "o_custkey", "seg": "c_mktsegment",
+        "born": "CASE WHEN n = 3 THEN '19501399' ELSE strftime(DATE '1950-01-01' + n * 100, '%Y%m%d') END",
+        "sex": "CASE WHEN o_orderstatus = 'F' THEN 'Female' ELSE 'Male' END", "zip": "lpad(CAST(n AS VARCHAR), 5, '0')", "ssn": SSN, "day": "day_",
+        "account": "CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE 'AC' || o_orderkey END",
+        "admitted": "CASE WHEN has_visit THEN stamp ELSE '' END", "price": "price", "flag": "CASE WHEN o_orderpriority = '1-URGENT' THEN 'H' ELSE 'N' END",
+    }
+    lines = []
+    for i, line in enumerate(TEMPLATE.replace('"', "-").split("\r")):
+        parts = re.split(r"\{(\w+)\}", line)
+        text = " || ".join(f"CAST({marks[p]} AS VARCHAR)" if k % 2 else "'" + p.replace("'", "''") + "'" for k, p in enumerate(parts))
+        lines.append(f"SELECT file, {i + 1} AS seg_no, {text} AS line FROM base")
+    return f"WITH base AS {PARSED} " + " UNION ALL ".join(lines)
+
+
 @query("hl7_segments", f"""
-SELECT seg, count(*) AS n, CAST(sum(seg_no) AS BIGINT) AS seg_nos FROM {PARSED},
- (SELECT unnest(['MSH','EVN','PID','PD1','ROL','NK1','PV1','PV2','PR1','PR1','DG1','RXO','RXE','RXE','IAM','AL1','AL1','AL1','RXA','IN1','OBR','OBX','OBX','OBR','OBX']) AS seg,
-         unnest(range(1, 26)) AS seg_no) GROUP BY seg
+SELECT file, CAST(seg_no AS INTEGER) AS seg_no, left(line, 3) AS seg, array_to_string(string_split(line, '|'), chr(31)) AS fields FROM ({_segment_sql()})
 """)
 def hl7_segments(spark, sf_dir):
+    """Whole rows; the fields are joined by a sign of their own."""
     rows = hl7v2.hl7_segments(message_text(spark, sf_dir))
-    return rows.groupBy("seg").agg(F.count(F.lit(1)).alias("n"), F.sum("seg_no").alias("seg_nos"))
+    plain = F.when(F.col("_swapped"), F.translate(F.array_join("fields", "\x1f"), hl7v2._HIDDEN, "|^~")).otherwise(F.array_join("fields", "\x1f"))
+    return rows.select("file", "seg_no", "seg", plain.alias("fields"))
 
 
 @query("hl7_fields", f"""
@@ -314,15 +336,17 @@ SELECT fac AS source, 'Ward' AS source_type, code AS provcode, l AS lname, f AS
 FROM roles LEFT JOIN ({REGISTRY_SQL}) g ON fac = g.source AND code = g.provcode
 """)
 def hl7_providers(spark, sf_dir):
+    return hl7v2.hl7_providers(_messages(spark, sf_dir), provider_registry(spark, sf_dir))
+
+
+def provider_registry(spark, sf_dir):
+    """Attending providers of a region, who are known before."""
     known = table(spark, sf_dir, "nation").filter("n_regionkey = 1")
     n = F.col("n_nationkey")
-    registry = known.select(
+    return known.select(
         F.concat(F.lit("FAC"), n).alias("source"), F.concat(F.lit("ATT"), n).alias("provcode"), F.lit("Attend").alias("lname"),
         F.lit("Ann").alias("fname"), F.lit("Q").alias("mname"), F.lit("").alias("suffix"), F.concat(F.lit("known-"), n).alias("vault_based_id"),
     )
-    return hl7v2.hl7_providers(_messages(spark, sf_dir), registry)
-
-
 @query("hl7_pcp", f"""
 SELECT fac AS source, accid AS patient_id, CASE WHEN o_orderpriority = '1-URGENT' THEN {_provider('pcp', "'ROL' || n", 'Role', 'Ray')}
  ELSE {_provider('pcp', "'PCP' || n", 'Primary', 'Pat')} END AS provider_id, o_orderdate AS event_timestamp FROM {PARSED}
@@ -331,25 +355,42 @@ def hl7_pcp(spark, sf_dir):
     return hl7v2.hl7_pcp(_messages(spark, sf_dir))
 
 
+def _length_sql(spark_free_template: str) -> str:
+    """Length of the text of a message: what the template holds beside its marks, and the marks' values."""
+    values = {
+        "sender": "CASE WHEN n < 8 THEN '2.16.840.' || n ELSE 'NATION_' || n || ' ^site' END", "n": "n", "stamp": "stamp", "key": "o_orderkey",
+        "version": VERSION, "cust": "o_custkey", "seg": "c_mktsegment", "born": "'19500101'", "sex": "CASE WHEN o_orderstatus = 'F' THEN 'Female' ELSE 'Male' END",
+        "zip": "'00000'", "account": "CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE 'AC' || o_orderkey END", "ssn": SSN, "day": "day_",
+        "admitted": "CASE WHEN has_visit THEN stamp ELSE '' END", "price": "price", "flag": "'N'",
+    }
+    parts = re.split(r"\{(\w+)\}", spark_free_template)
+    uses = Counter(parts[1::2])
+    lines = spark_free_template.count("\r")
+    sizes = " + ".join(f"{k} * length(CAST({values[name]} AS VARCHAR))" for name, k in uses.items())
+    start = "CASE WHEN o_orderstatus = 'P' THEN 3 ELSE 0 END"
+    return f"CAST({sum(map(len, parts[::2]))} + {sizes} + {start} + CASE WHEN n = 9 THEN {lines} ELSE 0 END AS INTEGER)"
+
+
+# Without a header the delimiters of a message are not known, so those of nation 7 give no account.
 @query("hl7_message_log", f"""
 SELECT file, CASE WHEN o_orderstatus = 'P' THEN 'Error: HL7 msg missing MSH seg' ELSE 'Success: all fields parsed' END AS status,
- CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderpriority = '1-URGENT' THEN '2.5' ELSE '2.3' END AS hl7_version,
+ CASE WHEN o_orderstatus = 'P' THEN NULL ELSE {VERSION} END AS hl7_version,
  CASE WHEN o_orderstatus <> 'P' THEN 'ADT' END AS message_type, CASE WHEN o_orderstatus <> 'P' THEN 'A01' END AS event_code,
- fac AS f_facility, day_ AS f_date FROM ({BASE})
+ 'adt' || o_orderkey AS f_name, 'KS' AS f_state, fac AS f_facility, 'ptr' AS f_pointer, c_mktsegment AS f_pointer_value, day_ AS f_date,
+ {_length_sql(TEMPLATE)} AS file_length,
+ CASE WHEN o_orderstatus = 'P' AND n = 7 THEN sha1(file) || fac ELSE accid END AS accid_ref FROM ({BASE})
 """)
 def hl7_message_log(spark, sf_dir):
-    log = hl7v2.hl7_message_log(_messages(spark, sf_dir))
-    return log.select("file", "status", "hl7_version", "message_type", "event_code", "f_facility", "f_date")
+    return hl7v2.hl7_message_log(_messages(spark, sf_dir))
 
 
 @query("hl7_links", f"""
-SELECT table_name, seq, count(*) AS n FROM {PARSED}, (VALUES ('_patient_procedure', 1), ('_patient_procedure', 2), ('_patient_diagnosis', 1),
+SELECT file, table_name, seq FROM {PARSED}, (VALUES ('_patient_procedure', 1), ('_patient_procedure', 2), ('_patient_diagnosis', 1),
  ('_medication', NULL), ('_medication', NULL), ('_patient_allergy', 1), ('_patient_allergy', 2), ('_immunization', 1), ('_vaccination', 1),
  ('_patient_insurance', 1), ('_lab_test', 1), ('_lab_result', 1), ('_lab_result', 2), ('_lab_result', 1)) t(table_name, seq)
-GROUP BY table_name, seq
 """)
 def hl7_links(spark, sf_dir):
-    return hl7v2.hl7_links(_messages(spark, sf_dir)).groupBy("table_name", "seq").agg(F.count(F.lit(1)).alias("n"))
+    return hl7v2.hl7_links(_messages(spark, sf_dir))
 
 
 @query("new_facilities", f"""
@@ -386,3 +427,7 @@ def resolve_msh4_oid(spark, sf_dir):
 @query("one_per_oid", f"SELECT oid, min(file) AS file FROM ({OID_SQL}) WHERE oid IS NOT NULL GROUP BY oid")
 def one_per_oid(spark, sf_dir):
     return hl7v2.one_per_oid(_resolved_oids(spark, sf_dir))
+
+
+#: SQL of every table that is read from stored messages.
+TABLES_SQL = {name: ORACLES[f"hl7_{name}"] for name in hl7v2.TABLES}

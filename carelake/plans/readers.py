@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from . import hl7_messages
 from .documents import document_text
 from .hl7_messages import message_text
 from .people import _panel
@@ -151,30 +152,34 @@ def check_columns(spark, sf_dir):
     )
 
 
-def _count_sql(names: dict[str, str]) -> str:
-    return " UNION ALL ".join(f"SELECT '{name}' AS name, count(*) AS n FROM ({ORACLES[query_]})" for name, query_ in names.items())
+def _union_sql(names: dict[str, str]) -> str:
+    """All rows of several tables as texts, each with its table; columns that a table lacks are null."""
+    return " UNION ALL BY NAME ".join(f"SELECT '{name}' AS of_table, COLUMNS(*)::VARCHAR FROM ({sql})" for name, sql in names.items())
 
 
-HL7_NAMES = {name: f"hl7_{name}" for name in hl7v2.TABLES if name not in ("providers", "links")}
-CCDA_NAMES = {name: f"ccda_{name}" for name in ccda.EXTRACTS if name != "vital_signs"} | {"vital_signs": "ccda_vitals"}
+def _union(tables: dict[str, DataFrame]) -> DataFrame:
+    def as_texts(df: DataFrame) -> list:
+        return [(F.to_json(c) if kind.startswith("array") else F.col(c).cast("string")).alias(c) for c, kind in df.dtypes]
 
+    named = [df.select(F.lit(name).alias("of_table"), *as_texts(df)) for name, df in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
 
-@query("hl7_all_tables", _count_sql(HL7_NAMES))
+
+CCDA_SQL = {name: ORACLES[f"ccda_{'vitals' if name == 'vital_signs' else name}"] for name in ccda.EXTRACTS}
+
+
+@query("hl7_all_tables", _union_sql(hl7_messages.TABLES_SQL))
 def hl7_all_tables(spark, sf_dir):
-    """Every table from messages that were parsed once."""
+    """Whole rows of every table, from messages that were parsed once."""
     parsed = hl7v2.parse_hl7(message_text(spark, sf_dir), shared_folder(spark, "hl7-parsed"))
-    tables = hl7v2.hl7_tables(parsed)
-    counts = [tables[name].select(F.lit(name).alias("name")) for name in HL7_NAMES]
-    return reduce(DataFrame.unionByName, counts).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    return _union(hl7v2.hl7_tables(parsed) | {"providers": hl7v2.hl7_providers(parsed, hl7_messages.provider_registry(spark, sf_dir))})
 
 
-@query("ccda_all_extracts", _count_sql(CCDA_NAMES))
+@query("ccda_all_extracts", _union_sql(CCDA_SQL))
 def ccda_all_extracts(spark, sf_dir):
-    """Every extract from documents that were parsed once."""
+    """Whole rows of every extract, from documents that were parsed once."""
     parsed = ccda.parse_ccda(document_text(spark, sf_dir), shared_folder(spark, "ccda-parsed"))
-    extracts = ccda.ccda_extracts(parsed)
-    counts = [extracts[name].select(F.lit(name).alias("name")) for name in CCDA_NAMES]
-    return reduce(DataFrame.unionByName, counts).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    return _union(ccda.ccda_extracts(parsed))
 
 
 for _name in ("hl7_person", "hl7_lab_results"):

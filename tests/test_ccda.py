@@ -129,3 +129,28 @@ def test_files_of_one_name_stay_apart(spark, rows_of):
     one = _doc(spark, _section("46240-8", ""), file="a/m.xml").unionByName(_doc(spark, _section("46240-8", ""), file="b/m.xml"))
     assert rows_of(ccda.ccda_sections(one)) == [("a/m.xml", "encounters", 1), ("b/m.xml", "encounters", 1)]
     assert ccda.ccda_errors(one).count() == 0
+
+
+def test_stored_documents_give_the_same_rows(spark, tmp_path):
+    """Odd documents: none at all, no section, two sections of a kind, entries of several kinds."""
+    act = '<entry><act classCode="ACT"><entryRelationship><observation><templateId root="2.16.840.1.113883.10.20.22.4.4"/><value code="P"/></observation></entryRelationship></act>{more}</entry>'
+    bodies = ["", _section("11450-4", act.format(more="")), _section("11450-4", act.format(more="<supply/>")), _section("11450-4", "") * 2,
+              _section("11488-4", "", text="Seen &amp; well<br/>more"), _section("8716-3", "<entry><organizer/></entry>", title="Vital Signs", text="<td>a LOINC b</td>")]
+    docs = None
+    for i, body in enumerate(bodies):
+        one = _doc(spark, body, file=f"d{i}")
+        docs = one if docs is None else docs.union(one)
+    docs = docs.union(spark.createDataFrame([("bad", "<ClinicalDocument><a></b>"), ("null", None)], "file string, value string"))
+    parsed = ccda.parse_ccda(docs, str(tmp_path / "parsed"))
+    key = lambda df: sorted(map(str, df.collect()))
+    for name, extract in ccda.EXTRACTS.items():
+        assert key(extract(parsed)) == key(extract(docs)), name
+
+
+def test_an_extract_reads_its_own_columns(spark, tmp_path):
+    parsed = ccda.parse_ccda(_doc(spark), str(tmp_path / "parsed"))
+    whole = len(parsed.schema.simpleString())
+    for name, extract in ccda.EXTRACTS.items():
+        scan = extract(parsed)._jdf.queryExecution().executedPlan().collectLeaves().head()
+        read = len(scan.requiredSchema().simpleString())
+        assert read < whole / (2 if name == "errors" else 5), name
