@@ -3,7 +3,8 @@
 No side is broadcast by hint unless its row count is bounded by construction; otherwise Spark's
 own size check (``autoBroadcastJoinThreshold``, applied statically and again by AQE) decides,
 and large sides fall back to shuffled joins. Hot keys are left to the adaptive skew join: the joins
-here are inner, left, semi or anti with one row per key on the right, which it can split.
+here are inner, left, semi or anti with one row per key on the right, which it can split. Where a key
+may have many rows on both sides, ``split_join`` deals its pairs out over a grid of tasks.
 """
 
 from __future__ import annotations
@@ -12,6 +13,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import written
+
+#: Pairs of one key that one task may form.
+PAIRS_A_TASK = 1 << 24
+
 
 def attach_mpi(accounts: DataFrame, registrations: DataFrame, account: str, account_ref: str, mpi: str) -> DataFrame:
     """Visit to person registration; every matching registration is kept. A plain join on the account:
@@ -111,3 +117,45 @@ def upsert(
         return F.when(F.col("_kind") == "full", F.col(f"_new_{c}")).otherwise(F.col(c))
 
     return merged.select(key, *[value(c).alias(c) for c in cols])
+
+
+def heavy_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], pairs: int = PAIRS_A_TASK) -> DataFrame:
+    """Keys that form more than ``pairs`` pairs, with their rows on either side. A heavy key has more than
+    ``sqrt(pairs)`` rows on one side, so the list is shorter than the tables by that factor."""
+    count = lambda df, name: df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    both = count(left, "n_left").join(count(right, "n_right"), list(keys))
+    return both.filter(F.col("n_left").cast("double") * F.col("n_right") > pairs)
+
+
+def split_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", pairs: int = PAIRS_A_TASK
+) -> DataFrame:
+    """Inner or left join on ``keys``. A key that is heavy on both sides, such as a placeholder, is split on
+    both: its rows are cut into ``a`` and ``b`` parts, and each of the ``a * b`` cells of the grid, of about ``pairs``
+    pairs, is a group of its own. Other keys, and null ones, are joined as usual.
+
+    Parts are told apart by a hash of the whole row, so a lost task is dealt the same rows again. Equal rows
+    of a heavy key are counted before and spread out again behind the join.
+    """
+    heavy = written(heavy_keys(left, right, keys, pairs), "heavy-keys")
+    if heavy.isEmpty():
+        return left.join(right, list(keys), how)
+    side = max(1, int(pairs**0.5))
+    parts = heavy.select(
+        *keys, F.ceil(F.col("n_left") / side).cast("int").alias("_rows"), F.ceil(F.col("n_right") / side).cast("int").alias("_cols")
+    )
+    rest = [df.join(heavy.select(*keys), list(keys), "left_anti") for df in (left, right)]
+
+    def dealt(df: DataFrame, own: str, own_parts: str, other: str, other_parts: str, copies: str) -> DataFrame:
+        counted = df.join(parts, list(keys)).groupBy(*df.columns, "_rows", "_cols").agg(F.count(F.lit(1)).alias(copies))
+        part = F.pmod(F.xxhash64(*df.columns), F.col(own_parts)).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.col(other_parts) - 1))
+        cells = counted.withColumn(own, part).withColumn(other, every).drop("_rows", "_cols")
+        return cells.repartition(*keys, "_i", "_j")  # else rows that lie together by key would stay so
+
+    a = dealt(left, "_i", "_rows", "_j", "_cols", "_copies_a")
+    b = dealt(right, "_j", "_cols", "_i", "_rows", "_copies_b")
+    pairs_of = a.join(b, [*keys, "_i", "_j"]).drop("_i", "_j")
+    again = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies_a") * F.col("_copies_b")))
+    grid = pairs_of.withColumn("_again", again).drop("_again", "_copies_a", "_copies_b")
+    return rest[0].join(rest[1], list(keys), how).unionByName(grid)

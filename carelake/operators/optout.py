@@ -6,10 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from .joins import PAIRS_A_TASK, heavy_keys, split_join
 from .keys import collapse
 from ..functions.dates import drop_midnight, us_date_to_iso
 from ..functions.predicates import TEXT_NULL
 from ..functions.text import nine_digit_ssn
+from ..session import written
 
 STANDARD = "standard"
 SPECIAL = "special1"
@@ -71,22 +73,31 @@ def _fold(key, case_insensitive: bool):
     return F.lower(key) if case_insensitive else key
 
 
-def match_by(
-    rule: str, opt_outs: DataFrame, people: DataFrame, keep_unmatched: bool = True, case_insensitive: bool = False
-) -> DataFrame:
-    """Opt-outs with the ``mpi`` of every person meeting the rule, tagged with ``match_method``.
-
-    The rule's expressions become plain key columns first, so this is an equi-join."""
+def _keyed(rule: str, opt_outs: DataFrame, people: DataFrame, case_insensitive: bool) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with the rule's expressions as plain key columns, so that a match is an equi-join."""
     left, right = _RULES[rule](opt_outs, people)
     a = opt_outs.withColumns({k: _fold(v, case_insensitive) for k, v in left.items()})
     b = people.select(F.col("id").alias("_id"), *[_fold(v, case_insensitive).alias(k) for k, v in right.items()])
-    return (
-        a.drop(*[c for c in ("mpi", "MPI") if c in a.columns])
-        .join(b, list(left), "left" if keep_unmatched else "inner")
-        .drop(*left)
-        .withColumnRenamed("_id", "mpi")
-        .withColumn("match_method", F.lit(rule))
-    )
+    return a.drop(*[c for c in ("mpi", "MPI") if c in a.columns]), b, list(left)
+
+
+def match_by(
+    rule: str, opt_outs: DataFrame, people: DataFrame, keep_unmatched: bool = True, case_insensitive: bool = False,
+    pairs: int = PAIRS_A_TASK,
+) -> DataFrame:
+    """Opt-outs with the ``mpi`` of every person meeting the rule, tagged with ``match_method``. A placeholder
+    identity that many list rows and many people share is spread over tasks of about ``pairs`` matches."""
+    a, b, keys = _keyed(rule, opt_outs, people, case_insensitive)
+    joined = split_join(a, b, keys, "left" if keep_unmatched else "inner", pairs)
+    return joined.drop(*keys).withColumnRenamed("_id", "mpi").withColumn("match_method", F.lit(rule))
+
+
+def heavy_identities(
+    rule: str, opt_outs: DataFrame, people: DataFrame, pairs: int = PAIRS_A_TASK, case_insensitive: bool = False
+) -> DataFrame:
+    """Report of the identities that a rule matches more than ``pairs`` times: the key, the list rows
+    (``n_left``) and the people (``n_right``). Such a key is a placeholder as a rule."""
+    return heavy_keys(*_keyed(rule, opt_outs, people, case_insensitive), pairs=pairs)
 
 
 def tagged_union(frames: dict[str, DataFrame], tag: str) -> DataFrame:
@@ -97,29 +108,35 @@ def tagged_union(frames: dict[str, DataFrame], tag: str) -> DataFrame:
     return out
 
 
-def union_distinct(*frames: DataFrame) -> DataFrame:
+def union_all(*frames: DataFrame) -> DataFrame:
     out = frames[0]
     for df in frames[1:]:
         out = out.unionByName(df)
-    return out.distinct()
+    return out
+
+
+def union_distinct(*frames: DataFrame) -> DataFrame:
+    return union_all(*frames).distinct()
 
 
 def match_opt_outs(
     opt_outs: DataFrame, people: DataFrame, keep_unmatched: bool = True, case_insensitive: bool = False,
-    detail: Sequence[str] = DETAIL,
+    detail: Sequence[str] = DETAIL, pairs: int = PAIRS_A_TASK,
 ) -> DataFrame:
     """Opt-out list: one row per person and opt-out with the methods that matched, in name order.
 
-    A list row repeated in the load is reduced before the joins. There are two methods, so the
-    collected list has at most two entries."""
+    A list row repeated in the load is reduced before the joins, and the reduced list is stored for them.
+    The methods of a row are bits of a number, which a hash aggregate can update in place."""
     cols = ["fname", "lname", "dob", "sex", "ssn", *[c for c in detail if c in opt_outs.columns]]
-    unique = opt_outs.select(*cols).distinct()
-    both = match_by(STANDARD, unique, people, keep_unmatched, case_insensitive).unionByName(
-        match_by(SPECIAL, unique, people, keep_unmatched, case_insensitive)
-    )
-    return both.groupBy("mpi", *cols).agg(
-        F.array_join(F.array_sort(F.collect_set("match_method")), ",").alias("match_methods")
-    )
+    unique = written(opt_outs.select(*cols).distinct(), "opt-outs")
+    methods = sorted(_RULES)
+    found = [
+        match_by(method, unique, people, keep_unmatched, case_insensitive, pairs).drop("match_method").withColumn("_bit", F.lit(1 << i))
+        for i, method in enumerate(methods)
+    ]
+    listed = union_all(*found).groupBy("mpi", *cols).agg(F.bit_or("_bit").alias("_bits"))
+    named = [F.when(F.col("_bits").bitwiseAND(F.lit(1 << i)) != 0, F.lit(method)) for i, method in enumerate(methods)]
+    return listed.withColumn("match_methods", F.array_join(F.array_compact(F.array(*named)), ",")).drop("_bits")
 
 
 def opted_out_ids(opt_outs: DataFrame, people: DataFrame, case_insensitive: bool = False) -> DataFrame:

@@ -251,6 +251,23 @@ def match_special(spark, sf_dir):
     return optout.match_by(optout.SPECIAL, _opt_outs(spark, sf_dir), _people(spark, sf_dir), keep_unmatched=False)
 
 
+@query("match_special_split", _match_sql(SPECIAL_ON, "special1", "LEFT JOIN"))
+def match_special_split(spark, sf_dir):
+    """Identities of more than four matches are dealt out over a grid."""
+    return optout.match_by(optout.SPECIAL, _opt_outs(spark, sf_dir), _people(spark, sf_dir), pairs=4)
+
+
+@query("heavy_identities", f"""
+SELECT o.fname, o.dob, o.sex, s4 AS ssn4, n_left, count(*) AS n_right FROM ({PEOPLE_SQL}) p JOIN (
+ SELECT fname, dob, sex, left(lname, 3) AS l3, right(ssn, 4) AS s4, count(*) AS n_left FROM ({SANITIZED_SQL}) GROUP BY ALL) o
+ ON left(lastname, 3) = l3 AND p.firstname = o.fname AND p.dob = o.dob AND p.sex = o.sex AND right(p.ssn, 4) = s4
+GROUP BY o.fname, o.dob, o.sex, s4, n_left, l3 HAVING n_left * count(*) > 8
+""")
+def heavy_identities(spark, sf_dir):
+    heavy = optout.heavy_identities(optout.SPECIAL, _opt_outs(spark, sf_dir), _people(spark, sf_dir), pairs=8)
+    return heavy.select(F.col("_k2").alias("fname"), F.col("_k3").alias("dob"), F.col("_k4").alias("sex"), F.col("_k5").alias("ssn4"), "n_left", "n_right")
+
+
 def _list_sql(join: str) -> str:
     return f"""
 SELECT mpi, fname, lname, dob, sex, ssn, respective_mrn, opt_choice, status,

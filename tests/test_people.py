@@ -242,3 +242,18 @@ def test_default_crosswalk(spark, rows_of):
     df = spark.createDataFrame([(r,) for r in beside], "raw_state string")
     out = {r.raw_state: r.state for r in residence.standardize(df, "raw_state", state_crosswalk(spark), "state").collect()}
     assert out == beside
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_split_join_spreads_a_key_that_is_heavy_on_both_sides(spark, how):
+    """A third of both sides has one placeholder key; some of its rows are equal; null keys match nothing."""
+    left = [("nobody" if i % 3 == 0 else f"p{i % 40}", i // 6) for i in range(600)] + [(None, 1), ("only left", 2)]
+    right = [("nobody" if i % 3 == 0 else f"p{i % 50}", i // 9) for i in range(450)] + [(None, 3), ("only right", 4)]
+    a = spark.createDataFrame(left, "k string, a int")
+    b = spark.createDataFrame(right, "k string, b int")
+    joined = joins.split_join(a, b, ["k"], how, pairs=900)
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert rows(joined) == rows(a.join(b, ["k"], how))
+    assert rows(joins.heavy_keys(a, b, ["k"], 900)) == [("nobody", 200, 150)]
+    tasks = joined.filter("k = 'nobody'").groupBy(F.spark_partition_id().alias("t")).count().collect()
+    assert sum(t["count"] for t in tasks) == 200 * 150 and len(tasks) > 3
