@@ -13,10 +13,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import written
+from ..session import task_count, written
 
 #: Pairs of one key that one task may form.
 PAIRS_A_TASK = 1 << 24
+#: Tasks that the cells of heavy keys are dealt to at most; beyond that a task takes several.
+MOST_TASKS = 1 << 13
 
 
 def attach_mpi(accounts: DataFrame, registrations: DataFrame, account: str, account_ref: str, mpi: str) -> DataFrame:
@@ -137,13 +139,19 @@ def split_join(
     Parts are told apart by a hash of the whole row, so a lost task is dealt the same rows again. Equal rows
     of a heavy key are counted before and spread out again behind the join.
     """
-    heavy = written(heavy_keys(left, right, keys, pairs), "heavy-keys")
-    if heavy.isEmpty():
+    most = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    if (most or 0) * right.count() <= pairs:  # no key can be heavy
         return left.join(right, list(keys), how)
+    heavy = written(heavy_keys(left, right, keys, pairs), "heavy-keys")
     side = max(1, int(pairs**0.5))
     parts = heavy.select(
         *keys, F.ceil(F.col("n_left") / side).cast("int").alias("_rows"), F.ceil(F.col("n_right") / side).cast("int").alias("_cols")
     )
+    grid_cells = parts.agg(F.sum(F.col("_rows").cast("bigint") * F.col("_cols"))).first()[0]
+    if grid_cells is None:
+        return left.join(right, list(keys), how)
+    # A stated number of partitions: adaptive execution would merge cells by their few bytes, whatever they join to.
+    tasks = max(task_count(left.sparkSession), min(grid_cells, MOST_TASKS))
     rest = [df.join(heavy.select(*keys), list(keys), "left_anti") for df in (left, right)]
 
     def dealt(df: DataFrame, own: str, own_parts: str, other: str, other_parts: str, copies: str) -> DataFrame:
@@ -151,7 +159,7 @@ def split_join(
         part = F.pmod(F.xxhash64(*df.columns), F.col(own_parts)).cast("int")
         every = F.explode(F.sequence(F.lit(0), F.col(other_parts) - 1))
         cells = counted.withColumn(own, part).withColumn(other, every).drop("_rows", "_cols")
-        return cells.repartition(*keys, "_i", "_j")  # else rows that lie together by key would stay so
+        return cells.repartition(tasks, *keys, "_i", "_j")
 
     a = dealt(left, "_i", "_rows", "_j", "_cols", "_copies_a")
     b = dealt(right, "_j", "_cols", "_i", "_rows", "_copies_b")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .registry import query, table
 from ..operators import lookback
-from ..session import shared_folder
+from ..session import shared_folder, written
 from ..sources import files, sinks
 from ..streaming import marks
 
@@ -88,28 +88,33 @@ s AS (SELECT o_custkey, o_orderdate AS latest_known_admitted, o_orderkey AS late
 SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY latest_index_update DESC, latest_known_order DESC) = 1
 """)
 def lookback_backfill(spark, sf_dir):
-    folder = shared_folder(spark, "backfill")
-    values = {"latest_known_admitted": "o_orderdate", "latest_known_order": "o_orderkey"}
-    accounts = table(spark, sf_dir, "orders").withColumn("index_update", F.date_format("o_orderdate", "yyyy-MM"))
-
-    def step(snapshot, ds):
-        return lookback.lookback_step(snapshot, accounts, ds, values, key="o_custkey", event_time="o_orderdate", tie="o_orderkey")
+    snapshots, days = _snapshots(spark, sf_dir)
+    # Rebalanced by snapshot, so that a folder holds a few files and none outgrows a task.
+    stored = written(snapshots.hint("rebalance", "ds"), "backfill", ["ds"])
+    return stored.filter(F.col("ds") == days[-1])
+
+
+@query("lookback_backfill_all", """
+WITH o AS (SELECT *, date_trunc('month', o_orderdate) AS m FROM orders),
+days AS (SELECT CAST(unnest(generate_series(min(m), max(m), INTERVAL 1 MONTH)) AS DATE) AS day FROM o)
+SELECT o_custkey, o_orderdate AS latest_known_admitted, o_orderkey AS latest_known_order, strftime(m, '%Y-%m-%d') AS latest_index_update,
+       strftime(day, '%Y-%m-%d') AS ds
+FROM days JOIN o ON m <= day AND o_orderdate >= day - INTERVAL 36 MONTH
+QUALIFY row_number() OVER (PARTITION BY day, o_custkey ORDER BY m DESC, o_orderkey DESC) = 1
+""")
+def lookback_backfill_all(spark, sf_dir):
+    return _snapshots(spark, sf_dir)[0]
 
-    def save(df, ds):
-        df.write.mode("overwrite").parquet(f"{folder}/{ds}")
-        return spark.read.parquet(f"{folder}/{ds}")
 
+def _snapshots(spark, sf_dir):
+    """The snapshots of all months of the orders, and the days they are taken for."""
+    values = {"latest_known_admitted": "o_orderdate", "latest_known_order": "o_orderkey"}
+    accounts = table(spark, sf_dir, "orders").withColumn("index_update", F.date_format("o_orderdate", "yyyy-MM"))
     first, last = accounts.agg(F.min("index_update"), F.max("index_update")).first()
-    months = [lookback.month_text(f"{first}-01", i) + "-01" for i in range(12 * (int(last[:4]) - int(first[:4])) + int(last[5:]) - int(first[5:]) + 1)]
-    start = step(_empty_snapshot(accounts), months[0]).limit(0)
-    return lookback.backfill(step, start, months, save)
-
-
-def _empty_snapshot(accounts):
-    return accounts.limit(0).select(
-        "o_custkey", F.col("o_orderdate").alias("latest_known_admitted"), F.col("o_orderkey").alias("latest_known_order"),
-        F.concat("index_update", F.lit("-01")).alias("latest_index_update"),
-    )
+    count = 12 * (int(last[:4]) - int(first[:4])) + int(last[5:]) - int(first[5:]) + 1
+    days = [lookback.month_text(f"{first}-01", i) + "-01" for i in range(count)]
+    snapshots = lookback.backfill_snapshots(accounts, days, values, key="o_custkey", event_time="o_orderdate", tie="o_orderkey")
+    return snapshots, days
 
 
 @query("stream_changed_files", """

@@ -1,3 +1,5 @@
+import pytest
+
 from carelake.operators import keys, lookback
 from pyspark.sql import functions as F
 
@@ -77,3 +79,36 @@ def test_latest_per_key_limits_rows_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
     plan = keys.latest_per_key(df, ["k"], [F.col("id").desc()])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_all_snapshots_in_one_pass_equal_the_fold(spark, rows_of):
+    """Late and missing events, sentinels, null keys, rows that expire by month or event, months without a load."""
+    rows = []
+    for i in range(600):
+        load = f"20{10 + i * 7 % 9:02d}-{i * 5 % 12 + 1:02d}"
+        event = [f"20{9 + i * 11 % 11:02d}-{i % 12 + 1:02d}-{i % 28 + 1:02d} 0{i % 10}:00:00", None, "1900-00-00 00:00:00"][0 if i % 9 else 1 + i % 2]
+        rows.append(([f"k{i % 23}", None, "HcDAT_HELP_REQUESTED"][0 if i % 31 else 1 + i % 2], event, f"s{i}", i, load))
+    rows.append((None, "2012-04-01 00:00:00", "no key", 900, "2012-04"))
+    df = spark.createDataFrame(rows, SCHEMA)
+    days = [f"{y}-{m:02d}-{1 + (y + m) % 28:02d}" for y in (2011, 2012, 2014) for m in (1, 4, 5, 11)]
+    old = spark.createDataFrame(
+        [("k1", "2010-12-01 00:00:00", "old", -1, "2010-12-01"), ("gone", "2008-01-01 00:00:00", "old", -2, "2008-02-01"),
+         ("only", "2010-06-01 00:00:00", "old", -3, "2010-06-01"), ("k2", None, "old", -4, "2010-12-01")],
+        "accid string, latest_known_admitted string, latest_known_source string, latest_known_id int, latest_index_update string",
+    )
+    steps, snapshot = [], old
+    for ds in days:
+        snapshot = lookback.lookback_step(snapshot, df, ds, VALUES, tie="id")
+        snapshot = spark.createDataFrame(snapshot.collect(), snapshot.schema)
+        steps.extend(tuple(r) for r in snapshot.select("accid", "latest_known_id", "latest_index_update", "ds").collect())
+    cols = ("accid", "latest_known_id", "latest_index_update", "ds")
+    got = lookback.backfill_snapshots(df, days, VALUES, tie="id", previous=old)
+    assert rows_of(got, *cols) == sorted(steps, key=lambda t: tuple((x is not None, str(x)) for x in t))
+    assert {"only", "k1", None} <= {r.accid for r in got.collect()} and "gone" not in {r.accid for r in got.collect()}
+    late = old.withColumn("latest_index_update", F.lit("2011-02-01"))
+    with pytest.raises(Exception, match="previous snapshot"):
+        lookback.backfill_snapshots(df, days, VALUES, tie="id", previous=late).collect()
+    with pytest.raises(ValueError):
+        lookback.backfill_snapshots(df, ["2011-01-01", "2011-01-05"], VALUES)
+    empty = lookback.backfill_snapshots(df.limit(0), days, VALUES, tie="id")
+    assert empty.columns == got.columns and empty.count() == 0
