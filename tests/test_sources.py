@@ -152,6 +152,50 @@ def test_stream_keeps_marks_between_runs(spark, tmp_path, rows_of):
     assert len(run()) == 4
 
 
+def _moved(spark, rows):
+    return spark.createDataFrame(rows, "k string, t bigint")
+
+
+def test_mark_store_writes_what_changed(spark, tmp_path, rows_of):
+    """A thousand marks, then batches of three: a delta each, merged as they grow, equal to the plain fold."""
+    store = marks.MarkStore(spark, str(tmp_path / "m"), ["k"], "t", _moved(spark, [("a", 1)]), buckets=8, most_deltas=4)
+    known = {f"k{i}": i for i in range(1000)} | {None: 5}
+    state = store.advance(0, _moved(spark, list(known.items())))
+    base = store.bytes_of(state["base"])
+    for version in range(1, 8):
+        moved = {f"k{version * 7}": 5000 + version, f"new{version}": version, None: 100 + version}
+        known |= moved
+        state = store.advance(version, _moved(spark, list(moved.items())))
+        assert state["base"] == "base-0" and len(state["deltas"]) <= 5
+        assert store.bytes_of(state["deltas"][-1]) < base / 2
+    assert any(d.startswith("deltas-") for d in state["deltas"])
+    read = changes.advance_marks(store.read(state), _moved(spark, []), ["k"], "t")
+    assert {r.k: r.t for r in read.collect()} == known
+    kept = {p.name for p in (tmp_path / "m").iterdir()} - {"state"}
+    assert kept <= {state["base"], *state["deltas"], *store.state(6)["deltas"]}
+    # Few keys read few buckets.
+    some = store.read(state, _moved(spark, [("k7", 1)]))
+    assert {r[0] for r in some.select("bucket").distinct().collect()} == {some.select(store.bucket()).first()[0]} and some.count() < 300
+    # As many changes as marks: a new base.
+    state = store.advance(8, _moved(spark, [(f"k{i}", 9000 + i) for i in range(1000)]))
+    assert state == {"base": "base-8", "deltas": []} and store.read(state).count() == 1008
+
+
+def test_mark_store_runs_a_version_again(spark, tmp_path, rows_of):
+    """Stopped at any point of a version, the next run of it gives the same state."""
+    store = marks.MarkStore(spark, str(tmp_path / "m"), ["k"], "t", _moved(spark, [("a", 1)]), buckets=4)
+    store.advance(0, _moved(spark, [(f"k{i}", i) for i in range(300)]))
+    store.advance(1, _moved(spark, [("k1", 900)]))
+    first = store.advance(2, _moved(spark, [("k2", 901)]))
+    want = rows_of(store.read(first), "k", "t")
+    assert store.advance(2, _moved(spark, [("k2", 901)])) == first and rows_of(store.read(first), "k", "t") == want
+    store._write(_moved(spark, [("half", 1)]), "delta-3")  # lost before its state was written
+    last = store.advance(3, _moved(spark, [("k3", 902)]))
+    assert rows_of(store.read(last), "k", "t") == sorted([*want, ("k3", 902)])
+    empty = store.advance(4, _moved(spark, []))
+    assert empty == last
+
+
 def test_stream_loads_each_file_once(spark, tmp_path):
     source = tmp_path / "in"
     _write(source / "a.csv", "x\n1\n")
