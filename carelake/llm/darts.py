@@ -19,7 +19,7 @@ Texts equal after folding (lower case, words split at ASCII white space) are one
 start, represented by the smallest key, so a group of copies of any size is one row. A text of one to
 four words is a single shingle. Nulls: a null text, or one without a word, is a class of its own, as
 is a row with a null key. Rows that repeat a key are one document; of several texts under one key the
-one with the least digest counts. An empty table gives an empty result.
+one with the least digest counts, but ``deduplicated`` compares each of them. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import graph
+from ..operators.position import with_position
 from ..session import written
 
 _U64 = np.uint64
@@ -275,11 +276,32 @@ def near_duplicates(
     )
 
 
-def deduplicated(df: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """One row of each class: that of the smallest key. Rows with a null key are kept."""
-    classes = near_duplicates(df, key=key, **options)
+def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row of each class: that of the smallest key. Rows with a null key are kept. Texts that share a key are
+    documents of their own here: each is compared, and one row of it stays unless its class has a smaller one."""
+    content = F.coalesce(F.col(text), F.lit(""))
+    mark = F.xxhash64(content)
+    per_key = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(mark).alias("_lo"), F.max(mark).alias("_hi"))
+    repeated = written(per_key.filter("_n > 1").select(key, (F.col("_lo") < F.col("_hi")).alias("_several")), "repeated")
+    if not repeated.filter("_several").isEmpty():
+        return _one_of_each_text(df, repeated, key, text, options)
+    classes = near_duplicates(df, key=key, text=text, **options)
     gone = written(classes.filter(~F.col("kept")).select(key).distinct(), "gone")
-    repeated = written(df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key), "repeated")
     stay = df.join(gone, key, "left_anti")
     once = stay.join(repeated, key, "left_anti")
     return once.unionByName(stay.join(repeated, key, "left_semi").dropDuplicates([key])).select(*df.columns)
+
+
+def _one_of_each_text(df: DataFrame, repeated: DataFrame, key: str, text: str, options: dict) -> DataFrame:
+    """``deduplicated`` where keys hold several texts: documents are numbered by key and digest and compared by number."""
+    named = df.withColumn("_sha", F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+    whole = named.filter(F.col(key).isNotNull())
+    pairs = whole.select(key, "_sha").distinct()
+    numbered = written(with_position(pairs, [F.col(key), F.col("_sha")], "_number", unique=True), "numbered")
+    rest = whole.join(repeated, key, "left_anti")
+    again = whole.join(repeated, key, "left_semi").dropDuplicates([key, "_sha"])
+    docs = rest.unionByName(again)
+    texts = docs.select(key, "_sha", text).join(numbered, [key, "_sha"]).select("_number", text)
+    classes = near_duplicates(texts, key="_number", text=text, **options)
+    kept = written(numbered.join(classes.filter("kept").select("_number"), "_number", "left_semi").select(key, "_sha"), "kept")
+    return docs.join(kept, [key, "_sha"], "left_semi").unionByName(named.filter(F.col(key).isNull())).select(*df.columns)

@@ -110,6 +110,8 @@ def mixed(
     """``df`` with ``size`` (words), ``source_size``, ``target`` (both of the source) and ``copies``
     (int, how often the mix takes the document, ``most`` at most).
 
+    ``rounds`` is the number of passes that fill what a source still lacks after documents too long for it were
+    skipped; what is lacking after the last pass stays so.
     ``weights`` go round the sources in code point order. All targets together are ``share`` times
     all words, as far as ``most`` times every source allows.
     """

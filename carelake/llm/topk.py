@@ -8,8 +8,9 @@ set, so this is a scan of all rows per block of queries and no join of all pairs
 
 A row takes no part if its vector is null, or holds null or non-finite components, or its id is null.
 Vectors may differ in length: a missing term weighs nothing. Ties go to the smaller id. Rows that
-share a query's id are not its candidates; repeated rows are candidates each. No queries or no rows
-give an empty result. Other columns of the input are not carried.
+share a query's id are not its candidates, and the least of their vectors asks; repeated rows are candidates
+each. A weight, or a score among the best, that does not fit a long is an error; sums on the way may exceed a long.
+No queries or no rows give an empty result. Other columns of the input are not carried.
 """
 
 from __future__ import annotations
@@ -24,8 +25,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 def integer_weights(vector: Column, scale: int) -> Column:
     """``floor(scale * x)`` of each component, or null if a component is null or not finite."""
     fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    whole = F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("bigint"))
-    return F.when(fine, whole)
+
+    def weight(x: Column) -> Column:
+        scaled = x.cast("double") * scale
+        too_large = F.raise_error(F.lit("a scaled component does not fit a long")).cast("bigint")
+        return F.when(F.abs(scaled) < 2.0**63, F.floor(scaled).cast("bigint")).otherwise(too_large)
+
+    return F.when(fine, F.transform(vector, weight))
 
 
 def _postings(rows: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -56,9 +62,9 @@ def _best(scores: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     no candidate. The place is part of what is compared, so ties need no further care."""
     n = scores.shape[1]
     ranked = scores * -n + np.arange(n)
-    ranked[own] = 1 << 62
+    ranked[own] = 1 << (62 if scores.dtype != object else 256)
     if n > k:
-        at = np.argpartition(ranked, k - 1, axis=1)[:, :k]
+        at = (np.argpartition(ranked, k - 1, axis=1) if scores.dtype != object else np.argsort(ranked, axis=1))[:, :k]
     else:
         at = np.broadcast_to(np.arange(n), scores.shape)
     query = np.repeat(np.arange(len(scores)), at.shape[1])
@@ -73,9 +79,10 @@ def _search(queries: pd.DataFrame, rows: pd.DataFrame, k: int, group: int = 16)
     ids = rows["_id"].to_numpy(dtype=np.int64)
     postings = _postings([np.asarray(v, dtype=np.int64) for v in rows["_v"]])
     asked = [np.asarray(v, dtype=np.int64)[: len(postings)] for v in queries["_v"]]
-    greatest = lambda vectors: max((int(np.abs(v).max(initial=0)) for v in vectors), default=0)
+    greatest = lambda vectors: max((max(int(v.max(initial=0)), -int(v.min(initial=0))) for v in vectors), default=0)
     bound = greatest(asked) * greatest(w for _, w in postings) * len(postings)
-    kind = np.int32 if bound < 1 << 31 else np.int64
+    # Scores times the number of rows are compared; where they might not fit a long, Python's integers take over.
+    kind = object if bound * max(len(ids), 1) >= 1 << 61 else np.int32 if bound < 1 << 31 else np.int64
     postings = [(place, weight.astype(kind)) for place, weight in postings]
     room = np.empty((2, group, len(ids)), dtype=kind)
     found = []
@@ -96,8 +103,11 @@ def _search(queries: pd.DataFrame, rows: pd.DataFrame, k: int, group: int = 16)
                 scores += added
             else:
                 scores[np.ix_(has, place)] += weights[has, term, None] * weight
-        query, place = _best(scores.astype(np.int64), qids[:, None] == ids, k)
-        found.append(pd.DataFrame({"query_id": qids[query], "vec_id": ids[place], "score": scores[query, place].astype(np.int64)}))
+        query, place = _best(scores if kind is object else scores.astype(np.int64), qids[:, None] == ids, k)
+        best = scores[query, place]
+        if kind is object and any(not -(1 << 63) <= int(s) < 1 << 63 for s in best):
+            raise ValueError("a score does not fit a long")
+        found.append(pd.DataFrame({"query_id": qids[query], "vec_id": ids[place], "score": best.astype(np.int64)}))
     return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype=np.int64)
 
 
@@ -107,8 +117,7 @@ def top_k(
 ) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score`` for the rows where ``is_query`` holds.
 
-    About ``block`` rows meet about ``block`` queries in a task, whatever the size of the table. Scores
-    times the block size must fit a long.
+    About ``block`` rows meet about ``block`` queries in a task, whatever the size of the table.
     """
     usable = df.withColumn("_v", integer_weights(F.col(vector), scale)).filter(F.col("_v").isNotNull() & F.col(key).isNotNull())
     rows = usable.select(F.col(key).cast("bigint").alias("_id"), "_v", F.coalesce(is_query, F.lit(False)).alias("_q"))
@@ -118,7 +127,7 @@ def top_k(
     spot = lambda seed, m: F.pmod(F.xxhash64(F.lit(seed), "_id", "_v"), F.lit(m)).cast("int")
     every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
     searched = rows.select("_id", "_v", spot(1, row_blocks).alias("_r"), every(query_blocks).alias("_s"))
-    asking = rows.filter("_q").dropDuplicates(["_id"]).select("_id", "_v", every(row_blocks).alias("_r"), spot(2, query_blocks).alias("_s"))
+    asking = rows.filter("_q").groupBy("_id").agg(F.min("_v").alias("_v")).select("_id", "_v", every(row_blocks).alias("_r"), spot(2, query_blocks).alias("_s"))
 
     def meet(queries: pd.DataFrame, block_rows: pd.DataFrame) -> pd.DataFrame:
         return _search(queries, block_rows, k)

@@ -240,3 +240,38 @@ def test_top_k_of_few_rows(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in topk.top_k(df, F.col("vec_id") == 0).collect()] == [(0, 1, 1, 64 * 128)]
     assert topk.top_k(df, F.lit(False)).count() == 0 and topk.top_k(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_top_k_of_huge_weights(spark):
+    """Sums beyond a long on the way are exact; a score or weight that does not fit is an error."""
+    big = float(1 << 55)
+    rows = [(20, [big, big, 1.0]), (1, [2.0, -2.0, 3.0]), (2, [64.0, -64.0, 1.0]), (3, [1.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r["rank"], r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id") == 20, k=3, scale=1).orderBy("rank").collect()]
+    assert got == [(1, 3, 1 << 55), (2, 1, 3), (3, 2, 1)]
+    over = spark.createDataFrame([(20, [3e9]), (1, [3e9]), (2, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.top_k(over, F.col("vec_id") == 20, k=2, scale=64).collect()
+    wide = spark.createDataFrame([(20, [1e18]), (1, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.top_k(wide, F.col("vec_id") == 20, k=2, scale=64).collect()
+
+
+def test_least_vector_of_a_repeated_query_asks(spark):
+    df = spark.createDataFrame([(20, [2.0, 0.0]), (20, [0.0, 1.0]), (20, [1.0, 0.0]), (1, [5.0, 7.0])], "vec_id long, embedding array<double>")
+    for n in (1, 3):
+        got = topk.top_k(df.repartition(n), F.col("vec_id") == 20, scale=1).collect()
+        assert [(r.query_id, r.vec_id, r.score) for r in got] == [(20, 1, 7)]
+
+
+def test_texts_that_share_a_key_are_all_compared(spark):
+    """Of several texts under one key none is lost unless it is a copy of another."""
+    a, b, c = words(1, 60), words(2, 60), words(3, 60)
+    rows = [
+        (1, a, "s"), (1, b, "s"), (1, a, "s"), (2, a + " one more word", "s"), (3, b, "s"), (4, c, None), (None, c, "s"), (None, c, "s"),
+        (5, None, "s"), (6, "", "s"), (6, c, "s"), (7, words(4, 30), "s"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _number string")
+    got = sorted(((r.doc_id, r.text) for r in darts.deduplicated(df.withColumnRenamed("_number", "more")).collect()), key=str)
+    want = [(1, a), (1, b), (4, c), (None, c), (None, c), (5, None), (6, ""), (7, words(4, 30))]
+    assert got == sorted(want, key=str)
