@@ -4,12 +4,14 @@ Pass one tokenizes every document once and writes its ids with the number of ids
 partition. Pass two sums the partitions' totals in order: that gives every document its place in the
 whole line, and each document cuts itself where windows end. Only the last window can be short.
 
-Nulls: a null text is empty; an empty document is its end id alone. Repeated rows are packed each.
-An empty table gives an empty result. Other columns of the input are not carried.
+Nulls: a null text is empty; an empty document is its end id alone. Repeated rows are packed each. An
+empty table gives an empty result. A text of any length is encoded whole. Other columns of the input,
+whatever their name, are not carried.
 """
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Iterator
 
@@ -22,7 +24,8 @@ from ..session import written
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _CONTROL = re.compile(r"[\x1c-\x1f]")  # white space to str.split, signs to a tokenizer
-_TRAIL = re.compile(r"[.,!?;:]+$")
+_CLOSING = ".,!?;:#$%&*+-/=@^_~"  # no apostrophe and no bracket, which may belong to a contraction or an added token
+_PROBES = ["Plain words, and CAPS!", " it's one of 3,141 things...\tlines\n\ntwo  blanks ", "na\u00efve \u00dcber-words a%% ##b x's", "a", " a", "A,"]
 
 
 def _plain(word: str) -> bool:
@@ -36,10 +39,11 @@ class WordEncoder:
     Words repeat, so each one is encoded once and remembered; ``limit`` bounds what is remembered
     (the memory is emptied when full). Closing punctuation after a letter or digit is a token of its
     own in such a tokenizer, so word and punctuation are remembered apart. Words of letters are encoded
-    many at a time, as one text, which is cut behind the ids that end a word.
+    many at a time, as one text, which is cut behind the ids that end a word. A tokenizer that gives other ids for
+    ``_PROBES`` by word than by text is of another kind, and encodes whole texts.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 1_600_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
@@ -51,14 +55,8 @@ class WordEncoder:
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.limit = limit
         self.known: dict[str, bytes] = {}
-
-    def _parts(self, word: str) -> tuple[str, str]:
-        if word.isascii():
-            word = word.lower()
-        tail = _TRAIL.search(word) if word[-1] in ".,!?;:" else None
-        if tail and tail.start() and word[tail.start() - 1].isascii() and word[tail.start() - 1].isalnum():
-            return word[: tail.start()], tail.group()
-        return word, ""
+        self.by_word = True
+        self.by_word = self.encode(_PROBES) == [ids.tobytes() for ids in self._ids(_PROBES)]
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -66,37 +64,51 @@ class WordEncoder:
 
     def _learn(self, words: set[str]) -> None:
         known = self.known
-        if len(known) + 2 * len(words) > self.limit:
-            known.clear()
-        parts = {w: self._parts(w) for w in words}
-        fresh = list({p for pair in parts.values() for p in pair if p and p not in known})
-        letters, other = [w for w in fresh if _plain(w)], [w for w in fresh if not _plain(w)]
+        cut: list[tuple[str, str, str]] = []  # word, core and closing signs, where they differ from the word
+        fresh: set[str] = set()
+        for word in words:
+            core, tail = word.lower() if word.isascii() else word, ""
+            bare = core.rstrip(_CLOSING)
+            if len(bare) < len(core) and bare and bare[-1].isascii() and bare[-1].isalnum():
+                core, tail = bare, core[len(bare) :]
+                fresh.add(tail)
+            fresh.add(core)
+            if tail or core != word:
+                cut.append((word, core, tail))
+        fresh.difference_update(known)
+        letters = [w for w in fresh if w.isalpha() and (w.isascii() or _plain(w))]
+        other = list(fresh.difference(letters))
         groups = [letters[i : i + 128] for i in range(0, len(letters), 128)]
         for group, ids in zip(groups, self._ids([" ".join(g) for g in groups])):
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(group) and (not len(ids) or cuts[-1] == len(ids)):
-                raw, begin = ids.tobytes(), 0
-                for word, end in zip(group, (cuts * 4).tolist()):
-                    known[word] = raw[begin:end]
-                    begin = end
+                raw, ends = ids.tobytes(), (cuts * 4).tolist()
+                known.update(zip(group, [raw[a:b] for a, b in zip([0, *ends], ends)]))
             else:  # a tokenizer that marks word ends in another way
                 other.extend(group)
         for word, ids in zip(other, self._ids(other)):
             known[word] = ids.tobytes()
-        for word, (core, tail) in parts.items():
+        for word, core, tail in cut:
             known[word] = known[core] + known[tail] if tail else known[core]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
+        if not self.by_word:
+            return [ids.tobytes() for ids in self._ids([t or "" for t in texts])]
         split = [(_WORD.findall(t) if _CONTROL.search(t) else t.split()) if t else [] for t in texts]
-        codes = [list(map(self.known.get, words)) for words in split]
-        fresh = {w for words, code in zip(split, codes) if None in code for w, c in zip(words, code) if c is None}
+        every: set[str] = set().union(*split)
+        fresh = every.difference(self.known)
+        if len(self.known) + 2 * len(fresh) > self.limit:
+            self.known.clear()
+            fresh = every
         if fresh:
-            self._learn(fresh)
-            for words, code in zip(split, codes):
-                if None in code:
-                    code[:] = [self.known[w] if c is None else c for w, c in zip(words, code)]
-        return [b"".join(code) for code in codes]
+            gc.disable()  # many small objects and no cycle among them
+            try:
+                self._learn(fresh)
+            finally:
+                gc.enable()
+        code = self.known.__getitem__
+        return [b"".join(map(code, words)) for words in split]
 
 
 _encoders: dict[str, WordEncoder] = {}

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -103,3 +105,21 @@ def test_encoder_agrees_with_the_tokenizer(text):
     plain = Tokenizer.from_file(PATH)
     for t in (text, f"{text} {text}", words(5, 60)):
         assert np.frombuffer(own.encode([t])[0], dtype="<u4").tolist() == plain.encode(t, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_of_odd_texts_are_those_of_the_tokenizer(name):
+    """Random signs of many scripts, words met again, a small memory, and a tokenizer of another kind."""
+    path = public_tokenizers.path(name)
+    reference, rnd = Tokenizer.from_file(path), random.Random(5)
+    pools = [
+        [chr(c) for c in range(32, 127)], [chr(c) for c in range(9, 0x250)], [chr(c) for c in range(0x250, 0x3000)],
+        list(".,!?;:%#'- aAbBzZ09\u0130\u0131\u00df\u00c0\u00e9"), ["the ", "The, ", "words%% ", "<|endoftext|>", "it's"],
+    ]
+    texts = ["".join(rnd.choice(rnd.choice(pools)) for _ in range(rnd.randrange(60))) for _ in range(3000)] + ["", None, "x" * 5000]
+    own = packing.WordEncoder(path, limit=2000)
+    assert own.by_word == name.startswith("word")
+    for at in range(0, len(texts), 100):
+        some = texts[at : at + 100]
+        want = [reference.encode(t or "", add_special_tokens=False).ids for t in some]
+        assert [np.frombuffer(code, "<u4").tolist() for code in own.encode(some)] == want
