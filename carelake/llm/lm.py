@@ -97,7 +97,7 @@ class _Batch:
         for word in set(words).difference(known):
             known[word] = len(known)
         self.keys.append(key)
-        self.places.append(np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words)))
+        self.places.append(np.fromiter(map(known.__getitem__, words), dtype=np.uint32, count=len(words)))
 
     def row(self, number: int) -> pa.RecordBatch:
         places = np.concatenate(self.places)
@@ -218,19 +218,22 @@ def score(
     """Per document of a batch the sum of the log scores of its words. ``outside``: the counts of the other
     batches, in the order of the batch's list; ``words``: the number of all words."""
     grams, inside = ngrams(hashes, doc, order)
-    each, place, held = np.unique(np.concatenate([g[i] for g, i in zip(grams, inside)]), return_inverse=True, return_counts=True)
-    whose = np.concatenate([doc[: len(i)][i] for i in inside])
-    own = np.ones(len(place), dtype=np.int64)
-    again = np.flatnonzero(held[place] > 1)  # the others are their document's only one
-    _, at, times = np.unique(whose[again] * len(each) + place[again], return_inverse=True, return_counts=True)
-    own[again] = times[at]
-    elsewhere = (held + outside)[place] - own
-    seen, start = [], 0
-    for i in inside:
+    lists = []
+    for k, i in enumerate(inside):  # order by order, which needs a part of the memory
+        each, place, held = np.unique(grams[k][i], return_inverse=True, return_counts=True)
+        lists.append((each, place.astype(np.int32), held))
+        grams[k] = None
+    every = np.unique(np.concatenate([each for each, _, _ in lists]))
+    seen = []
+    for i, (each, place, held) in zip(inside, lists):
+        own = np.ones(len(place), dtype=np.int64)
+        again = np.flatnonzero(held[place] > 1)  # the others are their document's only one
+        _, at, times = np.unique(doc[: len(i)][i][again] * len(each) + place[again], return_inverse=True, return_counts=True)
+        own[again] = times[at]
         counts = np.zeros(len(i), dtype=np.int64)
-        counts[i] = elsewhere[start : start + np.count_nonzero(i)]
-        start += np.count_nonzero(i)
+        counts[i] = (held + outside[np.searchsorted(every, each)])[place] - own
         seen.append(counts)
+    del lists, every
     value = np.log(np.maximum(seen[0], unseen) / np.maximum(words - sizes, 1)[doc])
     first = np.cumsum(sizes) - sizes
     longest = np.minimum(np.arange(len(doc)) - first[doc], order - 1)  # orders above one that the place allows
@@ -243,7 +246,7 @@ def score(
 
 def scored(
     df: DataFrame, order: int = 2, alpha: float = 0.4, unseen: float = 0.5, key: str = "doc_id", text: str = "text",
-    batch_bytes: int = 16 << 20, range_bytes: int = 16 << 20, least_ranges: int = 64,
+    batch_bytes: int = 12 << 20, range_bytes: int = 16 << 20, least_ranges: int = 64,
 ) -> DataFrame:
     """One row per input row: ``key``, ``n_words``, ``log_score`` (natural logarithms, summed) and
     ``mean_log_score``."""
@@ -255,7 +258,7 @@ def scored(
     def sums(rows: pa.Table, answers: pa.Table) -> pa.Table:
         hashes, doc, sizes = _read(*(rows.column(name)[0] for name in ("words", "places", "sizes")))
         at = np.argsort(answers.column("range").to_numpy())
-        parts = [_numbers(answers.column("low")[i], answers.column("high")[i]) for i in at.tolist()]
+        parts = (_numbers(answers.column("low")[i], answers.column("high")[i]) for i in at.tolist())
         outside = np.concatenate([np.empty(0, np.int64), *parts])
         logs = score(hashes, doc, sizes, outside, order, words, alpha, unseen)
         ids = rows.column("ids").combine_chunks().flatten()
