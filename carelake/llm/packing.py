@@ -75,7 +75,7 @@ class WordEncoder:
             fresh.add(core)
             if tail or core != word:
                 cut.append((word, core, tail))
-        fresh.difference_update(known)
+        fresh = fresh.difference(known)  # walks the few new words, not all known ones
         letters = [w for w in fresh if w.isalpha() and (w.isascii() or _plain(w))]
         other = list(fresh.difference(letters))
         groups = [letters[i : i + 128] for i in range(0, len(letters), 128)]
