@@ -246,7 +246,7 @@ def score(
 
 def scored(
     df: DataFrame, order: int = 2, alpha: float = 0.4, unseen: float = 0.5, key: str = "doc_id", text: str = "text",
-    batch_bytes: int = 12 << 20, range_bytes: int = 16 << 20, least_ranges: int = 64,
+    batch_bytes: int = 8 << 20, range_bytes: int = 16 << 20, least_ranges: int = 64,
 ) -> DataFrame:
     """One row per input row: ``key``, ``n_words``, ``log_score`` (natural logarithms, summed) and
     ``mean_log_score``."""
