@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .registry import fill, handed_over, query, spread, table
 from ..operators import ccda
+from ..session import shared_folder
 
 # {marks} are columns of the customer.
 TEMPLATE = """<?xml version="1.0" encoding="UTF-8"?>
@@ -235,9 +236,9 @@ SELECT file, section, CAST(CASE WHEN section = 'encounters' AND n = 3 THEN 0 WHE
 FROM {BASE}, (VALUES {_SECTION_ROWS}) t(section, spoiled, n_rows)
 """)
 def ccda_extracted_or_listed(spark, sf_dir):
-    """Rows of every extract and listed errors by file and section. (The two encounter sections of a
-    document make one error, and so does a problem section with two events in an entry.)"""
-    docs = document_text(spark, sf_dir)
+    """Rows of every extract and listed errors by file and section, from documents that were parsed once. (The
+    two encounter sections of a document make one error, and so does a problem section with two events in an entry.)"""
+    docs = ccda.parse_ccda(document_text(spark, sf_dir), shared_folder(spark, "ccda-parsed"))
     sections = {name: ccda.EXTRACTS[name] for name in ccda.EVENTS}
     rows = ccda.ccda_errors(docs).select("file", "section", F.lit(0).alias("e"), F.lit(1).alias("l"))
     for section, extract in sections.items():

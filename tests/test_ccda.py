@@ -1,6 +1,8 @@
 import pytest
+from pyspark.sql import types as T
 
 from carelake.operators import ccda
+from carelake.plans import documents
 
 HEAD = '<ClinicalDocument xmlns="urn:hl7-org:v3" xmlns:sdtc="urn:hl7-org:sdtc">'
 ROLE = '<recordTarget><patientRole>{telecom}<patient><name><given>Ann</given><family>Lee</family></name><birthTime value="{born}"/>{more}</patient></patientRole></recordTarget>'
@@ -154,3 +156,33 @@ def test_an_extract_reads_its_own_columns(spark, tmp_path):
         scan = extract(parsed)._jdf.queryExecution().executedPlan().collectLeaves().head()
         read = len(scan.requiredSchema().simpleString())
         assert read < whole / (2 if name == "errors" else 5), name
+
+
+def _paths(kind: str) -> set[tuple[str, ...]]:
+    """The fields of a type without fields of their own."""
+    def below(t: T.DataType, path: tuple[str, ...]) -> set[tuple[str, ...]]:
+        if isinstance(t, T.ArrayType):
+            return below(t.elementType, path)
+        return set().union(*(below(f.dataType, (*path, f.name)) for f in t)) if isinstance(t, T.StructType) else {path}
+
+    return below(T.DataType.fromDDL(kind), ())
+
+
+def test_nothing_is_parsed_that_no_extract_reads():
+    for kind, event in ccda._EVENT.items():
+        read = set().union(*(_paths(ccda._READ[name]) for name, k in ccda.EVENTS.items() if k == kind))
+        assert _paths(event) - read <= {("_classCode",)}  # an act with nothing else is still an act
+
+
+def test_parsed_documents_are_no_columns(spark):
+    for extract in (ccda.ccda_labs, ccda.ccda_errors):
+        assert "_sections" not in extract(_doc(spark))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_extracted_or_listed_parses_once(spark, tmp_path):
+    rows = [(7, 3, 1.0, "BUILDING")]
+    spark.createDataFrame(rows, "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    counted = documents.ccda_extracted_or_listed(spark, str(tmp_path))
+    assert "from_xml" not in counted._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.section: (r.extracted, r.listed) for r in counted.collect()} == {
+        name: (0, 1) if name == "encounters" else (documents.ROWS.get(name, 1), 0) for name in ccda.EVENTS}
