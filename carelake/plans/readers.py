@@ -112,10 +112,10 @@ def compact_text_files(spark, sf_dir):
     return spark.read.parquet(f"{folder}/out").select("file_content")
 
 
-def _packed_texts(texts, folder: str) -> None:
-    """Texts with their name in 16 folders, many in a file."""
+def _packed_texts(texts, folder: str, compression: str | None = None) -> None:
+    """Texts with their name in 16 folders, many in a file, but not more than one task can read as a whole."""
     lines = texts.select(F.concat("file", F.lit("\x1f"), "value").alias("value"), F.pmod(F.xxhash64("file"), F.lit(16)).alias("bucket"))
-    lines.write.partitionBy("bucket").text(folder, lineSep="\x1e")
+    lines.write.option("maxRecordsPerFile", 20_000).partitionBy("bucket").text(folder, compression=compression, lineSep="\x1e")
 
 
 def _unpacked_texts(read):
@@ -126,8 +126,8 @@ def _unpacked_texts(read):
 @query("read_hl7v2_files", ORACLES["hl7_identity"])
 def read_hl7v2_files(spark, sf_dir):
     folder = shared_folder(spark, "hl7")
-    _packed_texts(message_text(spark, sf_dir), folder)
-    texts = _unpacked_texts(files.read_hl7v2(spark, folder, "UTF-8", "*.txt"))
+    _packed_texts(message_text(spark, sf_dir), folder, "gzip")
+    texts = _unpacked_texts(files.read_hl7v2(spark, folder, "UTF-8", "*.txt.gz"))
     return hl7v2.hl7_identity(hl7v2.hl7_messages(texts))
 
 

@@ -133,7 +133,14 @@ def compact_text_files(spark: SparkSession, path: str, out: str, glob: str = "*.
 
 def read_hl7v2(spark: SparkSession, path: str, charset: str = "ISO-8859-1", glob: str = "*") -> DataFrame:
     """HL7 v2 files as (file, name, value), decoded from a declared character set. ``file`` is the whole
-    path, which tells files of one name apart; ``name`` is the last part of it."""
+    path, which tells files of one name apart; ``name`` is the last part of it. Where ``glob`` ends in ``.gz``,
+    the files are unpacked."""
+    if glob.endswith(".gz"):
+        texts = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path, wholetext=True)
+        known = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        # The bytes of a whole text are kept as they are, whatever the character set.
+        named = texts.select(F.regexp_replace(known, "^(\\w+):///", "$1:/").alias("path"), F.col("value").cast("binary").alias("content"))
+        return named.select(F.col("path").alias("file"), base_name(F.col("path")).alias("name"), F.decode("content", charset).alias("value"))
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
     return files.select(F.col("path").alias("file"), base_name(F.col("path")).alias("name"), F.decode("content", charset).alias("value"))
 

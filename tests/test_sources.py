@@ -3,6 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from carelake.plans import readers
 from carelake.operators import ccda, changes, logs, manifest, tickets
 from carelake.sources import files, sinks
 from carelake.streaming import marks
@@ -253,3 +254,22 @@ def test_sync_and_routes(spark, rows_of):
     paths = spark.createDataFrame([("hl7V2in/domainOid=1/root=2/extension=3/u",), ("a%2Fb%zz",), ("x/",)], "path string")
     out = [r.destination for r in manifest.route(paths).collect()]
     assert out[0] == "root=2_extension=3_u" and out[1] == "a%2Fb%zz" and out[2].startswith("unnamed_")
+
+
+def test_packed_hl7v2_files_are_unpacked_and_bounded(spark, tmp_path):
+    """Compressed files give the path, the name and the text of plain ones, in any character set."""
+    import gzip
+
+    text = "MSH|^~\\&|é\rPID|1\r"
+    (tmp_path / "a b").mkdir()
+    (tmp_path / "a b" / "x+y.hl7.gz").write_bytes(gzip.compress(text.encode("ISO-8859-1")))
+    (tmp_path / "a b" / "no.hl7").write_text("x")
+    row = files.read_hl7v2(spark, str(tmp_path), glob="*.gz").collect()
+    plain = files.read_hl7v2(spark, str(tmp_path), glob="*.hl7").first()
+    assert [(r.name, r.value) for r in row] == [("x+y.hl7.gz", text)]
+    assert row[0].file == plain.file.replace("no.hl7", "x+y.hl7.gz")
+    texts = spark.range(3000).selectExpr("cast(id as string) AS file", "repeat('some text ', 40) AS value").coalesce(1)
+    readers._packed_texts(texts, f"{tmp_path}/out", "gzip")
+    assert sum(f.stat().st_size for f in (tmp_path / "out").rglob("*.gz")) < 3000 * 400 / 4
+    back = readers._unpacked_texts(files.read_hl7v2(spark, f"{tmp_path}/out", "UTF-8", "*.txt.gz"))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, texts.collect()))
