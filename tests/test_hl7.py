@@ -114,3 +114,14 @@ def test_two_messages_in_a_file_are_logged(spark, rows_of):
     log = hl7v2.hl7_message_log(hl7v2.hl7_messages(df))
     assert [s.split(":")[0] + str(len(s)) for _, s in rows_of(log, "file", "status")] == [
         f"{s.split(':')[0]}{len(s)}" for s in (hl7v2.PARSED, hl7v2.SEVERAL, hl7v2.NO_HEADER)]
+
+
+def test_single_segments_are_stored_whole_and_the_last_counts(spark, tmp_path):
+    text = "MSH|^~\\&|A||\rPID|1||first\rPIDX|no\rPID|1||last||\rPV1"
+    df = spark.createDataFrame([("m", text), ("none", "PV1")], "file string, value string")
+    parsed = hl7v2.parse_hl7(df, str(tmp_path / "parsed"))
+    kinds = dict(spark.read.parquet(str(tmp_path / "parsed")).dtypes)
+    assert {kinds[f"_{n.lower()}"] for n in hl7v2.SINGLE_KINDS} == {"string"}
+    for messages in (parsed, hl7v2.hl7_messages(df)):
+        rows = {r.file: (r._msh, r._pid, r._pv1) for r in messages.select("file", "_msh", "_pid", "_pv1").collect()}
+        assert rows == {"m": (["MSH", "^~\\&", "A", "", ""], ["PID", "1", "", "last", "", ""], None), "none": (None, None, None)}
