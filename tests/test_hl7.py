@@ -1,6 +1,8 @@
 import pytest
 
+from carelake.functions import dates
 from carelake.operators import hl7v2
+from carelake.plans import readers
 
 HEAD = "MSH|^~\\&|LAB|SITE^x|RCV|FAC|20240102030405||ORU^R01|77|P|2.3"
 PID = "PID|1||555^^^AUTH||DOE^JANE^Q~ALIAS^X||19800229|Female||W|1 St^Apt 2^TOWN^KS^66002^US||H1|B1|en|S^Single|R|{account}|444|||H"
@@ -125,3 +127,31 @@ def test_single_segments_are_stored_whole_and_the_last_counts(spark, tmp_path):
     for messages in (parsed, hl7v2.hl7_messages(df)):
         rows = {r.file: (r._msh, r._pid, r._pv1) for r in messages.select("file", "_msh", "_pid", "_pv1").collect()}
         assert rows == {"m": (["MSH", "^~\\&", "A", "", ""], ["PID", "1", "", "last", "", ""], None), "none": (None, None, None)}
+
+
+def test_a_union_of_tables_reads_its_values_in_the_wide_projections(spark, tmp_path):
+    """A projection of more than 100 columns is compiled in small methods; lists of fields made below it would be
+    written and read again for each row."""
+    df = spark.createDataFrame([(FILE, _text(HEAD, PID.format(account="A1"), "IN1|1|PL^Plan", "PR1|1|CPT|P1"))], "file string, value string")
+    parsed = hl7v2.parse_hl7(df, str(tmp_path / "parsed"))
+    union = readers._union(hl7v2.hl7_tables(parsed))
+    spark.conf.set("spark.sql.debug.maxToStringFields", 2000)
+    lines = union._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    reading = [line for line in lines if "split(_s#" in line or "split(_pid" in line]
+    assert len([line for line in reading if " AS of_table" in line]) >= 12
+    assert not [line for line in reading if "Project [" in line and " AS of_table" not in line and " AS _f#" not in line and "_kept" not in line]
+    rows = {r.of_table: r for r in union.collect()}
+    assert (rows["insurance"].planid, rows["insurance"].plan_name, rows["insurance"].ssn) == ("PL", "Plan", None)
+    assert (rows["person"].lastname, rows["person"].planid) == ("DOE", None)
+
+
+@pytest.mark.parametrize("text,day,time", [
+    ("19800229", "1980-02-29", "1980-02-29 00:00:00"), ("198002291", "1980-02-29", "1980-02-29 10:00:00"), ("19810229", None, None),
+    ("20240131240000", "2024-01-31", None), ("20240131235960", "2024-01-31", None), ("2024013", None, None), (" 20240131", None, None),
+    ("2024-1-1", None, None), ("20240131T10", "2024-01-31", "2024-01-31 00:00:00"), ("00000101", "0000-01-01", None), (None, None, None),
+])
+def test_dates_are_eight_digits_that_make_a_day(spark, text, day, time):
+    df = spark.createDataFrame([(text,)], "t string")
+    row = df.select(dates.hl7_date(df.t).alias("d"), dates.hl7_timestamp(df.t).cast("string").alias("s")).first()
+    assert row.d == day and (time is None and (row.s is None or day == "0000-01-01") or row.s == time)
